@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +17,7 @@ def quoted(name: str) -> Column:
 def literal_rows(
     spark: SparkSession, rows: Sequence[Sequence[object]], columns: dict[str, str]
 ) -> DataFrame:
-    """A small relation from literals. It stays in the JVM and has known, small statistics."""
-    structs = [
-        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, columns.items())])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    """A small relation of constants: a local relation, so its exact size is known when planning."""
+    values = {name: [row[i] for row in rows] for i, name in enumerate(columns)}
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in columns.items())
+    return spark.createDataFrame(pa.table(values), schema)

@@ -20,10 +20,17 @@ from starmill.functions.columns import quoted
 def keyed_rows(
     df: DataFrame, columns: Mapping[int, str], kind: T.DataType, by: Sequence[str] = ()
 ) -> DataFrame:
-    """(by..., rule, key): each row once per rule, from a single scan of the columns."""
+    """(by..., rule, key): each row once per rule, from a single scan of the columns.
+
+    The rule is a number because grouping by a number and a key is faster than by two strings.
+    """
     ids = [quoted(c) for c in by]
+    if len(columns) == 1:
+        [(rule, column)] = columns.items()
+        return df.select(*ids, F.lit(rule).alias("rule"), quoted(column).cast(kind).alias("key"))
     keys = [quoted(column).cast(kind).alias(str(rule)) for rule, column in columns.items()]
-    return df.select(*ids, *keys).unpivot(ids, [quoted(str(r)) for r in columns], "rule", "key")
+    long = df.select(*ids, *keys).unpivot(ids, [quoted(str(r)) for r in columns], "rule", "key")
+    return long.select(*ids, F.col("rule").cast("int").alias("rule"), "key")
 
 
 def key_profile(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -48,7 +55,7 @@ def parent_keys(dimensions: Mapping[int, tuple[DataFrame, str]], kind: T.DataTyp
     Repeats in a dimension would otherwise multiply the rows joined to it.
     """
     parents = [
-        dim.select(F.lit(str(rule)).alias("rule"), quoted(column).cast(kind).alias("key"))
+        dim.select(F.lit(rule).alias("rule"), quoted(column).cast(kind).alias("key"))
         for rule, (dim, column) in dimensions.items()
     ]
     return reduce(DataFrame.unionByName, parents).where("key IS NOT NULL").distinct()
@@ -68,11 +75,7 @@ def orphan_rows(profile: DataFrame, parents: DataFrame, by: Sequence[str] = ())
 
 def _totals(df: DataFrame, total: Column, by: Sequence[str] = ()) -> DataFrame:
     ids = [quoted(c) for c in by]
-    return (
-        df.groupBy(*ids, "rule")
-        .agg(total.alias("failed_rows"))
-        .select(*ids, F.col("rule").cast("int").alias("rule"), "failed_rows")
-    )
+    return df.groupBy(*ids, "rule").agg(total.alias("failed_rows"))
 
 
 def by_key_type(

@@ -1,9 +1,9 @@
-"""Totals of a fact by an attribute of a dimension, aggregated before the join.
+"""Totals of a fact by an attribute of a dimension, without a join of the whole fact.
 
-Joining a fact row by row moves the whole fact and lets one hot key fill one task. Here the fact is
-first reduced by its key, with a map-side combine, and only those partial totals meet the
-dimension. Totals stay exact for any dimension: a key that occurs twice there takes part twice, as
-it would in a join of rows.
+Joining a fact row by row with a large dimension moves the whole fact and lets one hot key fill one
+task. Instead the fact is first reduced by its key, with a map-side combine, and only those partial
+totals meet the dimension. Totals stay exact for any dimension: a key that occurs twice there takes
+part twice, as it would in a join of rows.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions.columns import quoted
 from starmill.functions.measures import MONEY_SCALE, exact
+from starmill.operators.lookups import is_small, lookup_side
 
 
 def partial_totals(
@@ -40,6 +41,22 @@ def final_totals(partial: DataFrame, keys: Sequence[str], *extra: Column) -> Dat
     )
 
 
+def named_totals(
+    partial: DataFrame, key: str, dimension: DataFrame, attributes: Sequence[str]
+) -> DataFrame:
+    """Partial totals left-joined to a dimension: its attributes added, totals kept exact.
+
+    The dimension is reduced to one row per key and attributes with the number of its copies, so
+    the joined rows are the final groups and need no further aggregate.
+    """
+    lookup = dimension.groupBy(key, *attributes).agg(F.count("*").alias("copies"))
+    copies = F.coalesce(F.col("copies"), F.lit(1))
+    joined = partial.join(lookup_side(lookup), key, "left")
+    return joined.withColumns(
+        {name: F.col(name) * copies for name in ("n_rows", "n_values", "total")}
+    ).drop("copies")
+
+
 def totals_by_attribute(
     fact: DataFrame,
     fact_key: str,
@@ -48,15 +65,23 @@ def totals_by_attribute(
     attributes: dict[str, Column],
     measure: str,
     scale: int = MONEY_SCALE,
+    broadcast_rows: int = 0,
 ) -> DataFrame:
     """(attributes..., n_rows, n_values, total): inner join of a fact with one dimension.
 
-    NULL keys match nothing in an inner join, so they are filtered in the scan.
+    A dimension counted to have at most ``broadcast_rows`` rows is broadcast to the scan of the
+    fact, which then shuffles only its few attribute values; reducing by key first would shuffle
+    every key of every task. Leave it at 0 for keys of a small domain, such as days or campaigns,
+    where reducing first is as good and needs no count. NULL keys match nothing in an inner join, so
+    they are filtered in the scan.
     """
-    partial = partial_totals(
-        fact.where(quoted(fact_key).isNotNull()), [quoted(fact_key).alias("key")], measure, scale=scale
-    )
+    known = fact.where(quoted(fact_key).isNotNull())
+    key = quoted(fact_key).alias("key")
     lookup = dimension.select(
         quoted(dimension_key).alias("key"), *[c.alias(name) for name, c in attributes.items()]
     )
+    if broadcast_rows and is_small(lookup, broadcast_rows):
+        rows = known.select(key, quoted(measure)).join(F.broadcast(lookup), "key")
+        return partial_totals(rows, [F.col(name) for name in attributes], measure, scale=scale)
+    partial = partial_totals(known, [key], measure, scale=scale)
     return final_totals(partial.join(lookup, "key"), list(attributes))

@@ -11,59 +11,65 @@ from pyspark.sql import types as T
 
 from starmill.functions.columns import quoted
 
+# Rules by number: the column a rule reads and the predicate of a row that breaks it.
+Violations = Mapping[int, tuple[str, Column]]
 
-def violation_counts(
-    df: DataFrame,
-    violations: Mapping[int, tuple[str, Column]],
-    by: Sequence[str] = (),
-) -> list[DataFrame]:
-    """(by..., rule, failed_rows) for rules given as ``{rule: (column, violated)}``.
 
-    All rules share one aggregate. A row only matters if it breaks some rule, so the disjunction of
-    the rules filters the scan: Parquet drops every row group whose statistics (NULL count, minimum,
-    maximum) rule out all of them, and a clean table costs its footers. One predicate that the
-    reader cannot push would switch this off for all, so rules on zone-free timestamps, which have
-    no such statistics in Spark, get a pass of their own over just those columns.
+def stored_table_counts(
+    df: DataFrame, violations: Violations, floors: Mapping[int, int]
+) -> list[DataFrame]:
+    """(rule, failed_rows) for a table that is scanned from Parquet.
 
-    With ``by`` every slice has to appear, also those without a violation, so nothing is filtered.
+    All predicates share one aggregate. A row only matters if it breaks some rule, so the
+    disjunction of the rules filters the scan: Parquet drops every row group whose statistics (NULL
+    count, minimum, maximum) rule out all of them, and a clean table costs its footers. One
+    predicate that the reader cannot push would switch this off for all, so rules on zone-free
+    timestamps, which Spark does not match with those statistics, get a pass over just their
+    columns. Floors are a plain ``count(*)``, which reads no column either.
     """
-    if by:
-        return [_count(df, violations, by)]
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    unpushed = {
-        rule: (column, violated)
-        for rule, (column, violated) in violations.items()
-        if isinstance(kinds[column], T.TimestampNTZType)
-    }
-    pushed = {rule: v for rule, v in violations.items() if rule not in unpushed}
-    return [
-        _count(df.where(reduce(Column.__or__, [violated for _, violated in group.values()])), group, by)
+    unpushed = {r: v for r, v in violations.items() if isinstance(kinds[v[0]], T.TimestampNTZType)}
+    pushed = {r: v for r, v in violations.items() if r not in unpushed}
+    parts = [
+        _one_pass(df.where(reduce(Column.__or__, [broken for _, broken in group.values()])), group)
         for group in (pushed, unpushed)
         if group
     ]
+    if floors:
+        parts.append(_one_pass(df, {}, floors))
+    return parts
 
 
-def _count(
-    df: DataFrame, violations: Mapping[int, tuple[str, Column]], by: Sequence[str]
+def derived_table_counts(
+    df: DataFrame,
+    violations: Violations,
+    floors: Mapping[int, int] | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    counts = [F.count_if(violated).alias(str(rule)) for rule, (_, violated) in violations.items()]
-    wide = df.groupBy(*[quoted(c) for c in by]).agg(*counts)
-    return per_rule(wide, list(violations), by)
+    """(by..., rule, failed_rows) for a query result: one pass, so that it is computed once.
 
+    Every slice of ``by`` appears, also those without a violation.
+    """
+    return _one_pass(df, violations, floors or {}, by)
 
-def per_rule(wide: DataFrame, rules: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
-    """One wide row of counts, named by rule number, turned into one row per rule."""
-    ids = [quoted(c) for c in by]
-    long = wide.unpivot(ids, [quoted(str(r)) for r in rules], "rule", "failed_rows")
-    return long.select(*ids, F.col("rule").cast("int").alias("rule"), "failed_rows")
 
+def _one_pass(
+    df: DataFrame,
+    violations: Violations,
+    floors: Mapping[int, int] | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    counts = {rule: F.count_if(broken) for rule, (_, broken) in violations.items()}
+    for rule, floor in (floors or {}).items():
+        counts[rule] = F.when(F.count("*") >= floor, 0).otherwise(1).cast("bigint")
+    return counts_per_rule(df, counts, by)
 
-def row_counts(df: DataFrame, below: Mapping[int, int]) -> DataFrame:
-    """(rule, failed_rows): 1 where the table has fewer rows than the floor of the rule, else 0.
 
-    A plain ``count(*)`` reads no column, only the row counts in the Parquet footers.
-    """
-    n = df.agg(F.count("*").alias("n"))
-    flags = [F.when(F.col("n") >= floor, 0).otherwise(1).cast("bigint").alias(str(rule))
-             for rule, floor in below.items()]
-    return per_rule(n.select(*flags), list(below))
+def counts_per_rule(
+    df: DataFrame, counts: Mapping[int, Column], by: Sequence[str] = ()
+) -> DataFrame:
+    """(by..., rule, failed_rows): one aggregate with a column per rule, turned into rows."""
+    ids = [quoted(c) for c in by]
+    wide = df.groupBy(*ids).agg(*[count.alias(str(rule)) for rule, count in counts.items()])
+    long = wide.unpivot(ids, [quoted(str(r)) for r in counts], "rule", "failed_rows")
+    return long.select(*ids, F.col("rule").cast("int").alias("rule"), "failed_rows")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -14,16 +14,9 @@ from pyspark.sql import types as T
 
 from starmill.functions.calendar import instant_literal, timestamp_literal, utc_now
 from starmill.functions.columns import literal_rows, quoted
-from starmill.functions.schema_rules import common_key_type
-from starmill.operators.key_profile import (
-    by_key_type,
-    key_profile,
-    keyed_rows,
-    orphan_rows,
-    parent_keys,
-    repeated_keys,
-)
-from starmill.operators.violations import row_counts, violation_counts
+from starmill.operators.key_profile import key_profile, keyed_rows, repeated_keys
+from starmill.operators.references import Reference, orphan_counts
+from starmill.operators.violations import derived_table_counts, stored_table_counts
 
 log = logging.getLogger(__name__)
 
@@ -156,14 +149,18 @@ def violated(rule: Rule, kind: T.DataType, as_of: datetime | None) -> Column:
 
 
 def evaluate(
-    rules: Sequence[Rule], tables: Mapping[str, DataFrame], as_of: datetime | None = None
+    rules: Sequence[Rule],
+    tables: Mapping[str, DataFrame],
+    as_of: datetime | None = None,
+    derived: Collection[str] = (),
 ) -> DataFrame:
     """(position, check_name, status, failed_rows, threshold_failed_rows, details) per rule.
 
-    Per table: one count for the floors, one filtered scan for all row-level rules, one profile for
-    the references, one per unique key. Uniqueness has its own profile because its keys hardly
-    combine and would crowd out those of the references. The result is a DataFrame of one row per
-    rule; nothing is collected.
+    Per table: one count for the floors, one filtered scan for all row-level rules, one pass for the
+    references (two if there are large dimensions), one profile per unique key. Tables named in ``derived`` are query results instead of
+    stored tables; their floors and row-level rules share one pass. Uniqueness has its own profile
+    because its keys hardly combine and would crowd out those of the references. The result is a
+    DataFrame of one row per rule; nothing is collected.
     """
     rules = present_rules(rules, tables)
     if not rules:
@@ -176,43 +173,28 @@ def evaluate(
         mine = [r for r in rules if r.table == table]
 
         floors = {position[r]: int(r.limit) for r in mine if r.family == "rowcount_floor"}
-        if floors:
-            counts.append(row_counts(df, floors))
-
         row_rules = {
             position[r]: (r.column, violated(r, kinds[r.column], as_of))
             for r in mine if r.family in ROW_RULES
         }
-        if row_rules:
-            counts.extend(violation_counts(df, row_rules))
+        if table not in derived:
+            counts.extend(stored_table_counts(df, row_rules, floors))
+        elif floors or row_rules:
+            counts.append(derived_table_counts(df, row_rules, floors))
 
         for r in mine:
             if r.family == "unique":
                 rows = keyed_rows(df, {position[r]: r.column}, kinds[r.column])
                 counts.append(repeated_keys(key_profile(rows)))
 
-        counts.extend(_orphans(df, {position[r]: r for r in mine if r.family == "references"}, tables))
+        pointers = {
+            position[r]: Reference(r.column, tables[r.parent], r.parent_column)
+            for r in mine if r.family == "references"
+        }
+        counts.extend(orphan_counts(df, pointers))
     return with_status(rules, reduce(DataFrame.unionByName, counts))
 
 
-def _orphans(
-    df: DataFrame, rules: Mapping[int, Rule], tables: Mapping[str, DataFrame]
-) -> list[DataFrame]:
-    kinds = {
-        i: common_key_type(df.schema[r.column].dataType,
-                           tables[r.parent].schema[r.parent_column].dataType)
-        for i, r in rules.items()
-    }
-    parts = []
-    for kind, members in by_key_type(kinds):
-        profile = key_profile(keyed_rows(df, {i: rules[i].column for i in members}, kind))
-        parents = parent_keys(
-            {i: (tables[rules[i].parent], rules[i].parent_column) for i in members}, kind
-        )
-        parts.append(orphan_rows(profile, parents))
-    return parts
-
-
 def with_status(rules: Sequence[Rule], counts: DataFrame) -> DataFrame:
     """Counts joined to their rules. A rule without a count saw no row, which is no failure."""
     spark = counts.sparkSession

@@ -13,15 +13,9 @@ from pyspark.sql import functions as F
 from starmill.functions import schema_rules as rules
 from starmill.functions.calendar import timestamp_literal
 from starmill.functions.columns import literal_rows, quoted
-from starmill.operators.key_profile import (
-    by_key_type,
-    key_profile,
-    keyed_rows,
-    orphan_rows,
-    parent_keys,
-    surplus_rows,
-)
-from starmill.operators.violations import violation_counts
+from starmill.operators.key_profile import by_key_type, key_profile, keyed_rows, surplus_rows
+from starmill.operators.references import Reference, orphan_counts
+from starmill.operators.violations import stored_table_counts
 
 # Severity of a failed check by type.
 SEVERITY = {"nulls": 3, "duplicates": 4, "fk_missing": 5}
@@ -80,7 +74,8 @@ def evaluate(
     """(run_ts, check_type, table, column, dq_check_name, status, failed_rows, severity).
 
     NULLs: one filtered scan per table. Duplicates: one profile over the keys of all tables
-    together. References: one profile per fact. One row per check comes out, nothing is collected.
+    together. References: one pass per fact (two if
+    there are large dimensions). One row per check comes out, nothing is collected.
     """
     numbered = dict(enumerate(checks))
     counts = [
@@ -124,7 +119,7 @@ def _nulls(mart: Mapping[str, DataFrame], numbered: Mapping[int, Check]) -> list
     for table in dict.fromkeys(c.table for c in wanted.values()):
         mine = {i: (c.column, quoted(c.column).isNull())
                 for i, c in wanted.items() if c.table == table}
-        parts.extend(violation_counts(mart[table], mine))
+        parts.extend(stored_table_counts(mart[table], mine, {}))
     return parts
 
 
@@ -145,21 +140,14 @@ def _duplicates(mart: Mapping[str, DataFrame], numbered: Mapping[int, Check]) ->
 
 
 def _orphans(mart: Mapping[str, DataFrame], numbered: Mapping[int, Check]) -> list[DataFrame]:
-    wanted = _of_type(numbered, "fk_missing")
     parts = []
+    wanted = _of_type(numbered, "fk_missing")
     for table in dict.fromkeys(c.table for c in wanted.values()):
-        mine = {i: c for i, c in wanted.items() if c.table == table}
-        kinds = {
-            i: rules.common_key_type(mart[table].schema[c.column].dataType,
-                                     mart[c.parent].schema[c.parent_column].dataType)
-            for i, c in mine.items()
+        pointers = {
+            i: Reference(c.column, mart[c.parent], c.parent_column)
+            for i, c in wanted.items() if c.table == table
         }
-        for kind, members in by_key_type(kinds):
-            rows = keyed_rows(mart[table], {i: mine[i].column for i in members}, kind)
-            parents = parent_keys(
-                {i: (mart[mine[i].parent], mine[i].parent_column) for i in members}, kind
-            )
-            parts.append(orphan_rows(key_profile(rows), parents))
+        parts.extend(orphan_counts(mart[table], pointers))
     return parts
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.measures import MONEY_SCALE, mean, to_double
-from starmill.operators.totals import final_totals, partial_totals
+from starmill.operators.totals import named_totals, partial_totals
 
 
 def store_daily(fact: DataFrame, stores: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
@@ -21,8 +21,7 @@ def store_daily(fact: DataFrame, stores: DataFrame, scale: int = MONEY_SCALE) ->
         "total_amount",
         scale=scale,
     )
-    named = by_day.join(stores.select("store_sk", "store_name"), "store_sk", "left")
-    return final_totals(named, ["sales_day", "store_sk", "store_name"]).select(
+    return named_totals(by_day, "store_sk", stores, ["store_name"]).select(
         "sales_day",
         "store_sk",
         "store_name",
@@ -41,17 +40,11 @@ def campaign_performance(
         fact,
         [F.col("campaign_sk")],
         "total_amount",
-        F.min(day).alias("first_day"),
-        F.max(day).alias("last_day"),
+        F.min(day).alias("first_sale_day"),
+        F.max(day).alias("last_sale_day"),
         scale=scale,
     )
-    named = by_campaign.join(campaigns.select("campaign_sk", "campaign_name"), "campaign_sk", "left")
-    return final_totals(
-        named,
-        ["campaign_sk", "campaign_name"],
-        F.min("first_day").alias("first_sale_day"),
-        F.max("last_day").alias("last_sale_day"),
-    ).select(
+    return named_totals(by_campaign, "campaign_sk", campaigns, ["campaign_name"]).select(
         "campaign_sk",
         "campaign_name",
         F.col("n_rows").alias("transactions"),

@@ -14,7 +14,7 @@ from starmill.plans import declared, discovered, history, marts, quality_panels,
 from starmill.plans.sales_panels import sales_panels
 from starmill.plans.star import DIMENSIONS, FACT
 from starmill.sources.csv_ingest import MANIFEST, ingest, ingest_summary, write_ingest_summary
-from starmill.sources.exports import export_both
+from starmill.sources.exports import export_all
 from starmill.sources.layers import Layer
 
 RAW_FACT = "fact_sales_normalized"
@@ -65,13 +65,11 @@ def load_raw(
 
 def build_marts(warehouse: Warehouse, run_ts: datetime, export_to: str | None = None) -> None:
     """Dimensions as they are, the normalized fact as the canonical one, and the run log."""
-    for table in DIMENSIONS:
-        warehouse.mart.replace(table, warehouse.raw.read(table))
-    warehouse.mart.replace(FACT, warehouse.raw.read(RAW_FACT))
+    curated = {table: warehouse.raw.read(table) for table in DIMENSIONS}
+    stored = warehouse.mart.replace_all({**curated, FACT: warehouse.raw.read(RAW_FACT)})
     history.log_pipeline_run(warehouse.mart, run_ts, "build_marts")
     if export_to:
-        for table in [*DIMENSIONS, FACT]:
-            export_both(warehouse.mart.read(table), export_to, table)
+        export_all(stored, export_to)
 
 
 def build_analytics(warehouse: Warehouse, export_to: str | None = None) -> None:
@@ -83,10 +81,9 @@ def build_analytics(warehouse: Warehouse, export_to: str | None = None) -> None:
             fact, warehouse.mart.read("dim_campaigns")
         ),
     }
-    for table, df in built.items():
-        stored = warehouse.analytics.replace(table, df)
-        if export_to:
-            export_both(stored, export_to, table)
+    stored = warehouse.analytics.replace_all(built)
+    if export_to:
+        export_all(stored, export_to)
 
 
 def run_declared_checks(

@@ -1,7 +1,7 @@
 """Datasets of the business dashboard: trend, seasonality, leaderboards and mixes.
 
-Facts are reduced by a key before they meet a dimension (see ``operators.totals``), so no panel
-joins the fact row by row and a hot key costs one row per task.
+Facts meet a dimension either broadcast, after a check of its size, or reduced by their key (see
+``operators.totals``), so no panel shuffles the rows of the fact and a hot key costs one row per task.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from starmill.functions import schema_rules as rules
 from starmill.functions.calendar import MONTHS, WEEKDAYS, month_name, parse_date_key, weekday_name
 from starmill.functions.columns import literal_rows, quoted
 from starmill.functions.measures import MONEY_SCALE, mean, to_double
+from starmill.operators.lookups import MAX_BROADCAST_ROWS
 from starmill.operators.totals import partial_totals, totals_by_attribute
 
 FACT = "fct_sales"
@@ -125,7 +126,8 @@ def top_stores(
     if not (key and rules.is_surrogate_key(key) and name):
         return None
     totals = totals_by_attribute(
-        fact, key, stores, "store_sk", {"store": quoted(name)}, rules.measure_column(fact), scale
+        fact, key, stores, "store_sk", {"store": quoted(name)},
+        rules.measure_column(fact), scale, MAX_BROADCAST_ROWS,
     )
     return (
         totals.select("store", to_double(F.col("total")).alias("metric"))
@@ -146,7 +148,7 @@ def revenue_mix(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> Data
         return None
     totals = totals_by_attribute(
         fact, key, products, "product_sk", {"category": quoted(category)},
-        rules.measure_column(fact), scale,
+        rules.measure_column(fact), scale, MAX_BROADCAST_ROWS,
     )
     return totals.select("category", to_double(F.col("total")).alias("metric")).orderBy(
         F.desc("metric"), "category"

@@ -6,6 +6,9 @@ part of the star, so that every check has something to find.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,91 +24,141 @@ DIMENSIONS = [
     "dim_stores",
 ]
 FACT = "fct_sales"
+# Views that shuffle a large given table; the others are narrow scans.
+SHUFFLED = ["dim_campaigns", "dim_dates", FACT]
+
+# Known schemas spare a job that reads footers before every query.
+GIVEN = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
 
 
 def given_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(GIVEN[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _day_number(moment: Column) -> Column:
+def _day_number(moment: str) -> Column:
     return (F.year(moment) * 10000 + F.month(moment) * 100 + F.day(moment)).cast("int")
 
 
-def star_views(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Lazy views by table name; nothing is read before a job needs it."""
-    lineitem = given_table(spark, folder, "lineitem")
-    orders = given_table(spark, folder, "orders")
-    nation = given_table(spark, folder, "nation")
-    priority = F.col("o_orderpriority")
-    priority_number = F.substring(priority, 1, 1).cast("int")
-
-    fact = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sales_id"),
-        F.col("l_shipdate").alias("sales_date"),
-        _day_number(F.col("l_shipdate")).alias("date_sk"),
-        F.col("o_custkey").alias("customer_sk"),
-        F.col("l_partkey").alias("product_sk"),
-        F.col("l_suppkey").alias("store_sk"),
-        (F.col("l_orderkey") % 25).cast("int").alias("salesperson_sk"),
-        F.when(priority == "4-NOT SPECIFIED", None).otherwise(priority_number).alias("campaign_sk"),
-        F.col("l_extendedprice").alias("total_amount"),
-    )
-    campaigns = (
-        orders.where(~priority.isin("4-NOT SPECIFIED", "5-LOW"))
-        .select(
-            priority_number.alias("campaign_sk"),
-            priority.substr(F.lit(3), F.length(priority)).alias("campaign_name"),
+def _priority_number() -> Column:
+    return F.substring("o_orderpriority", 1, 1).cast("int")
+
+
+class StarViews(Mapping[str, DataFrame]):
+    """The tables of the star by name, each built when asked for; nothing is read before a job."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._given = cache(lambda name: given_table(spark, folder, name))
+        self._views = {
+            table: cache(getattr(self, f"_{table}")) for table in [*DIMENSIONS, FACT]
+        }
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return self._views[table]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._views)
+
+    def __len__(self) -> int:
+        return len(self._views)
+
+    def _fct_sales(self) -> DataFrame:
+        unspecified = F.col("o_orderpriority") == "4-NOT SPECIFIED"
+        return (
+            self._given("lineitem")
+            .join(self._given("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(
+                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sales_id"),
+                F.col("l_shipdate").alias("sales_date"),
+                _day_number("l_shipdate").alias("date_sk"),
+                F.col("o_custkey").alias("customer_sk"),
+                F.col("l_partkey").alias("product_sk"),
+                F.col("l_suppkey").alias("store_sk"),
+                (F.col("l_orderkey") % 25).cast("int").alias("salesperson_sk"),
+                F.when(~unspecified, _priority_number()).alias("campaign_sk"),
+                F.col("l_extendedprice").alias("total_amount"),
+            )
+        )
+
+    def _dim_campaigns(self) -> DataFrame:
+        priority = F.col("o_orderpriority")
+        return (
+            self._given("orders")
+            .where(~priority.isin("4-NOT SPECIFIED", "5-LOW"))
+            .select(
+                _priority_number().alias("campaign_sk"),
+                priority.substr(F.lit(3), F.length(priority)).alias("campaign_name"),
+            )
+            .distinct()
+        )
+
+    def _dim_dates(self) -> DataFrame:
+        return (
+            self._given("lineitem")
+            .select(
+                _day_number("l_shipdate").alias("date_sk"),
+                F.to_date("l_shipdate").alias("full_date"),
+            )
+            .distinct()
+        )
+
+    def _dim_customers(self) -> DataFrame:
+        return self._given("customer").select(
+            F.col("c_custkey").alias("customer_sk"),
+            F.col("c_name").alias("customer_name"),
+            F.col("c_mktsegment").alias("segment"),
+            F.col("c_acctbal").alias("balance"),
         )
-        .distinct()
-    )
-    dates = lineitem.select(
-        _day_number(F.col("l_shipdate")).alias("date_sk"),
-        F.to_date("l_shipdate").alias("full_date"),
-    ).distinct()
-    customers = given_table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("customer_sk"),
-        F.col("c_name").alias("customer_name"),
-        F.col("c_mktsegment").alias("segment"),
-        F.col("c_acctbal").alias("balance"),
-    )
-    products = given_table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_sk"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-    )
-    stores = (
-        given_table(spark, folder, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("store_sk"),
-            F.col("s_name").alias("store_id"),
-            F.col("n_name").alias("store_name"),
-            F.col("s_acctbal").alias("balance"),
+
+    def _dim_products(self) -> DataFrame:
+        return self._given("part").select(
+            F.col("p_partkey").alias("product_sk"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_type").alias("category"),
+            F.col("p_brand").alias("brand"),
         )
-    )
-    salespersons = nation.where("n_nationkey < 20").select(
-        F.col("n_nationkey").alias("salesperson_sk"), F.col("n_name").alias("salesperson_name")
-    )
-    return {
-        "dim_campaigns": campaigns,
-        "dim_customers": customers,
-        "dim_dates": dates,
-        "dim_products": products,
-        "dim_salespersons": salespersons,
-        "dim_stores": stores,
-        FACT: fact,
-    }
-
-
-def staged_star(spark: SparkSession, folder: str, label: str = "star") -> Layer:
-    """The star written once as a mart layer in the shared folder.
+
+    def _dim_stores(self) -> DataFrame:
+        return (
+            self._given("supplier")
+            .join(self._given("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .select(
+                F.col("s_suppkey").alias("store_sk"),
+                F.col("s_name").alias("store_id"),
+                F.col("n_name").alias("store_name"),
+                F.col("s_acctbal").alias("balance"),
+            )
+        )
+
+    def _dim_salespersons(self) -> DataFrame:
+        return (
+            self._given("nation")
+            .where("n_nationkey < 20")
+            .select(
+                F.col("n_nationkey").alias("salesperson_sk"),
+                F.col("n_name").alias("salesperson_name"),
+            )
+        )
+
+
+def staged_star(spark: SparkSession, folder: str, label: str) -> dict[str, DataFrame]:
+    """The star with its shuffled views written once to the shared folder, the rest as views.
 
     A suite reads the fact several times. As a stored table each pass is a scan of the columns it
     needs, with row-group statistics; as a view each pass would join the given tables again. It
     also ends the lineage there, so a lost executor costs a few tasks and not the join.
     """
-    mart = Layer(spark, fresh_path(spark, label), "mart")
-    for table, view in star_views(spark, folder).items():
-        mart.replace(table, view)
-    return mart
+    star = StarViews(spark, folder)
+    stored = Layer(spark, fresh_path(spark, label), "mart")
+    return {**star, **stored.replace_all({table: star[table] for table in SHUFFLED})}

@@ -6,7 +6,7 @@ times, so they stage the star first (see ``plans.star.staged_star``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import replace
 from datetime import datetime
 from functools import reduce
@@ -16,16 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import literal_rows
-from starmill.operators.key_profile import key_profile, keyed_rows, orphan_rows, parent_keys
+from starmill.operators.references import Reference, orphan_counts
 from starmill.operators.sampling import exact_sample
-from starmill.operators.violations import violation_counts
+from starmill.operators.violations import derived_table_counts
 from starmill.plans import declared, discovered, history, marts, quality_panels, results
 from starmill.plans import sales_panels as panels
-from starmill.plans.pipeline import Warehouse, build_marts
-from starmill.plans.star import DIMENSIONS, FACT, given_table, staged_star, star_views
+from starmill.plans.pipeline import RAW_FACT, Warehouse, build_marts
+from starmill.plans.star import DIMENSIONS, FACT, StarViews, given_table, staged_star
 from starmill.session import fresh_path
 from starmill.sources.csv_ingest import MANIFEST, ingest, ingest_summary, read_csv
-from starmill.sources.exports import export_csv, export_parquet
+from starmill.sources.exports import export_all_csv, export_csv, export_parquet
 from starmill.sources.layers import Layer
 
 AS_OF = datetime(2001, 6, 1)
@@ -38,7 +38,7 @@ HISTORY_BOUND = 100_000
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def analytics_views(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def analytics_views(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {
         "mart_store_daily": marts.store_daily(star[FACT], star["dim_stores"]),
         "mart_campaign_perf": marts.campaign_performance(star[FACT], star["dim_campaigns"]),
@@ -48,32 +48,32 @@ def analytics_views(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
 # --- sources, sinks, layers -------------------------------------------------------------------
 
 
-def star_csv(spark: SparkSession, folder: str, label: str) -> str:
-    """The star as CSV files under the names an ingest run expects."""
-    mart = staged_star(spark, folder, f"{label}-star")
+def star_csv(
+    spark: SparkSession, folder: str, label: str
+) -> tuple[str, dict[str, T.StructType]]:
+    """The star as CSV files under the names an ingest run expects, and the schemas of its facts."""
+    star = StarViews(spark, folder)
+    stores = star["dim_stores"].select("store_sk", "store_name")
     target = fresh_path(spark, label)
-    for table in DIMENSIONS:
-        export_csv(mart.read(table), f"{target}/{table}.csv")
-    fact = mart.read(FACT)
-    export_csv(fact, f"{target}/fact_sales_normalized.csv")
-    stores = mart.read("dim_stores").select("store_sk", "store_name")
-    export_csv(fact.join(stores, "store_sk", "left"), f"{target}/fact_sales_denormalized.csv")
-    return target
+    tables = {table: star[table] for table in DIMENSIONS}
+    tables["fact_sales_normalized"] = star[FACT]
+    tables["fact_sales_denormalized"] = star[FACT].join(stores, "store_sk", "left")
+    export_all_csv(tables, target)
+    return target, {table: df.schema for table, df in tables.items() if table.startswith("fact_")}
 
 
 def fct_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return star_views(spark, folder)[FACT]
+    return StarViews(spark, folder)[FACT]
 
 
 def curate_dims(spark: SparkSession, folder: str) -> DataFrame:
     """Every dimension copied from one layer to the next, with its row count there."""
-    views = star_views(spark, folder)
+    star = StarViews(spark, folder)
     mart = Layer(spark, fresh_path(spark, "curate"), "mart")
+    stored = mart.replace_all({table: star[table].select("*") for table in DIMENSIONS})
     counts = [
-        mart.replace(table, views[table].select("*"))
-        .agg(F.count("*").alias("n"))
-        .select(F.lit(table).alias("dim"), "n")
-        for table in DIMENSIONS
+        df.agg(F.count("*").alias("n")).select(F.lit(table).alias("dim"), "n")
+        for table, df in stored.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -82,9 +82,8 @@ def ingest_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Orders and nations out to CSV, in through the ingest job with inferred types, joined."""
     source = fresh_path(spark, "csv-source")
     manifest = ["orders.csv", "nation.csv", "customer.csv"]
-    for name in manifest:
-        table = name.removesuffix(".csv")
-        export_csv(given_table(spark, folder, table), f"{source}/{name}")
+    names = [name.removesuffix(".csv") for name in manifest]
+    export_all_csv({table: given_table(spark, folder, table) for table in names}, source)
     raw = Layer(spark, fresh_path(spark, "csv-raw"), "raw")
     ingest(raw, [f"{source}/absent", source], manifest)
     customer, nation = raw.read("customer"), raw.read("nation")
@@ -94,22 +93,21 @@ def ingest_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def ingest_summary_query(spark: SparkSession, folder: str) -> DataFrame:
     """The whole star through the ingest job under its manifest of eight files."""
-    source = star_csv(spark, folder, "ingest")
-    schema = star_views(spark, folder)[FACT].schema
+    source, schemas = star_csv(spark, folder, "ingest")
     raw = Layer(spark, fresh_path(spark, "ingest-raw"), "raw")
-    ingest(raw, [source], MANIFEST, {"fact_sales_normalized": schema})
+    ingest(raw, [source], MANIFEST, schemas)
     return ingest_summary(raw, MANIFEST)
 
 
 def export_parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "export") + "/mart_store_daily.parquet"
-    export_parquet(analytics_views(star_views(spark, folder))["mart_store_daily"], path)
+    export_parquet(analytics_views(StarViews(spark, folder))["mart_store_daily"], path)
     return spark.read.parquet(path)
 
 
 def export_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "export") + "/mart_campaign_perf.csv"
-    mart = analytics_views(star_views(spark, folder))["mart_campaign_perf"]
+    mart = analytics_views(StarViews(spark, folder))["mart_campaign_perf"]
     export_csv(mart, path)
     return read_csv(spark, path, mart.schema)
 
@@ -117,8 +115,8 @@ def export_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def pipeline_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The curation job on the whole star, which ends by writing its line to the run log."""
     warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
-    for table, view in star_views(spark, folder).items():
-        warehouse.raw.replace("fact_sales_normalized" if table == FACT else table, view)
+    star = StarViews(spark, folder)
+    warehouse.raw.replace_all({RAW_FACT if t == FACT else t: view for t, view in star.items()})
     build_marts(warehouse, RUN_TS)
     return warehouse.mart.read("pipeline_runs")
 
@@ -132,11 +130,11 @@ def sample_fact_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mart_store_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return analytics_views(star_views(spark, folder))["mart_store_daily"]
+    return analytics_views(StarViews(spark, folder))["mart_store_daily"]
 
 
 def mart_campaign_perf(spark: SparkSession, folder: str) -> DataFrame:
-    return analytics_views(star_views(spark, folder))["mart_campaign_perf"]
+    return analytics_views(StarViews(spark, folder))["mart_campaign_perf"]
 
 
 # --- declared suite ---------------------------------------------------------------------------
@@ -177,23 +175,22 @@ FAMILIES: dict[str, list[declared.Rule]] = {
 
 def rule_family(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        star = star_views(spark, folder)
-        tables = declared.qualified(mart=star, analytics=analytics_views(star))
-        checks = declared.evaluate(FAMILIES[name], tables, AS_OF)
+        star = StarViews(spark, folder)
+        rules = FAMILIES[name]
+        summaries = analytics_views(star) if any("analytics." in r.table for r in rules) else {}
+        tables = declared.qualified(mart=star, analytics=summaries)
+        checks = declared.evaluate(rules, tables, AS_OF, derived=tables)
         return checks.select(*declared.CHECK_COLUMNS)
 
     return run
 
 
 def declared_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """The declared suite on the staged star and the summary marts stored next to it."""
-    mart = staged_star(spark, folder, "declared")
-    stored = mart.tables()
-    analytics = Layer(spark, mart.root, "analytics")
-    for table, view in analytics_views(stored).items():
-        analytics.replace(table, view)
-    tables = declared.qualified(mart=stored, analytics=analytics.tables())
-    return declared.evaluate(declared.RETAIL_RULES, tables, AS_OF)
+    """The declared suite on the staged star and the summary marts derived from it."""
+    star = staged_star(spark, folder, "declared")
+    summaries = declared.qualified(analytics=analytics_views(star))
+    tables = {**declared.qualified(mart=star), **summaries}
+    return declared.evaluate(declared.RETAIL_RULES, tables, AS_OF, derived=summaries)
 
 
 def dq_suite_declared(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,15 +218,15 @@ def dq_report_rows(spark: SparkSession, folder: str) -> DataFrame:
 # --- discovered suite, history and its panels ---------------------------------------------------
 
 
-def discovered_checks(
-    spark: SparkSession, folder: str, check_types: tuple[str, ...] = tuple(discovered.SEVERITY)
-) -> DataFrame:
-    mart = staged_star(spark, folder, "discovered")
-    return discovered.discovered_suite(mart.tables(), RUN_TS, check_types=check_types)
+def discovered_checks(spark: SparkSession, folder: str) -> DataFrame:
+    return discovered.discovered_suite(staged_star(spark, folder, "discovered"), RUN_TS)
 
 
 def discovered_part(check_type: str) -> Query:
-    return lambda spark, folder: discovered_checks(spark, folder, (check_type,))
+    """One type of check reads the fact once, so it runs on the views."""
+    return lambda spark, folder: discovered.discovered_suite(
+        StarViews(spark, folder), RUN_TS, check_types=(check_type,)
+    )
 
 
 def quality_panel(panel: Callable[[DataFrame], DataFrame]) -> Query:
@@ -251,18 +248,19 @@ def dq_run_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 def yearly_checks(spark: SparkSession, folder: str) -> DataFrame:
     """One run per ship year: three checks on that year's sales, with the year as grouping key."""
-    star = star_views(spark, folder)
+    star = StarViews(spark, folder)
     fact = star[FACT].withColumn("year", F.year("sales_date"))
     row_rules = {
         0: ("campaign_sk", F.col("campaign_sk").isNull()),
         2: ("total_amount", F.col("total_amount") > HISTORY_BOUND),
     }
-    bigint = T.LongType()
-    profile = key_profile(keyed_rows(fact, {1: "campaign_sk"}, bigint, ["year"]), ["year"])
-    parents = parent_keys({1: (star["dim_campaigns"], "campaign_sk")}, bigint)
+    pointers = {1: Reference("campaign_sk", star["dim_campaigns"], "campaign_sk")}
     counts = reduce(
         DataFrame.unionByName,
-        [*violation_counts(fact, row_rules, ["year"]), orphan_rows(profile, parents, ["year"])],
+        [
+            derived_table_counts(fact, row_rules, by=["year"]),
+            *orphan_counts(fact, pointers, by=["year"]),
+        ],
     )
     described = literal_rows(
         spark,
@@ -298,11 +296,11 @@ def dq_history_last_k(spark: SparkSession, folder: str) -> DataFrame:
 # --- business panels ----------------------------------------------------------------------------
 
 
-def sales_panel(panel: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, folder: panel(star_views(spark, folder))
+def sales_panel(panel: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, folder: panel(StarViews(spark, folder))
 
 
-def undated(star: dict[str, DataFrame]) -> DataFrame:
+def undated(star: Mapping[str, DataFrame]) -> DataFrame:
     """The synthetic series of the star, in the order its sales happened."""
     order = ["sales_date", "sales_id", "product_sk", "store_sk", "total_amount"]
     return panels.synthetic_trend(star[FACT], order)

@@ -5,10 +5,17 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 MIB = 1024 * 1024
+CONCURRENT_JOBS = 8
+
+Result = TypeVar("Result")
 
 
 def sizing(shuffled_bytes: int, cores: int, target_bytes: int = 200 * MIB) -> dict[str, str]:
@@ -59,3 +66,13 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used, under one directory per application so that it is easy to expire."""
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def side_by_side(jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Independent jobs submitted together, results by name; the first error is raised.
+
+    A small table then need not wait for the fact, and its few tasks fill idle cores.
+    """
+    with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
+        running = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        return {name: future.result() for name, future in running.items()}

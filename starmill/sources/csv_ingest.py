@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from starmill.functions.calendar import iso_utc, timestamp_literal
 from starmill.functions.columns import quoted
+from starmill.session import side_by_side
 from starmill.sources.files import exists
 from starmill.sources.layers import Layer
 
@@ -85,9 +86,13 @@ def ingest(
     """Rebuild one raw table per CSV file; returns the source folder used."""
     folder = first_existing(raw.spark, sources)
     require_files(raw.spark, folder, manifest)
-    for name in manifest:
+    def load(name: str) -> DataFrame:
         table = name.removesuffix(".csv")
-        raw.replace(table, read_csv(raw.spark, f"{folder}/{name}", (schemas or {}).get(table)))
+        return raw.replace(
+            table, read_csv(raw.spark, f"{folder}/{name}", (schemas or {}).get(table))
+        )
+
+    side_by_side({name: partial(load, name) for name in manifest})
     return folder
 
 

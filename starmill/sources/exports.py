@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame
 
+from starmill.session import side_by_side
+
 
 def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -20,7 +25,17 @@ def export_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def export_both(df: DataFrame, folder: str, table: str) -> None:
-    """Both formats of a stored table, side by side."""
-    export_parquet(df, f"{folder}/{table}.parquet")
-    export_csv(df, f"{folder}/{table}.csv")
+def export_all(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Several stored tables in both formats, ``name.parquet`` and ``name.csv``, side by side."""
+    side_by_side(
+        {
+            f"{table}.{form}": partial(export, df, f"{folder}/{table}.{form}")
+            for table, df in tables.items()
+            for form, export in (("parquet", export_parquet), ("csv", export_csv))
+        }
+    )
+
+
+def export_all_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Several tables as ``name.csv`` in one folder, side by side."""
+    side_by_side({t: partial(export_csv, df, f"{folder}/{t}.csv") for t, df in tables.items()})

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starmill.session import side_by_side
 from starmill.sources.files import child_directories, exists
 
 
@@ -40,6 +42,10 @@ class Layer:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(table))
         return self.read(table, df.schema if not partition_by else None)
 
+    def replace_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Rebuild several independent tables side by side."""
+        return side_by_side({t: partial(self.replace, t, df) for t, df in tables.items()})
+
     def append(self, table: str, df: DataFrame) -> DataFrame:
         df.write.mode("append").parquet(self.path(table))
         return self.read(table, df.schema)
