@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import quoted
 
-# Money has two decimal places. Adding doubles gives another last digit for every partitioning or
-# retried task, adding decimals does not.
+# Money has two decimal places.
 MONEY_SCALE = 2
 
 
-def exact(df: DataFrame, measure: str, scale: int = MONEY_SCALE) -> Column:
-    """The measure as a number whose sum is exact: decimals and integers as they are."""
-    kind = df.schema[measure].dataType
-    if isinstance(kind, T.DecimalType):
-        return quoted(measure)
-    if isinstance(kind, T.IntegralType):
-        return quoted(measure).cast(T.DecimalType(20, 0))
-    return quoted(measure).cast(T.DecimalType(18, scale))
+@dataclass(frozen=True)
+class Measure:
+    """A measure as a number that adds up exactly, and how many of its units make one.
+
+    Adding doubles gives another last digit for every partitioning or retried task. Whole cents do
+    not, and adding them costs no more than adding doubles. A total beyond the range of bigint
+    raises, as ANSI arithmetic does.
+    """
 
+    amount: Column
+    units: int
 
-def to_double(total: Column) -> Column:
-    return total.cast("double")
+    def value(self, total: Column) -> Column:
+        return total.cast("double") / F.lit(float(self.units))
 
+    def mean(self, total: Column, n_values: Column) -> Column:
+        """Average over the non-NULL values; NULL for a group without any."""
+        return F.try_divide(self.value(total), n_values.cast("double"))
 
-def mean(total: Column, n_values: Column) -> Column:
-    """Average from an exact total and the number of non-NULL values; NULL for an empty group."""
-    return F.try_divide(total.cast("double"), n_values.cast("double"))
+
+def measure_of(df: DataFrame, name: str, scale: int = MONEY_SCALE) -> Measure:
+    """The measure in a column: decimals and integers as they are, doubles in units of ``scale``."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DecimalType):
+        return Measure(quoted(name), 1)
+    if isinstance(kind, T.IntegralType):
+        return Measure(quoted(name).cast("bigint"), 1)
+    units = 10**scale
+    return Measure(F.rint(quoted(name).cast("double") * units).cast("bigint"), units)

@@ -26,14 +26,8 @@ def row_counts(tables: Mapping[Hashable, DataFrame]) -> dict[Hashable, int]:
 
 
 def is_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return row_counts({0: lookup})[0] <= max_rows
-
+    """Whether a lookup is counted to be small enough for a broadcast.
 
-def lookup_side(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """The lookup marked for broadcast if it is counted to be small, else left to Spark.
-
-    For joins on only a part of the key the other side is partitioned by, where a join that is not
-    known to be small when it is planned would shuffle the large side once more. Spark estimates a
-    lookup that is itself a join far too large, hence the count.
+    The count is exact, while Spark's own estimate is far too high for a lookup that is a join.
     """
-    return F.broadcast(lookup) if is_small(lookup, max_rows) else lookup
+    return row_counts({0: lookup})[0] <= max_rows

@@ -14,57 +14,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.columns import quoted
-from starmill.functions.measures import MONEY_SCALE, exact
-from starmill.operators.lookups import is_small, lookup_side
+from starmill.functions.measures import Measure
+from starmill.operators.lookups import is_small
 
 
 def partial_totals(
-    fact: DataFrame, keys: Sequence[Column], measure: str, *extra: Column, scale: int = MONEY_SCALE
+    fact: DataFrame, keys: Sequence[Column], measure: Measure, *extra: Column
 ) -> DataFrame:
     """(keys..., n_rows, n_values, total, extra...) of the fact."""
-    amount = exact(fact, measure, scale)
     return fact.groupBy(*keys).agg(
         F.count("*").alias("n_rows"),
-        F.count(amount).alias("n_values"),
-        F.sum(amount).alias("total"),
+        F.count(measure.amount).alias("n_values"),
+        F.sum(measure.amount).alias("total"),
         *extra,
     )
 
 
-def final_totals(partial: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
+def final_totals(partial: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The partial totals added up for the final grouping."""
     return partial.groupBy(*keys).agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("n_values").alias("n_values"),
-        F.sum("total").alias("total"),
-        *extra,
+        *[F.sum(name).alias(name) for name in ("n_rows", "n_values", "total")]
     )
 
 
-def named_totals(
-    partial: DataFrame, key: str, dimension: DataFrame, attributes: Sequence[str]
-) -> DataFrame:
-    """Partial totals left-joined to a dimension: its attributes added, totals kept exact.
-
-    The dimension is reduced to one row per key and attributes with the number of its copies, so
-    the joined rows are the final groups and need no further aggregate.
-    """
-    lookup = dimension.groupBy(key, *attributes).agg(F.count("*").alias("copies"))
-    copies = F.coalesce(F.col("copies"), F.lit(1))
-    joined = partial.join(lookup_side(lookup), key, "left")
-    return joined.withColumns(
-        {name: F.col(name) * copies for name in ("n_rows", "n_values", "total")}
-    ).drop("copies")
-
-
 def totals_by_attribute(
     fact: DataFrame,
     fact_key: str,
     dimension: DataFrame,
     dimension_key: str,
     attributes: dict[str, Column],
-    measure: str,
-    scale: int = MONEY_SCALE,
+    measure: Measure,
     broadcast_rows: int = 0,
 ) -> DataFrame:
     """(attributes..., n_rows, n_values, total): inner join of a fact with one dimension.
@@ -76,12 +55,38 @@ def totals_by_attribute(
     they are filtered in the scan.
     """
     known = fact.where(quoted(fact_key).isNotNull())
-    key = quoted(fact_key).alias("key")
+    key = quoted(fact_key).alias("_key")
     lookup = dimension.select(
-        quoted(dimension_key).alias("key"), *[c.alias(name) for name, c in attributes.items()]
+        quoted(dimension_key).alias("_key"), *[c.alias(name) for name, c in attributes.items()]
     )
     if broadcast_rows and is_small(lookup, broadcast_rows):
-        rows = known.select(key, quoted(measure)).join(F.broadcast(lookup), "key")
-        return partial_totals(rows, [F.col(name) for name in attributes], measure, scale=scale)
-    partial = partial_totals(known, [key], measure, scale=scale)
-    return final_totals(partial.join(lookup, "key"), list(attributes))
+        rows = known.select(key, measure.amount.alias("_amount")).join(F.broadcast(lookup), "_key")
+        amount = Measure(F.col("_amount"), measure.units)
+        return partial_totals(rows, [F.col(name) for name in attributes], amount)
+    partial = partial_totals(known, [key], measure)
+    return final_totals(partial.join(lookup, "_key"), list(attributes))
+
+
+def named_totals(
+    partial: DataFrame,
+    key: str,
+    dimension: DataFrame,
+    attributes: Sequence[str],
+    broadcast_rows: int = 0,
+) -> DataFrame:
+    """Partial totals left-joined to a dimension: its attributes added, totals kept exact.
+
+    The dimension is reduced to one row per key and attributes with the number of its copies, so
+    the joined rows are the final groups and need no further aggregate. Where the totals have more
+    keys than the joined one, a join that is not known to be small when it is planned would shuffle
+    them once more; ``broadcast_rows`` has the dimension counted and broadcast if it is no larger.
+    """
+    rows = dimension.select(key, *attributes)
+    lookup = rows.groupBy(key, *attributes).agg(F.count("*").alias("_copies"))
+    if broadcast_rows and is_small(rows, broadcast_rows):
+        lookup = F.broadcast(lookup)
+    copies = F.coalesce(F.col("_copies"), F.lit(1))
+    joined = partial.join(lookup, key, "left")
+    return joined.withColumns(
+        {name: F.col(name) * copies for name in ("n_rows", "n_values", "total")}
+    ).drop("_copies")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions.measures import MONEY_SCALE, mean, to_double
+from starmill.functions.measures import MONEY_SCALE, measure_of
+from starmill.operators.lookups import MAX_BROADCAST_ROWS
 from starmill.operators.totals import named_totals, partial_totals
 
 
@@ -15,19 +16,17 @@ def store_daily(fact: DataFrame, stores: DataFrame, scale: int = MONEY_SCALE) ->
     Sales without a known store are kept, with a NULL name. The one shuffle of the fact is by day
     and store after a map-side combine; the name joins the daily rows.
     """
-    by_day = partial_totals(
-        fact,
-        [F.to_date("sales_date").alias("sales_day"), F.col("store_sk")],
-        "total_amount",
-        scale=scale,
-    )
-    return named_totals(by_day, "store_sk", stores, ["store_name"]).select(
+    amount = measure_of(fact, "total_amount", scale)
+    day = F.to_date("sales_date").alias("sales_day")
+    by_day = partial_totals(fact, [day, F.col("store_sk")], amount)
+    named = named_totals(by_day, "store_sk", stores, ["store_name"], MAX_BROADCAST_ROWS)
+    return named.select(
         "sales_day",
         "store_sk",
         "store_name",
         F.col("n_rows").alias("transactions"),
-        to_double(F.col("total")).alias("revenue"),
-        mean(F.col("total"), F.col("n_values")).alias("avg_order_value"),
+        amount.value(F.col("total")).alias("revenue"),
+        amount.mean(F.col("total"), F.col("n_values")).alias("avg_order_value"),
     )
 
 
@@ -35,21 +34,21 @@ def campaign_performance(
     fact: DataFrame, campaigns: DataFrame, scale: int = MONEY_SCALE
 ) -> DataFrame:
     """One row per campaign, unknown and missing campaigns included, with its first and last day."""
+    amount = measure_of(fact, "total_amount", scale)
     day = F.to_date("sales_date")
     by_campaign = partial_totals(
         fact,
         [F.col("campaign_sk")],
-        "total_amount",
+        amount,
         F.min(day).alias("first_sale_day"),
         F.max(day).alias("last_sale_day"),
-        scale=scale,
     )
     return named_totals(by_campaign, "campaign_sk", campaigns, ["campaign_name"]).select(
         "campaign_sk",
         "campaign_name",
         F.col("n_rows").alias("transactions"),
-        to_double(F.col("total")).alias("revenue"),
-        mean(F.col("total"), F.col("n_values")).alias("avg_order_value"),
+        amount.value(F.col("total")).alias("revenue"),
+        amount.mean(F.col("total"), F.col("n_values")).alias("avg_order_value"),
         "first_sale_day",
         "last_sale_day",
     )

@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from starmill.functions import schema_rules as rules
 from starmill.functions.calendar import MONTHS, WEEKDAYS, month_name, parse_date_key, weekday_name
 from starmill.functions.columns import literal_rows, quoted
-from starmill.functions.measures import MONEY_SCALE, mean, to_double
+from starmill.functions.measures import MONEY_SCALE, Measure, measure_of
 from starmill.operators.lookups import MAX_BROADCAST_ROWS
 from starmill.operators.totals import partial_totals, totals_by_attribute
 
@@ -31,46 +31,52 @@ def _calendar_date(dates: DataFrame, key: str) -> Column:
     return F.to_date(quoted(named)) if named else parse_date_key(quoted(key))
 
 
-def daily_totals(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> DataFrame | None:
+def fact_measure(fact: DataFrame, scale: int = MONEY_SCALE) -> Measure:
+    return measure_of(fact, rules.measure_column(fact), scale)
+
+
+def daily_totals(mart: Mapping[str, DataFrame], measure: Measure) -> DataFrame | None:
     """(date, total): sales per day, through the date dimension or the fact's own date column.
 
     None if the fact can be dated neither way.
     """
     fact = mart[FACT]
-    measure = rules.measure_column(fact)
     key = rules.date_key(fact.columns)
     dates = mart.get("dim_dates")
     dates_key = rules.first_present(["date_sk"], dates.columns) if dates is not None else None
     if key and dates_key:
         attributes = {"date": _calendar_date(dates, dates_key)}
-        totals = totals_by_attribute(fact, key, dates, dates_key, attributes, measure, scale)
+        totals = totals_by_attribute(fact, key, dates, dates_key, attributes, measure)
         return totals.select("date", "total")
     own = rules.date_column(fact)
     if own:
         day = F.to_date(quoted(own)).alias("date")
-        return partial_totals(
-            fact.where(quoted(own).isNotNull()), [day], measure, scale=scale
-        ).select("date", "total")
+        dated = fact.where(quoted(own).isNotNull())
+        return partial_totals(dated, [day], measure).select("date", "total")
     return None
 
 
 def sales_trend(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> DataFrame:
     """(date, metric) in date order; synthetic dates if the fact has none."""
-    daily = daily_totals(mart, scale)
+    measure = fact_measure(mart[FACT], scale)
+    daily = daily_totals(mart, measure)
     if daily is None:
         return synthetic_trend(mart[FACT])
-    return daily.select("date", to_double(F.col("total")).alias("metric")).orderBy("date")
+    return daily.select("date", measure.value(F.col("total")).alias("metric")).orderBy("date")
 
 
 def seasonality(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> DataFrame:
     """(month, dow, metric) over all years, added up from the daily totals."""
-    daily = daily_totals(mart, scale)
+    measure = fact_measure(mart[FACT], scale)
+    daily = daily_totals(mart, measure)
     if daily is None:
-        return synthetic_seasonality(synthetic_trend(mart[FACT]))
-    return (
-        daily.groupBy(month_name(F.col("date")).alias("month"), weekday_name(F.col("date")).alias("dow"))
-        .agg(to_double(F.sum("total")).alias("metric"))
-    )
+        return synthetic_seasonality(synthetic_trend(mart[FACT]), scale)
+    return by_season(daily).agg(measure.value(F.sum("total")).alias("metric"))
+
+
+def by_season(daily: DataFrame) -> GroupedData:
+    day = F.col("date")
+    return daily.groupBy(month_name(day).alias("month"), weekday_name(day).alias("dow"))
 
 
 def seasonality_matrix(heatmap: DataFrame) -> DataFrame:
@@ -106,11 +112,8 @@ def synthetic_trend(
 
 
 def synthetic_seasonality(trend: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
-    amount = F.col("metric").cast(f"decimal(18,{scale})")
-    return (
-        trend.groupBy(month_name(F.col("date")).alias("month"), weekday_name(F.col("date")).alias("dow"))
-        .agg(to_double(F.sum(amount)).alias("metric"))
-    )
+    measure = measure_of(trend, "metric", scale)
+    return by_season(trend).agg(measure.value(F.sum(measure.amount)).alias("metric"))
 
 
 def top_stores(
@@ -125,12 +128,12 @@ def top_stores(
     name = rules.first_present(["store_name"], stores.columns) if stores is not None else None
     if not (key and rules.is_surrogate_key(key) and name):
         return None
+    measure = fact_measure(fact, scale)
     totals = totals_by_attribute(
-        fact, key, stores, "store_sk", {"store": quoted(name)},
-        rules.measure_column(fact), scale, MAX_BROADCAST_ROWS,
+        fact, key, stores, "store_sk", {"store": quoted(name)}, measure, MAX_BROADCAST_ROWS
     )
     return (
-        totals.select("store", to_double(F.col("total")).alias("metric"))
+        totals.select("store", measure.value(F.col("total")).alias("metric"))
         .orderBy(F.desc("metric"), "store")
         .limit(top)
         .orderBy("metric", F.desc("store"))
@@ -146,11 +149,12 @@ def revenue_mix(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> Data
     )
     if not (key and rules.is_surrogate_key(key) and category):
         return None
+    measure = fact_measure(fact, scale)
     totals = totals_by_attribute(
-        fact, key, products, "product_sk", {"category": quoted(category)},
-        rules.measure_column(fact), scale, MAX_BROADCAST_ROWS,
+        fact, key, products, "product_sk", {"category": quoted(category)}, measure,
+        MAX_BROADCAST_ROWS,
     )
-    return totals.select("category", to_double(F.col("total")).alias("metric")).orderBy(
+    return totals.select("category", measure.value(F.col("total")).alias("metric")).orderBy(
         F.desc("metric"), "category"
     )
 
@@ -169,16 +173,16 @@ def campaign_scatter(
     if campaigns is None or not key:
         return None
     name = rules.first_present(rules.CAMPAIGN_NAMES, campaigns.columns) or "campaign_sk"
+    measure = fact_measure(fact, scale)
     totals = totals_by_attribute(
-        fact, key, campaigns, "campaign_sk", {"campaign": quoted(name)},
-        rules.measure_column(fact), scale,
+        fact, key, campaigns, "campaign_sk", {"campaign": quoted(name)}, measure
     )
     return (
         totals.select(
             "campaign",
             F.col("n_rows").cast("double").alias("transactions"),
-            mean(F.col("total"), F.col("n_values")).alias("avg_order_value"),
-            to_double(F.col("total")).alias("revenue"),
+            measure.mean(F.col("total"), F.col("n_values")).alias("avg_order_value"),
+            measure.value(F.col("total")).alias("revenue"),
         )
         .orderBy(F.desc("revenue"), "campaign")
         .limit(top)

@@ -73,6 +73,7 @@ def side_by_side(jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
 
     A small table then need not wait for the fact, and its few tasks fill idle cores.
     """
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
-        running = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        running = {name: pool.submit(inherit(job)) for name, job in jobs.items()}
         return {name: future.result() for name, future in running.items()}
