@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 from pyspark.sql import SparkSession
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """The Hadoop path and its file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _located(spark, path)
+    return files.exists(target)
 
 
 def child_directories(spark: SparkSession, path: str) -> list[str]:
     """Names of the directories directly under a path, sorted; none if the path is absent."""
     if not exists(spark, path):
         return []
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    entries = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
-    return sorted(e.getPath().getName() for e in entries if e.isDirectory())
+    target, files = _located(spark, path)
+    names = [e.getPath().getName() for e in files.listStatus(target) if e.isDirectory()]
+    return sorted(name for name in names if not name.startswith(("_", ".")))
+
+
+def switch(spark: SparkSession, built: str, path: str) -> None:
+    """Put a finished directory in the place of another one."""
+    source, files = _located(spark, built)
+    target, _ = _located(spark, path)
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"could not move {built} to {path}")

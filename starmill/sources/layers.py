@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import partial
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starmill.session import side_by_side
-from starmill.sources.files import child_directories, exists
+from starmill.sources.files import child_directories, exists, switch
 
 
 class Layer:
@@ -38,9 +39,19 @@ class Layer:
         return {name: self.read(name) for name in self.names()}
 
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Rebuild a table from a query. Spark refuses a query that reads the table itself."""
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(table))
-        return self.read(table, df.schema if not partition_by else None)
+        """Rebuild a table from a query, which may read the table itself.
+
+        Overwriting in place would delete the table before the query runs. An existing table is
+        kept until its successor is complete, so a rebuild that fails loses nothing.
+        """
+        path = self.path(table)
+        if not self.exists(table):
+            df.write.partitionBy(*partition_by).parquet(path)
+        else:
+            built = f"{self.root}/_building-{table}-{uuid.uuid4().hex}"
+            df.write.partitionBy(*partition_by).parquet(built)
+            switch(self.spark, built, path)
+        return self.read(table, None if partition_by else df.schema)
 
     def replace_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         """Rebuild several independent tables side by side."""
