@@ -16,6 +16,8 @@ MAX_BROADCAST_KEYS = 1_000_000
 
 def row_counts(tables: Mapping[Hashable, DataFrame]) -> dict[Hashable, int]:
     """Rows of several tables in one job; for stored tables it reads footers only."""
+    if not tables:
+        return {}
     names = list(tables)
     counts = [
         tables[name].agg(F.count("*").alias("n")).select(F.lit(i).alias("i"), "n")

@@ -19,7 +19,7 @@ from starmill.operators.key_profile import (
     parent_keys,
 )
 from starmill.operators.lookups import MAX_BROADCAST_KEYS, row_counts
-from starmill.operators.violations import counts_per_rule
+from starmill.operators.violations import Violations, derived_table_counts
 
 
 @dataclass(frozen=True)
@@ -36,9 +36,12 @@ class Reference:
         )
 
 
+References = Mapping[int, Reference]
+
+
 def orphan_counts(
     df: DataFrame,
-    references: Mapping[int, Reference],
+    references: References,
     by: Sequence[str] = (),
     max_keys: int = MAX_BROADCAST_KEYS,
 ) -> list[DataFrame]:
@@ -48,12 +51,28 @@ def orphan_counts(
     the fact, which then shuffles nothing but counts. The others meet the profile of their keys.
     Both passes together read each column of the fact once.
     """
-    if not references:
-        return []
+    return counts_with_references(df, {}, references, {}, by, max_keys)
+
+
+def counts_with_references(
+    df: DataFrame,
+    violations: Violations,
+    references: References,
+    floors: Mapping[int, int],
+    by: Sequence[str] = (),
+    max_keys: int = MAX_BROADCAST_KEYS,
+) -> list[DataFrame]:
+    """As :func:`orphan_counts`, with row-level rules and floors counted in the pass of the probes.
+
+    A query result is thereby computed once for all of them, unless it has large dimensions.
+    """
     sizes = row_counts({rule: r.parent for rule, r in references.items()})
     small = {rule: r for rule, r in references.items() if sizes[rule] <= max_keys}
     large = {rule: r for rule, r in references.items() if rule not in small}
-    parts = [_probed(df, small, by)] if small else []
+    parts = []
+    if small or violations or floors:
+        probed, orphaned = probe(df, small)
+        parts.append(derived_table_counts(probed, {**violations, **orphaned}, floors, by))
     for kind, members in by_key_type({rule: r.key_type(df) for rule, r in large.items()}):
         rows = keyed_rows(df, {i: large[i].column for i in members}, kind, by)
         parents = parent_keys({i: (large[i].parent, large[i].parent_column) for i in members}, kind)
@@ -61,14 +80,13 @@ def orphan_counts(
     return parts
 
 
-def _probed(df: DataFrame, references: Mapping[int, Reference], by: Sequence[str]) -> DataFrame:
-    """Every row looked up in the broadcast keys of each dimension."""
-    ids = [quoted(c) for c in by]
-    keys = [
-        quoted(r.column).cast(r.key_type(df)).alias(f"_key{rule}") for rule, r in references.items()
-    ]
-    probed = df.select(*ids, *keys)
-    counts = {}
+def probe(df: DataFrame, references: References) -> tuple[DataFrame, Violations]:
+    """The rows with a marker per reference, and per rule the predicate of an orphan.
+
+    Every row is looked up in the broadcast keys of each dimension. The keys are distinct, so each
+    row stays one row.
+    """
+    orphaned = {}
     for rule, r in references.items():
         key, found = f"_key{rule}", f"_found{rule}"
         parents = (
@@ -77,6 +95,7 @@ def _probed(df: DataFrame, references: Mapping[int, Reference], by: Sequence[str
             .distinct()
             .withColumn(found, F.lit(True))
         )
-        probed = probed.join(F.broadcast(parents), key, "left")
-        counts[rule] = F.count_if(F.col(key).isNotNull() & F.col(found).isNull())
-    return counts_per_rule(probed, counts, by)
+        own = quoted(r.column).cast(r.key_type(df))
+        df = df.withColumn(key, own).join(F.broadcast(parents), key, "left")
+        orphaned[rule] = (r.column, F.col(key).isNotNull() & F.col(found).isNull())
+    return df, orphaned

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from starmill.functions.calendar import instant_literal, timestamp_literal, utc_now
 from starmill.functions.columns import literal_rows, quoted
 from starmill.operators.key_profile import key_profile, keyed_rows, repeated_keys
-from starmill.operators.references import Reference, orphan_counts
-from starmill.operators.violations import derived_table_counts, stored_table_counts
+from starmill.operators.references import Reference, counts_with_references, orphan_counts
+from starmill.operators.violations import stored_table_counts
 
 log = logging.getLogger(__name__)
 
@@ -157,10 +157,10 @@ def evaluate(
     """(position, check_name, status, failed_rows, threshold_failed_rows, details) per rule.
 
     Per table: one count for the floors, one filtered scan for all row-level rules, one pass for the
-    references (two if there are large dimensions), one profile per unique key. Tables named in ``derived`` are query results instead of
-    stored tables; their floors and row-level rules share one pass. Uniqueness has its own profile
-    because its keys hardly combine and would crowd out those of the references. The result is a
-    DataFrame of one row per rule; nothing is collected.
+    references (two if there are large dimensions), one profile per unique key. Uniqueness has a
+    profile of its own because its keys hardly combine and would crowd out those of the references.
+    Tables named in ``derived`` are query results instead of stored tables; their floors, row-level
+    rules and references share one pass. One row per rule comes out; nothing is collected.
     """
     rules = present_rules(rules, tables)
     if not rules:
@@ -177,21 +177,19 @@ def evaluate(
             position[r]: (r.column, violated(r, kinds[r.column], as_of))
             for r in mine if r.family in ROW_RULES
         }
-        if table not in derived:
+        pointers = {
+            position[r]: Reference(r.column, tables[r.parent], r.parent_column)
+            for r in mine if r.family == "references"
+        }
+        if table in derived:
+            counts.extend(counts_with_references(df, row_rules, pointers, floors))
+        else:
             counts.extend(stored_table_counts(df, row_rules, floors))
-        elif floors or row_rules:
-            counts.append(derived_table_counts(df, row_rules, floors))
-
+            counts.extend(orphan_counts(df, pointers))
         for r in mine:
             if r.family == "unique":
                 rows = keyed_rows(df, {position[r]: r.column}, kinds[r.column])
                 counts.append(repeated_keys(key_profile(rows)))
-
-        pointers = {
-            position[r]: Reference(r.column, tables[r.parent], r.parent_column)
-            for r in mine if r.family == "references"
-        }
-        counts.extend(orphan_counts(df, pointers))
     return with_status(rules, reduce(DataFrame.unionByName, counts))
 
 

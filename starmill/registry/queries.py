@@ -16,13 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import literal_rows
-from starmill.operators.references import Reference, orphan_counts
+from starmill.operators.references import Reference, counts_with_references
 from starmill.operators.sampling import exact_sample
-from starmill.operators.violations import derived_table_counts
 from starmill.plans import declared, discovered, history, marts, quality_panels, results
 from starmill.plans import sales_panels as panels
 from starmill.plans.pipeline import RAW_FACT, Warehouse, build_marts
-from starmill.plans.star import DIMENSIONS, FACT, StarViews, given_table, staged_star
+from starmill.plans.star import (
+    DIMENSIONS,
+    FACT,
+    SHUFFLED_DIMENSIONS,
+    StarViews,
+    given_table,
+    staged_star,
+)
 from starmill.session import fresh_path
 from starmill.sources.csv_ingest import MANIFEST, ingest, ingest_summary, read_csv
 from starmill.sources.exports import export_all_csv, export_csv, export_parquet
@@ -175,8 +181,9 @@ FAMILIES: dict[str, list[declared.Rule]] = {
 
 def rule_family(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        star = StarViews(spark, folder)
         rules = FAMILIES[name]
+        stored = ["dim_campaigns"] if name == "dq_fk" else []
+        star = staged_star(spark, folder, name, stored)
         summaries = analytics_views(star) if any("analytics." in r.table for r in rules) else {}
         tables = declared.qualified(mart=star, analytics=summaries)
         checks = declared.evaluate(rules, tables, AS_OF, derived=tables)
@@ -223,9 +230,13 @@ def discovered_checks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def discovered_part(check_type: str) -> Query:
-    """One type of check reads the fact once, so it runs on the views."""
+    """One type of check reads the fact once, so the fact stays a view.
+
+    References read their dimensions twice, to count and to broadcast them.
+    """
+    stored = SHUFFLED_DIMENSIONS if check_type == "fk_missing" else []
     return lambda spark, folder: discovered.discovered_suite(
-        StarViews(spark, folder), RUN_TS, check_types=(check_type,)
+        staged_star(spark, folder, check_type, stored), RUN_TS, check_types=(check_type,)
     )
 
 
@@ -248,7 +259,7 @@ def dq_run_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 def yearly_checks(spark: SparkSession, folder: str) -> DataFrame:
     """One run per ship year: three checks on that year's sales, with the year as grouping key."""
-    star = StarViews(spark, folder)
+    star = staged_star(spark, folder, "yearly", ["dim_campaigns"])
     fact = star[FACT].withColumn("year", F.year("sales_date"))
     row_rules = {
         0: ("campaign_sk", F.col("campaign_sk").isNull()),
@@ -256,11 +267,7 @@ def yearly_checks(spark: SparkSession, folder: str) -> DataFrame:
     }
     pointers = {1: Reference("campaign_sk", star["dim_campaigns"], "campaign_sk")}
     counts = reduce(
-        DataFrame.unionByName,
-        [
-            derived_table_counts(fact, row_rules, by=["year"]),
-            *orphan_counts(fact, pointers, by=["year"]),
-        ],
+        DataFrame.unionByName, counts_with_references(fact, row_rules, pointers, {}, ["year"])
     )
     described = literal_rows(
         spark,
