@@ -15,16 +15,15 @@ MAX_BROADCAST_KEYS = 1_000_000
 
 
 def row_counts(tables: Mapping[Hashable, DataFrame]) -> dict[Hashable, int]:
-    """Rows of several tables in one job; for stored tables it reads footers only."""
+    """Rows of several tables in one job with one shuffle; stored tables give up no column for it."""
     if not tables:
         return {}
     names = list(tables)
-    counts = [
-        tables[name].agg(F.count("*").alias("n")).select(F.lit(i).alias("i"), "n")
-        for i, name in enumerate(names)
-    ]
+    marks = [tables[name].select(F.lit(i).alias("i")) for i, name in enumerate(names)]
+    counted = reduce(DataFrame.unionByName, marks).groupBy("i").agg(F.count("*").alias("n"))
     # One row per table: planning input, not data.
-    return {names[i]: n for i, n in reduce(DataFrame.unionByName, counts).collect()}
+    found = {names[i]: n for i, n in counted.collect()}
+    return {name: found.get(name, 0) for name in names}
 
 
 def is_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:

@@ -10,14 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.functions.schema_rules import is_fact
+from starmill.operators.sampling import exact_sample
 from starmill.plans import declared, discovered, history, marts, quality_panels, results
 from starmill.plans.sales_panels import sales_panels
 from starmill.plans.star import DIMENSIONS, FACT
-from starmill.sources.csv_ingest import MANIFEST, ingest, ingest_summary, write_ingest_summary
-from starmill.sources.exports import export_all
+from starmill.sources.csv_ingest import (
+    MANIFEST,
+    ingest,
+    ingest_summary,
+    read_csv,
+    require_files,
+    write_ingest_summary,
+)
+from starmill.sources.exports import export_all, export_all_csv
 from starmill.sources.layers import Layer
 
 RAW_FACT = "fact_sales_normalized"
+# Fixed value: rows kept of each fact in a sample of the files.
+FACT_SAMPLE = 20_000
 
 
 @dataclass(frozen=True)
@@ -47,6 +58,25 @@ class Warehouse:
         return f"{self.root}/reports/{name}"
 
 
+def make_sample(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    manifest: Sequence[str] = MANIFEST,
+    n: int = FACT_SAMPLE,
+    seed: int = 42,
+    schemas: Mapping[str, T.StructType] | None = None,
+) -> None:
+    """A light copy of the CSV files: dimensions whole, facts cut to ``n`` rows, reproducibly."""
+    require_files(spark, source, manifest)
+    tables = {}
+    for name in manifest:
+        table = name.removesuffix(".csv")
+        df = read_csv(spark, f"{source}/{name}", (schemas or {}).get(table))
+        tables[table] = exact_sample(df, n, df.columns, seed) if is_fact(table) else df
+    export_all_csv(tables, target)
+
+
 def load_raw(
     warehouse: Warehouse,
     sources: Sequence[str],

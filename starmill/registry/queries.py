@@ -22,9 +22,9 @@ from starmill.plans import declared, discovered, history, marts, quality_panels,
 from starmill.plans import sales_panels as panels
 from starmill.plans.pipeline import RAW_FACT, Warehouse, build_marts
 from starmill.plans.star import (
+    DERIVED_DIMENSIONS,
     DIMENSIONS,
     FACT,
-    SHUFFLED_DIMENSIONS,
     StarViews,
     given_table,
     staged_star,
@@ -182,8 +182,7 @@ FAMILIES: dict[str, list[declared.Rule]] = {
 def rule_family(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rules = FAMILIES[name]
-        stored = ["dim_campaigns"] if name == "dq_fk" else []
-        star = staged_star(spark, folder, name, stored)
+        star = StarViews(spark, folder)
         summaries = analytics_views(star) if any("analytics." in r.table for r in rules) else {}
         tables = declared.qualified(mart=star, analytics=summaries)
         checks = declared.evaluate(rules, tables, AS_OF, derived=tables)
@@ -234,7 +233,7 @@ def discovered_part(check_type: str) -> Query:
 
     References read their dimensions twice, to count and to broadcast them.
     """
-    stored = SHUFFLED_DIMENSIONS if check_type == "fk_missing" else []
+    stored = DERIVED_DIMENSIONS if check_type == "fk_missing" else []
     return lambda spark, folder: discovered.discovered_suite(
         staged_star(spark, folder, check_type, stored), RUN_TS, check_types=(check_type,)
     )
@@ -259,7 +258,7 @@ def dq_run_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 def yearly_checks(spark: SparkSession, folder: str) -> DataFrame:
     """One run per ship year: three checks on that year's sales, with the year as grouping key."""
-    star = staged_star(spark, folder, "yearly", ["dim_campaigns"])
+    star = StarViews(spark, folder)
     fact = star[FACT].withColumn("year", F.year("sales_date"))
     row_rules = {
         0: ("campaign_sk", F.col("campaign_sk").isNull()),

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.plans import history
-from starmill.plans.pipeline import Warehouse, run_all, run_declared_checks
+from starmill.plans.pipeline import Warehouse, make_sample, run_all, run_declared_checks
+from starmill.sources.csv_ingest import MANIFEST, read_csv
 from starmill.sources.exports import export_all_csv
 from tests.star_fixture import small_star
 
@@ -56,3 +57,17 @@ def test_two_runs(spark, csv_folder, tmp_path) -> None:
     assert report[0].passed + report[0].failed == 21
     [ingest] = spark.read.json(warehouse.report("ingest_summary")).collect()
     assert len(ingest.tables) == 8 and ingest.raw_dir == csv_folder
+
+
+def test_sample_keeps_dimensions_and_cuts_facts(spark, csv_folder, tmp_path) -> None:
+    target = str(tmp_path / "sample")
+    make_sample(spark, csv_folder, target, n=100)
+    whole = {n: read_csv(spark, f"{csv_folder}/{n}").count() for n in MANIFEST}
+    cut = {n: read_csv(spark, f"{target}/{n}").count() for n in MANIFEST}
+    for name in MANIFEST:
+        assert cut[name] == (100 if name.startswith("fact_") else whole[name])
+    again = str(tmp_path / "again")
+    make_sample(spark, csv_folder, again, n=100)
+    first, second = (read_csv(spark, f"{f}/fact_sales_normalized.csv") for f in (target, again))
+    assert first.exceptAll(second).count() == 0
+    assert first.exceptAll(read_csv(spark, f"{csv_folder}/fact_sales_normalized.csv")).count() == 0
