@@ -155,6 +155,23 @@ def test_text_keys_compare_with_whole_numbers(spark) -> None:
         assert counts.collect()[0].failed_rows == 0
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(10,1)", "smallint"])
+def test_numbers_of_any_kind_compare(spark, kind: str) -> None:
+    """A key with gaps comes from CSV as 1.0 where the dimension holds 1."""
+    fact = spark.sql(f"SELECT CAST(k AS {kind}) AS k FROM VALUES (1), (2), (9), (NULL) AS t(k)")
+    parent = spark.createDataFrame([(1,), (2,)], "k bigint")
+    for max_keys in (0, 10):
+        [counts] = orphan_counts(fact, {0: Reference("k", parent, "k")}, max_keys=max_keys)
+        assert counts.collect()[0].failed_rows == 1
+
+
+def test_keys_that_do_not_compare_raise(spark) -> None:
+    fact = spark.sql("SELECT DATE'2024-01-01' AS k")
+    parent = spark.createDataFrame([(1,)], "k bigint")
+    with pytest.raises(TypeError, match="do not compare"):
+        orphan_counts(fact, {0: Reference("k", parent, "k")})
+
+
 @pytest.mark.parametrize(
     ("kind", "values"),
     [

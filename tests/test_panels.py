@@ -59,6 +59,16 @@ def test_both_ways_to_total_agree_with_rows(spark, broadcast_rows: int) -> None:
     assert {r.store: [r.n_rows, r.total] for r in got} == dict(expected)
 
 
+def test_marts_and_panels_with_a_key_read_as_double(spark) -> None:
+    star = small_star(spark)
+    same = {**star, "fct_sales": star["fct_sales"].withColumn("campaign_sk", F.col("campaign_sk").cast("double"))}
+    for job in (
+        lambda m: marts.campaign_performance(m["fct_sales"], m["dim_campaigns"]),
+        sales_panels.campaign_scatter,
+    ):
+        assert {tuple(r) for r in job(same).collect()} == {tuple(r) for r in job(star).collect()}
+
+
 def test_mean_ignores_null_and_empty_groups_are_null(spark) -> None:
     fact = spark.createDataFrame([(1, 2.0), (1, None), (2, None)], "k int, m double")
     measure = measure_of(fact, "m")
