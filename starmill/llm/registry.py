@@ -1,0 +1,8 @@
+"""The queries of the operators and of the pipeline, with their SQL counterparts."""
+
+from __future__ import annotations
+
+from starmill.llm.oracle import ORACLE
+from starmill.llm.queries import QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
