@@ -82,7 +82,30 @@ SELECT page_id, host, path,
 FROM q JOIN hr USING (host)
 """
 
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), s AS (
+  SELECT r, unnest(range(1, len(words) - 33)) AS pos, words FROM d WHERE len(words) >= 35
+), w AS (
+  SELECT r, pos, count(*) OVER (PARTITION BY array_to_string(list_slice(words, pos, pos + 34), ' ')) AS n FROM s
+), g AS (
+  SELECT DISTINCT r, unnest(range(pos, pos + 35)) AS pos FROM w WHERE n > 1
+), x AS (
+  SELECT r, list(pos) AS gone FROM g GROUP BY r
+), k AS (
+  SELECT doc_id, words, coalesce(gone, []) AS gone,
+         list_filter(words, lambda v, i: NOT list_contains(coalesce(gone, []), i)) AS kept
+  FROM d LEFT JOIN x USING (r)
+)
+SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM k
+"""
+
 ORACLE = {
     "op6_exact_dedup": EXACT_DEDUP,
+    "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_host_reputation": HOST_REPUTATION,
 }

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from starmill.llm.exact_dedup import exact_groups
 from starmill.llm.fingerprints import edit_comparison
 from starmill.llm.host_reputation import Rule, judged_urls, path_of
-from starmill.llm.text import table
+from starmill.llm.ngram_join import shingle_components
+from starmill.llm.substring_dedup import repeated_runs_removed
+from starmill.llm.text import one_blank, table, whole
 
 URL_RULES = (
     Rule("allow", "com", "/"),
@@ -19,6 +21,10 @@ URL_RULES = (
 )
 
 
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_groups(table(spark, folder, "documents").select("doc_id", "text"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -28,6 +34,12 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edit_comparison(table(spark, folder, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = repeated_runs_removed(table(spark, folder, "documents").select("doc_id", "text"))
+    kept = F.sha2(one_blank(whole("text")).cast("binary"), 256)
+    return cut.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     """A page's outcome is the label of the document that its url numbers: bad if poor or toxic."""
     bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
@@ -42,7 +54,9 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_join": op3_ngram_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_fingerprints": op8_fingerprints,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_host_reputation": op10_host_reputation,
 }

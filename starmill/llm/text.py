@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import gc
+import io
 import math
 import string
 import uuid
+import zipfile
+from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import starmill
 from starmill.session import fresh_path
 
 
@@ -26,11 +32,39 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def one_blank(column: Column) -> Column:
+    """The words of a text joined by one blank; words are runs of other than blank and 0x09-0x0D."""
+    spaced = F.regexp_replace(column, r"[\x20\x09-\x0D]+", " ")
+    return F.trim(spaced)
+
+
 def own(name: str) -> str:
     """A column name that no given table has."""
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for each application, by way of the shared folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(starmill.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    path = f"{fresh_path(spark, 'package')}/starmill.zip"
+    target: Any = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 class Scratch:
     """Tables written to the shared folder, each readable by every executor.
 
@@ -38,6 +72,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
+        ship(spark)
         self.spark, self.base, self._n = spark, fresh_path(spark, label), 0
 
     def path(self) -> str:
@@ -47,6 +82,9 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         path = self.path()
         df.write.parquet(path)
+        # Shuffle files of finished steps go when their plans are collected, here and in the JVM.
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
 
