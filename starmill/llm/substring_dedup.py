@@ -13,16 +13,16 @@ The result does not depend on which occurrence is seen first: all are removed, j
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.llm.shared_hashes import PARTITION_HASHES, Hashed, shared_hashes, short_hash
-from starmill.llm.text import Scratch, own, partitions_for, text_bytes
+from starmill.llm.text import Scratch, own, partitions_for, release, text_bytes
 from starmill.llm.word_hash import run_hashes, small_batches, texts_of
 
 WINDOW = 35
@@ -67,7 +67,10 @@ def _hits(name: bytes, figure: int, hashes: np.ndarray, totals: np.ndarray) -> t
 
 
 def repeated_runs_removed(
-    docs: DataFrame, text_column: str = "text", window: int = WINDOW
+    docs: DataFrame,
+    text_column: str = "text",
+    window: int = WINDOW,
+    shown: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Every row of ``docs``; ``text_column`` without repeated runs, and n_words and n_removed.
 
@@ -75,7 +78,8 @@ def repeated_runs_removed(
     a window of ``window`` successive words covers it whose sequence also starts elsewhere, in the same
     text or another. A text that loses words is its kept words joined by one blank, any other is
     unchanged. Null counts as a text without words and stays null. Repeated rows repeat each other.
-    Columns named n_words or n_removed are replaced. An empty table gives an empty result.
+    ``shown`` replaces the text by an expression of it (a digest), so that whole texts need not be stored
+    between the steps. Columns named n_words or n_removed are replaced. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
@@ -142,7 +146,12 @@ def repeated_runs_removed(
             T.StructField("mask", T.BinaryType()),
         ]
     )
-    seen = scratch.keep(keyed.join(hits, "key", "left").mapInArrow(candidates, with_masks))
+    show = shown or (lambda text: text)
+    masked = keyed.join(hits, "key", "left").mapInArrow(candidates, with_masks)
+    final = F.when(F.col("mask").isNull(), show(F.col("text"))).otherwise(F.col("text"))
+    seen = scratch.keep(masked.withColumn("text", final))
+    del hits, masked
+    release(spark)
 
     def windows(batch: pa.RecordBatch) -> Hashed:
         hashes, first = texts_of(batch.column("text")).word_hashes()
@@ -197,6 +206,7 @@ def repeated_runs_removed(
         ]
     )
     cut = suspects.select("key", "row", "text", "n_words").join(repeats, "key", "left").mapInArrow(removed, after)
+    cut = cut.withColumn("text", show(F.col("text")))
     whole = seen.where("mask IS NULL").select(
         "row", "text", "n_words", F.lit(0).cast("long").alias("n_removed")
     )

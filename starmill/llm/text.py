@@ -6,6 +6,7 @@ import gc
 import io
 import math
 import string
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -82,12 +83,20 @@ class Scratch:
     def keep(self, df: DataFrame) -> DataFrame:
         path = self.path()
         df.write.parquet(path)
-        # Shuffle files of finished steps go when their plans are collected, here and in the JVM.
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let shuffle files of finished steps go, which Spark removes once their plans are collected.
+
+    The second time reaches what the listeners of the first step's end still held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts, to size partitions by."""
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0

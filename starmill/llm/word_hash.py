@@ -9,7 +9,7 @@ memory is eight bytes a word.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -72,8 +72,9 @@ def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return mixed((running[length:] - running[:n]) * down[:n] + np.uint64(length))
 
 
-def separators(data: np.ndarray) -> np.ndarray:
-    return (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+#: Bytes that end a word: blank and 0x09-0x0D.
+BLANKS = np.zeros(256, dtype=bool)
+BLANKS[[0x20, *range(0x09, 0x0E)]] = True
 
 
 @dataclass
@@ -82,6 +83,7 @@ class Texts:
 
     data: np.ndarray
     offsets: np.ndarray
+    ends_word: np.ndarray = field(default_factory=lambda: BLANKS)
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -94,7 +96,7 @@ class Texts:
         starts, ends = [], []
         for at, to in self._pieces():
             data = self.data[at:to]
-            inside = ~separators(data)
+            inside = ~self.ends_word[data]
             before, after = np.zeros_like(inside), np.zeros_like(inside)
             before[1:], after[:-1] = inside[:-1], inside[1:]
             edges = self.offsets[np.searchsorted(self.offsets, at) : np.searchsorted(self.offsets, to)] - at
@@ -126,7 +128,7 @@ class Texts:
         while at < n:
             to = min(at + PIECE, n)
             while to < n:
-                near = separators(self.data[to : to + PIECE])
+                near = self.ends_word[self.data[to : to + PIECE]]
                 gap = int(np.argmax(near)) if near.any() else -1
                 i = np.searchsorted(self.offsets, to)
                 border = int(self.offsets[i])
