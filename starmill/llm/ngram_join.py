@@ -117,7 +117,7 @@ def _scaled(alone: int, rare: int, tokens: np.ndarray, missing: int, scale: int)
     parts = [mixed(mixed(single) + salt)]
     left = missing + 1 - alone - rare
     if left > 0:
-        classes = max(1, (1 << scale) // (4 * CLASS_TOKENS))
+        classes = max(1, int((1 << scale) / (4 * CLASS_TOKENS)))
         frequent = tokens[rare:]
         kind = (mixed(frequent ^ np.uint64(0xA5A5)) % np.uint64(classes)).astype(np.int64)
         # A class's first token adds nothing to the bound, each later one adds one.

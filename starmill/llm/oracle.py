@@ -105,6 +105,7 @@ FROM k
 """
 
 ORACLE = {
+    "op2_warc": WARC,
     "op6_exact_dedup": EXACT_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_host_reputation": HOST_REPUTATION,
