@@ -30,7 +30,7 @@ from starmill.llm.word_hash import small_batches, texts_of
 SEQUENCE = 2048
 END_ID = 1
 GRID = 8
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
 BUCKET_PIECES = 250_000
 MOST_PIVOTS = 20_000
 

@@ -1,25 +1,29 @@
 """Token ids of whole batches of texts by a byte-level tokenizer of the tokenizers library.
 
-Texts are cut before every blank that follows a visible ASCII character or a Latin letter. There the
-tokenizer always begins a new piece of its own: none of its patterns continues over a blank that
-follows such a character, none looks back, the only one that looks ahead ends at a run of white space, and
-no special string contains a blank. So a text's ids are those of its segments in order, and a segment that
+Texts are cut before every blank that follows a visible ASCII character or a Latin letter, and between
+such a letter and a point, comma or line end. There the tokenizer always begins a new piece of its own:
+none of its patterns continues over such a place, none looks back, the only one that looks ahead ends at
+a run of white space, and no special string contains such a place. So a text's ids are those of its segments in order, and a segment that
 has been seen is not encoded again. Each worker keeps a bounded table of segments; when it is full it
 starts anew. Segments are found again by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from starmill.llm.word_hash import Texts, span_hashes
 
-MOST_SEGMENTS = 400_000
-LEAST_BATCH = 1 << 19
+MOST_SEGMENTS = 2_000_000
+#: Bytes that end a word of letters; not those that occur in special strings.
+POINTS = np.zeros(256, dtype=bool)
+POINTS[list(b".,;:!?\n")] = True
 
 
 @lru_cache(maxsize=4)
@@ -37,7 +41,8 @@ def segment_starts(texts: Texts) -> np.ndarray:
         letter = (before >= 0x80) & (data[:-2] >= 0xC3) & (data[:-2] <= 0xC9)
         # Only the letters of these two blocks: not the multiplication and division signs.
         letter &= ~((data[:-2] == 0xC3) & ((before == 0x97) | (before == 0xB7)))
-        cut[2:] = (data[2:] == 0x20) & (visible | letter)
+        plain = (before | 0x20) - np.uint8(0x61) < 26
+        cut[2:] = ((data[2:] == 0x20) & (visible | letter)) | (POINTS[data[2:]] & (plain | letter))
     begins = texts.offsets[:-1][np.diff(texts.offsets) > 0]
     cut[begins] = True
     return np.flatnonzero(cut)
@@ -52,43 +57,59 @@ class SegmentTable:
 
     def clear(self) -> None:
         self.hashes = np.zeros(0, dtype=np.uint64)
-        self.where = np.zeros(0, dtype=np.int64)
-        self.size = np.zeros(0, dtype=np.int64)
+        self.where = np.zeros(0, dtype=np.uint32)
+        self.size = np.zeros(0, dtype=np.uint32)
         self.ids = np.zeros(0, dtype=np.uint32)
 
     def add(self, hashes: np.ndarray, segments: list[str]) -> None:
-        if len(self.hashes) + len(hashes) > MOST_SEGMENTS:
-            self.clear()
-        lists = self.encode(segments)
-        size = np.array([len(x) for x in lists], dtype=np.int64)
-        ids = np.concatenate([self.ids, np.array([i for x in lists for i in x], dtype=np.uint32)])
-        where = np.cumsum(size) - size + len(self.ids)
-        order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
-        self.hashes = np.concatenate([self.hashes, hashes])[order]
-        self.where = np.concatenate([self.where, where])[order]
-        self.size = np.concatenate([self.size, size])[order]
-        self.ids = ids
+        """Segments that are not in the table, in the order of their hashes."""
+        # Millions of short lists come and go here, none of them in cycles.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            lists = self.encode(segments)
+            size = np.fromiter(map(len, lists), dtype=np.uint32, count=len(lists))
+            new = np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(size.sum()))
+            del lists
+        finally:
+            if collecting:
+                gc.enable()
+        where = (np.cumsum(size, dtype=np.int64) - size + len(self.ids)).astype(np.uint32)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.where = np.insert(self.where, at, where)
+        self.size = np.insert(self.size, at, size)
+        self.ids = np.concatenate([self.ids, new])
 
     def places(self, texts: Texts, starts: np.ndarray) -> np.ndarray:
         """The row of every segment, after the missing ones were encoded."""
+        if not len(starts):
+            return np.zeros(0, dtype=np.int64)
         ends = np.append(starts[1:], len(texts.data))
-        hashes = span_hashes(texts.data, starts, ends) if len(starts) else self.hashes[:0]
-        for _ in range(2):
-            unique, first = np.unique(hashes, return_index=True)
-            place = np.searchsorted(self.hashes, unique)
-            known = np.zeros(len(unique), dtype=bool)
-            inside = place < len(self.hashes)
-            known[inside] = self.hashes[place[inside]] == unique[inside]
-            missing = np.flatnonzero(~known)
-            if not len(missing):
-                break
-            if len(self.hashes) + len(missing) > MOST_SEGMENTS:
-                self.clear()
-                missing = np.arange(len(unique))
+        hashes = span_hashes(texts.data, starts, ends)
+        order = np.argsort(hashes)
+        ranked = hashes[order]
+        fresh = np.ones(len(ranked), dtype=bool)
+        fresh[1:] = ranked[1:] != ranked[:-1]
+        unique, first = ranked[fresh], order[fresh]
+        missing = self._missing(unique)
+        if len(self.hashes) + len(missing) > MOST_SEGMENTS:
+            self.clear()
+            missing = np.arange(len(unique))
+        if len(missing):
             at = first[missing]
             body = texts.data.tobytes()
-            self.add(unique[missing], [body[starts[i] : ends[i]].decode() for i in at])
-        return np.searchsorted(self.hashes, hashes)
+            spans = zip(starts[at].tolist(), ends[at].tolist())
+            self.add(unique[missing], [body[a:b].decode() for a, b in spans])
+        place = np.empty(len(hashes), dtype=np.int64)
+        place[order] = np.searchsorted(self.hashes, unique)[np.cumsum(fresh) - 1]
+        return place
+
+    def _missing(self, unique: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.arange(len(unique))
+        place = np.minimum(np.searchsorted(self.hashes, unique), len(self.hashes) - 1)
+        return np.flatnonzero(self.hashes[place] != unique)
 
 
 @lru_cache(maxsize=4)
@@ -104,7 +125,7 @@ def ids_at(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts by a table, and where each text's begin."""
     place = table.places(texts, starts)
-    size, where = table.size[place], table.where[place]
+    size, where = table.size[place].astype(np.int64), table.where[place].astype(np.int64)
     ends = np.cumsum(size)
     total = int(ends[-1]) if len(ends) else 0
     at = np.arange(total) - np.repeat(ends - size - where, size)
@@ -121,6 +142,6 @@ def text_counts(texts: Texts, path: str) -> np.ndarray:
     """How many tokens each text has."""
     table, starts = segment_table(path), segment_starts(texts)
     place = table.places(texts, starts)
-    running = np.concatenate([[0], np.cumsum(table.size[place])])
+    running = np.concatenate([[0], np.cumsum(table.size[place], dtype=np.int64)])
     first = running[np.searchsorted(starts, texts.offsets)]
     return np.diff(first)
