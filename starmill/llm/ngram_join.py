@@ -12,11 +12,14 @@ ceil(t * |x|) tokens of x, so at most e = |x| - ceil(t * |x|) tokens of x may be
    prefix, more than e tokens would be missing: so they share an indexed token or pair.
    Sets of fewer than ``SMALL`` tokens are indexed singly. The number of classes depends on a set's
    size by powers of two; a set whose partners may fall in the next lower power is indexed for both.
-3. Sets in one index entry are compared with a pivot of the entry, not with each other. Sets linked with it
-   are one component from then on; an entry whose sets are all in one component is done, otherwise its
-   pivot leaves and more pivots are taken in the next round, four times as many each. So a large group
-   of copies costs one comparison a member, and yet no link between components is missed.
-4. A pair is verified by the size of the intersection of its tokens.
+3. Sets in one index entry are first compared with pivots of the entry only: one of each entry, then a
+   few of a sample of the entries. Sets linked with a pivot are one component from then on, and entries
+   within one component are done. So a large group of copies costs a few comparisons a member.
+4. What is left are entries with several components. Their sets are dealt to blocks of about ``BLOCK``, sets
+   of one component together and stray ones together; two blocks that meet in an entry are compared as a
+   whole, but for sets of one component. No link between components is missed, and a pair of blocks is
+   compared once, in however many entries its sets meet.
+5. A pair is verified by the size of the intersection of its tokens.
 
 Equal sets are one node from the start. Only ids, sets and links of texts with possible links are kept,
 in the shared folder.
@@ -45,7 +48,12 @@ RARE = 8
 #: Smaller sets are indexed by single tokens only.
 SMALL = 32
 #: About so many frequent tokens of a prefix fall in one class.
-CLASS_TOKENS = 8
+CLASS_TOKENS = 2
+#: Rounds of comparisons with pivots: which share of the entries, and how many pivots of each.
+STAR_ROUNDS = ((1, 1), (8, 4), (32, 16))
+#: Nodes of a block, and tokens that are compared at once.
+BLOCK = 48
+TOKENS_AT_ONCE = 4096
 
 
 @dataclass(frozen=True)
@@ -231,50 +239,147 @@ def _linked(index: DataFrame, nodes: DataFrame, similarity: Similarity, scratch:
     open_entries = scratch.keep(
         index.join(held, F.col("entry") == F.col("held")).select("entry", "node", "n", F.col("node").alias("root"))
     )
-    links, pivots_each = None, 1
-    tested = None
-    while True:
-        if pivots_each == 1:
-            chosen = open_entries.groupBy("entry").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n", "root")).alias("p"))
-            chosen = chosen.select("entry", "p.node", "p.n", "p.root")
-        else:
-            rank = F.row_number().over(Window.partitionBy("entry").orderBy(F.xxhash64("node"), "node"))
-            distinct_nodes = open_entries.withColumn("rank", rank)
-            chosen = distinct_nodes.where(F.col("rank") <= pivots_each).drop("rank")
-        pivot = chosen.select(
-            "entry", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("root").alias("pivot_root")
-        )
-        near = (F.least("n", "pivot_n") * 100) >= (F.greatest("n", "pivot_n") * similarity.percent)
-        pairs = (
-            open_entries.join(pivot, "entry")
-            .where((F.col("root") != F.col("pivot_root")) & near)
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        judged = scratch.keep(_judged(pairs, nodes, similarity))
-        found = judged.where("similar").select("a", "b")
+    links = None
+    for share, pivots in STAR_ROUNDS:
+        some = open_entries.where(F.pmod(F.xxhash64("entry"), F.lit(share)) == 0)
+        pairs = _pivot_pairs(some, pivots, similarity)
+        found = scratch.keep(_judged(pairs, nodes, similarity).where("similar").select("a", "b"))
         links = found if links is None else links.unionByName(found)
-        tested = judged.select("a", "b") if tested is None else tested.unionByName(judged.select("a", "b"))
         roots = components(links, scratch).select(F.col("node").alias("linked"), F.col("root").alias("joined"))
-        # Pivots have met all of their entry. What is left of an entry matters if it has several roots.
-        left = open_entries.join(
-            pivot.select("entry", F.col("pivot").alias("node")), ["entry", "node"], "left_anti"
-        ).drop("root")
-        left = left.join(roots, F.col("node") == F.col("linked"), "left").select(
-            "entry", "node", "n", F.coalesce("joined", "node").alias("root")
-        )
+        rooted = open_entries.drop("root").join(roots, F.col("node") == F.col("linked"), "left")
+        rooted = rooted.select("entry", "node", "n", F.coalesce("joined", "node").alias("root"))
         several = (
-            left.groupBy("entry")
+            rooted.groupBy("entry")
             .agg(F.min("root").alias("low"), F.max("root").alias("high"))
             .where("low <> high")
             .select("entry")
         )
-        open_entries = scratch.keep(left.join(several, "entry", "left_semi"))
+        open_entries = scratch.keep(rooted.join(several, "entry", "left_semi"))
         if open_entries.isEmpty():
             return links
-        pivots_each *= 4
+    return links.unionByName(scratch.keep(_block_links(open_entries, nodes, similarity)))
+
+
+def _pivot_pairs(entries: DataFrame, pivots: int, similarity: Similarity) -> DataFrame:
+    """Pairs of a node and one of the first ``pivots`` nodes of its entry that may link and do not yet."""
+    if pivots == 1:
+        first = F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n", "root")).alias("p")
+        chosen = entries.groupBy("entry").agg(first).select("entry", "p.node", "p.n", "p.root")
+    else:
+        rank = F.row_number().over(Window.partitionBy("entry").orderBy(F.xxhash64("node"), "node"))
+        chosen = entries.withColumn("rank", rank).where(F.col("rank") <= pivots).drop("rank")
+    pivot = chosen.select(
+        "entry", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("root").alias("pivot_root")
+    )
+    near = (F.least("n", "pivot_n") * 100) >= (F.greatest("n", "pivot_n") * similarity.percent)
+    return (
+        entries.join(pivot, "entry")
+        .where((F.col("root") != F.col("pivot_root")) & near)
+        .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        .distinct()
+    )
+
+
+def _block_links(entries: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFrame:
+    """Links between the components that meet in entries, by comparing blocks of their nodes."""
+    sizes = entries.groupBy("entry").agg(F.count("*").alias("size"))
+    # Nodes that meet in many entries have their largest entry in common, mostly.
+    hub = F.max(F.struct("size", F.col("entry").alias("hub"))).alias("h")
+    placed = entries.join(sizes, "entry").groupBy("node", "root").agg(hub)
+    placed = placed.select("node", "root", F.col("h.hub").alias("hub"))
+    large = (
+        placed.groupBy("hub", "root")
+        .agg(F.count("*").alias("members"))
+        .where(F.col("members") >= BLOCK)
+        .select(F.col("hub").alias("large_hub"), F.col("root").alias("large_root"), "members")
+    )
+    strays = (
+        placed.groupBy("hub", "root")
+        .agg(F.count("*").alias("members"))
+        .where(F.col("members") < BLOCK)
+        .groupBy(F.col("hub").alias("stray_hub"))
+        .agg(F.sum("members").alias("stray_members"))
+    )
+    dealt = (
+        placed.join(large, (F.col("hub") == F.col("large_hub")) & (F.col("root") == F.col("large_root")), "left")
+        .join(strays, F.col("hub") == F.col("stray_hub"), "left")
+        .withColumn("parts", F.ceil(F.coalesce("members", "stray_members") / BLOCK))
+    )
+    share = F.pmod(F.xxhash64("node"), F.col("parts"))
+    block_of = dealt.select(
+        F.col("node").alias("block_node"),
+        "root",
+        F.xxhash64("hub", F.coalesce("large_root", F.lit(b"")), share).alias("block"),
+        F.col("large_root").alias("pure"),
+    )
+    met = (
+        entries.select("entry", "node")
+        .join(block_of, F.col("node") == F.col("block_node"))
+        .select("entry", "block", "pure")
+        .distinct()
+    )
+    other = met.select("entry", F.col("block").alias("other"), F.col("pure").alias("other_pure"))
+    one = F.coalesce(F.col("pure") == F.col("other_pure"), F.lit(False))
+    pairs = met.join(other, "entry").where((F.col("block") <= F.col("other")) & ~one)
+    pairs = pairs.select("block", "other").distinct()
+    members = F.collect_list(F.struct("node", "n", "root", "tokens"))
+    blocks = (
+        nodes.select("node", "n", "tokens")
+        .join(block_of, F.col("node") == F.col("block_node"))
+        .groupBy("block")
+        .agg(members.alias("members"))
+    )
+    others = blocks.select(F.col("block").alias("other"), F.col("members").alias("other_members"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                left = batch.column("members")[i].as_py()
+                right = batch.column("other_members")[i].as_py()
+                found = list(spanning_links(left, right, similarity))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[k] for f in found], pa.binary()) for k in (0, 1)], ["a", "b"]
+                )
+
+    both = pairs.join(blocks, "block").join(others, "other").select("members", "other_members")
+    return both.mapInArrow(compare, "a binary, b binary")
+
+
+def spanning_links(left: list[dict], right: list[dict], similarity: Similarity) -> Iterator[tuple[bytes, bytes]]:
+    """Verified links between nodes of two blocks that connect all roots that are linked there."""
+    common = intersections([m["tokens"] for m in left], [m["tokens"] for m in right])
+    n, m = np.array([x["n"] for x in left]), np.array([x["n"] for x in right])
+    links = 100 * common >= similarity.percent * (n[:, None] + m[None, :] - common)
+    joined: dict[bytes, bytes] = {}
+
+    def top(root: bytes) -> bytes:
+        while joined.get(root, root) != root:
+            root = joined[root]
+        return root
+
+    for i, j in zip(*np.nonzero(links)):
+        a, b = top(left[i]["root"]), top(right[j]["root"])
+        if a != b:
+            joined[max(a, b)] = min(a, b)
+            yield left[i]["node"], right[j]["node"]
+
+
+def intersections(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Sizes of the intersections of every set of one block with every one of another."""
+    sets = [np.frombuffer(t, dtype=np.uint64) for t in (*left, *right)]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    tokens = np.concatenate(sets)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    column = np.cumsum(np.concatenate([[False], tokens[1:] != tokens[:-1]]))
+    total = np.zeros((len(left), len(right)))
+    # A few thousand tokens at a time, so that a block of huge sets needs no more memory.
+    for at in range(0, int(column[-1]) + 1, TOKENS_AT_ONCE):
+        a, b = np.searchsorted(column, (at, at + TOKENS_AT_ONCE))
+        held = np.zeros((len(sets), TOKENS_AT_ONCE), dtype=np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        total += held[: len(left)] @ held[len(left) :].T
+    return total.astype(np.int64)
 
 
 def _judged(pairs: DataFrame, nodes: DataFrame, similarity: Similarity) -> DataFrame:
