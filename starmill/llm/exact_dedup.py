@@ -35,7 +35,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     scratch = Scratch(spark, "radix")
     result = ["keep_id", "group_size", "kept", "text_sha256"]
     others = [F.col(f"`{c}`") for c in docs.columns if c not in {text_column, *result}]
-    body, digit, uid, group = own("body"), own("digit"), own("uid"), own("group")
+    body, digit, uid, group, following = (own(n) for n in ("body", "digit", "uid", "group", "next"))
     carried = [c for c in docs.columns if c not in {text_column, *result}] + ["text_sha256"]
 
     rows = docs.select(*others, lower_ascii(whole(text_column)).cast("binary").alias(body))
@@ -66,7 +66,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         sizes = keyed.groupBy(group, digit).agg(
             F.count("*").alias("group_size"),
             F.max(id_column).alias("keep_id"),
-            F.max(uid).alias("next_group"),
+            F.max(uid).alias(following),
         )
         split = keyed.alias("r").join(
             sizes.alias("s"),
@@ -80,7 +80,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 "group_size",
                 F.when(~ended, F.expr(f"substring(r.{body}, {width + 1})")).alias(body),
                 f"r.{uid}",
-                F.col("next_group").alias(group),
+                F.col(following).alias(group),
             )
         )
         ready = decided.where(F.col(body).isNull())

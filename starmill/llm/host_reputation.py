@@ -163,22 +163,25 @@ def judged_urls(
     replaced. An empty table gives an empty result; with no labelled page everything is allowed.
     """
     others = [F.col(f"`{c}`") for c in pages.columns if c not in {"host", "path", "rule", "verdict", outcome}]
-    joined = own("host")
+    joined, hidden = own("host"), own("outcome")
     seen = pages.select(
         *others,
         host_of(F.col(url)).alias("host"),
         path_of(F.col(url)).alias("path"),
-        F.col(outcome).cast("int").alias("outcome"),
+        F.col(outcome).cast("int").alias(hidden),
     )
     hosts = seen.groupBy("host").agg(
-        F.count("outcome").alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).alias("bad")
+        F.count(hidden).alias("n"), F.coalesce(F.sum(hidden), F.lit(0)).alias("bad")
+    )
+    rate, deviation = own("rate"), own("deviation")
+    posterior = host_posteriors(hosts, two_label_suffixes).select(
+        F.col("host").alias(joined), F.col("bad_rate").alias(rate), F.col("bad_rate_deviation").alias(deviation)
     )
-    posterior = host_posteriors(hosts, two_label_suffixes).withColumnRenamed("host", joined)
     rule, ruled = matching_rule(F.col("host"), F.col("path"), rules)
-    bound = F.col("bad_rate") - limits.z * F.col("bad_rate_deviation")
+    bound = F.col(rate) - limits.z * F.col(deviation)
     judged = F.when(bound > limits.block_above, "block").otherwise("allow")
     return (
         seen.join(posterior, F.col("host") == F.col(joined), "left")
         .withColumns({"rule": rule, "verdict": F.coalesce(ruled, judged)})
-        .drop("outcome", "bad_rate", "bad_rate_deviation", joined)
+        .drop(hidden, rate, deviation, joined)
     )

@@ -195,7 +195,8 @@ def shingle_components(
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 found = index_entries(
                     row["n"], row["rare"], np.frombuffer(row["tokens"], dtype=np.uint64), least
                 )

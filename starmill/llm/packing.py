@@ -33,6 +33,8 @@ GRID = 8
 BATCH_BYTES = 2 << 20
 BUCKET_PIECES = 250_000
 MOST_PIVOTS = 20_000
+#: A column must be worth this much more than a sequence to enter: the bound on what the program misses.
+TOLERANCE = 1e-4
 
 
 @dataclass(frozen=True)
@@ -74,7 +76,7 @@ def fractional_patterns(
     for _ in range(MOST_PIVOTS):
         worth = inverse.sum(axis=0)
         value, pattern = priced_pattern(worth, classes, capacity)
-        if value <= 1 + 1e-9:
+        if value <= 1 + TOLERANCE:
             break
         step = inverse @ pattern
         grows = step > 1e-9

@@ -20,12 +20,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from starmill.llm.word_hash import small_batches
 
 BATCH_BYTES = 4 << 20
 #: Hashes that one partition compares.
-PARTITION_HASHES = 4_000_000
+PARTITION_HASHES = 1_500_000
 HASHES, DOCUMENTS, REPEATS, ANSWER = 0, 1, 2, 3
 
 
@@ -176,8 +177,6 @@ def shared_hashes(
     ``docs`` needs a column ``text``, by whose size batches are made. Hashes come in the order of
     neither the text nor their values. ``finish`` gives one tuple of the ``result`` schema.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow_result = to_arrow_schema(result)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

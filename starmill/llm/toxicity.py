@@ -12,6 +12,7 @@ fixed) and the chosen features of the sample.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -148,30 +149,38 @@ def chosen_of(texts: Texts, features: np.ndarray) -> list[list[int]]:
 
 
 def swapped_sentences(labelled: DataFrame, features: np.ndarray, terms: Sequence[Sequence[str]]) -> DataFrame:
-    """(plus, minus): chosen features that a sentence gains and loses when an identity term is swapped.
+    """(plus, minus): chosen features that a sentence gains and loses when its identity terms are swapped.
 
-    Each term of a sentence is replaced by the next one of its list, so every term meets the others in turn.
+    A sentence has as many counterparts as its terms' lists have other terms: in each, every term is replaced
+    by the one so many places further in its list.
     """
-    following = {t: group[(i + 1) % len(group)] for group in terms for i, t in enumerate(group)}
-    pattern = r"(?i)\b(" + "|".join(sorted(following, key=len, reverse=True)) + r")\b"
+    place = {term: (group, i) for group in terms for i, term in enumerate(group)}
+    turns = range(1, max((len(group) for group in terms), default=1))
+    pattern = r"(?i)\b(" + "|".join(sorted(place, key=len, reverse=True)) + r")\b"
     sentences = labelled.select(F.explode(F.split("text", r"(?<=[.!?\n])")).alias("text"))
     named = sentences.where(F.col("text").rlike(pattern))
+    find = re.compile(pattern)
 
-    def swap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
+    def turned(sentence: str, turn: int) -> str:
+        def other(match: re.Match) -> str:
+            group, i = place.get(match[0].lower(), ((match[0],), 0))
+            return group[(i + turn) % len(group)]
+
+        return find.sub(other, sentence)
 
-        find = re.compile(pattern)
+    def swap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int32())
         for batch in batches:
             before = batch.column("text").to_pylist()
-            after = [find.sub(lambda m: following.get(m[0].lower(), m[0]), s) for s in before]
-            a = chosen_of(texts_of(batch.column("text")), features)
-            b = chosen_of(texts_of(pa.array(after, pa.string())), features)
-            moved = [(sorted(set(y) - set(x)), sorted(set(x) - set(y))) for x, y in zip(a, b)]
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([m[0] for m in moved], kind), pa.array([m[1] for m in moved], kind)],
-                ["plus", "minus"],
-            )
+            own_features = chosen_of(texts_of(batch.column("text")), features)
+            for turn in turns:
+                after = pa.array([turned(s, turn) for s in before], pa.string())
+                changed = chosen_of(texts_of(after), features)
+                moved = [(sorted(set(y) - set(x)), sorted(set(x) - set(y))) for x, y in zip(own_features, changed)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([m[0] for m in moved], kind), pa.array([m[1] for m in moved], kind)],
+                    ["plus", "minus"],
+                )
 
     moved = named.mapInArrow(swap, "plus array<int>, minus array<int>")
     return moved.where("size(plus) + size(minus) > 0")
