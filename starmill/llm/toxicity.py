@@ -59,9 +59,9 @@ class Fit:
     pairs: int = 20_000
     features: int = 512
     least_texts: int = 3
-    ridge: float = 1e-4
+    ridge: float = 1e-5
     counterfactual: float = 1.0
-    steps: int = 400
+    steps: int = 1000
 
 
 @dataclass(frozen=True)
@@ -204,8 +204,8 @@ def fitted(x: np.ndarray, y: np.ndarray, moved: np.ndarray, fit: Fit) -> tuple[n
     if len(moved):
         steep += 2 * pull * np.linalg.norm(moved, 2) ** 2
     for _ in range(fit.steps):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ ahead, -40, 40)))
-        slope = x1.T @ (p - y) / n
+        p = 1 / (1 + np.exp(-np.clip(x1 @ ahead.astype(np.float32), -40, 40)))
+        slope = (x1.T @ (p - y).astype(np.float32)).astype(float) / n
         slope[:-1] += fit.ridge * ahead[:-1]
         if len(moved):
             slope[:-1] += 2 * pull * (moved.T @ (moved @ ahead[:-1]))
