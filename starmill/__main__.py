@@ -21,7 +21,7 @@ def arguments() -> argparse.Namespace:
                         help="folder of the CSV files; repeat for fallbacks, first existing wins")
     parser.add_argument("--export", help="folder for Parquet and CSV exports")
     parser.add_argument("--stage", action="append", choices=STAGES)
-    parser.add_argument("--db-name", default="retail_star_schema")
+    parser.add_argument("--db-name", default="warehouse")
     return parser.parse_args()
 
 

@@ -33,11 +33,16 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def as_utc(moment: datetime) -> datetime:
+    """The moment in UTC, without a zone; a moment without one is taken to be UTC."""
+    if moment.tzinfo is None:
+        return moment
+    return moment.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def timestamp_literal(moment: datetime) -> Column:
     """A zone-free timestamp literal; a zoned ``moment`` is taken to UTC first."""
-    if moment.tzinfo is not None:
-        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(as_utc(moment).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def instant_literal(moment: datetime) -> Column:

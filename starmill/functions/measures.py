@@ -1,4 +1,4 @@
-"""Sums and averages of a measure that do not depend on the order of the rows."""
+"""Sums and averages of a measure; fixed point, on request, makes them independent of the order of the rows."""
 
 from __future__ import annotations
 
@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import quoted
+from starmill.functions.schema_rules import field
 
-# Money has two decimal places.
+# Decimal places of money, for callers that ask for fixed point.
 MONEY_SCALE = 2
 
 
 @dataclass(frozen=True)
 class Measure:
-    """A measure as a number that adds up exactly, and how many of its units make one.
+    """A measure as the number that is added up, and how many of its units make one.
 
-    Adding doubles gives another last digit for every partitioning or retried task. Whole cents do
+    Adding doubles gives another last digit for every partitioning or retried task. Whole units do
     not, and adding them costs no more than adding doubles. A total beyond the range of bigint
     raises, as ANSI arithmetic does.
     """
@@ -34,12 +35,31 @@ class Measure:
         return F.try_divide(self.value(total), n_values.cast("double"))
 
 
-def measure_of(df: DataFrame, name: str, scale: int = MONEY_SCALE) -> Measure:
-    """The measure in a column: decimals and integers as they are, doubles in units of ``scale``."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.DecimalType):
-        return Measure(quoted(name), 1)
-    if isinstance(kind, T.IntegralType):
-        return Measure(quoted(name).cast("bigint"), 1)
+def measure_of(df: DataFrame, name: str, scale: int | None = None) -> Measure:
+    """The measure in a column, whatever case its name is in; no value loses a digit.
+
+    Decimals and integers add up as they are. So do doubles, NaN included, unless ``scale`` is
+    given: then they are added as whole units of that many decimal places, and a value that has
+    more of them (or is no finite number) raises.
+    """
+    found = field(df.schema, name)
+    column = quoted(found.name)
+    if isinstance(found.dataType, T.DecimalType):
+        return Measure(column, 1)
+    if isinstance(found.dataType, T.IntegralType):
+        return Measure(column.cast("bigint"), 1)
+    value = column.cast("double")
+    if scale is None:
+        return Measure(value, 1)
     units = 10**scale
-    return Measure(F.rint(quoted(name).cast("double") * units).cast("bigint"), units)
+    whole = F.rint(value * units)
+    # Division is correctly rounded, so only the double next to that decimal comes back unchanged.
+    misfit = F.raise_error(
+        F.concat(F.lit(f"not a number of {scale} decimal places in {found.name}: "), column)
+    )
+    return Measure(
+        F.when(value.isNull() | (whole / units == value), whole.cast("bigint")).otherwise(
+            misfit.cast("bigint")
+        ),
+        units,
+    )

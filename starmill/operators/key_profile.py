@@ -7,7 +7,7 @@ that fills a third of the table is one row per task before anything is shuffled,
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import quoted
+from starmill.operators.violations import counts_per_rule
 
 
 def keyed_rows(
@@ -38,15 +39,14 @@ def key_profile(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return rows.groupBy(*[quoted(c) for c in by], "rule", "key").agg(F.count("*").alias("n"))
 
 
-def repeated_keys(profile: DataFrame) -> DataFrame:
+def repeated_keys(profile: DataFrame, rules: Collection[int]) -> DataFrame:
     """(rule, failed_rows): keys that occur more than once; a repeated NULL counts as one key."""
-    return _totals(profile, F.count_if(F.col("n") > 1))
+    return _totals(profile, rules, F.when(F.col("n") > 1, 1))
 
 
-def surplus_rows(profile: DataFrame) -> DataFrame:
+def surplus_rows(profile: DataFrame, rules: Collection[int]) -> DataFrame:
     """(rule, failed_rows): rows beyond the first of each key, NULL left out."""
-    surplus = F.when(F.col("key").isNotNull(), F.col("n") - 1).otherwise(0)
-    return _totals(profile, F.sum(surplus))
+    return _totals(profile, rules, F.when(F.col("key").isNotNull(), F.col("n") - 1))
 
 
 def parent_keys(dimensions: Mapping[int, tuple[DataFrame, str]], kind: T.DataType) -> DataFrame:
@@ -61,7 +61,9 @@ def parent_keys(dimensions: Mapping[int, tuple[DataFrame, str]], kind: T.DataTyp
     return reduce(DataFrame.unionByName, parents).where("key IS NOT NULL").distinct()
 
 
-def orphan_rows(profile: DataFrame, parents: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def orphan_rows(
+    profile: DataFrame, parents: DataFrame, rules: Collection[int], by: Sequence[str] = ()
+) -> DataFrame:
     """(by..., rule, failed_rows): rows whose key is not NULL and has no parent.
 
     The profile is already partitioned by rule and key, so only the parents move: broadcast by
@@ -70,12 +72,18 @@ def orphan_rows(profile: DataFrame, parents: DataFrame, by: Sequence[str] = ())
     """
     joined = profile.join(parents.withColumn("found", F.lit(True)), ["rule", "key"], "left")
     orphaned = F.col("key").isNotNull() & F.col("found").isNull()
-    return _totals(joined, F.sum(F.when(orphaned, F.col("n")).otherwise(0)), by)
+    return _totals(joined, rules, F.when(orphaned, F.col("n")), by)
 
 
-def _totals(df: DataFrame, total: Column, by: Sequence[str] = ()) -> DataFrame:
-    ids = [quoted(c) for c in by]
-    return df.groupBy(*ids, "rule").agg(total.alias("failed_rows"))
+def _totals(
+    df: DataFrame, rules: Collection[int], failed: Column, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per rule (and slice of ``by``), with 0 for a rule that has no keys at all."""
+    totals = {
+        rule: F.coalesce(F.sum(F.when(F.col("rule") == rule, failed)), F.lit(0)).cast("bigint")
+        for rule in rules
+    }
+    return counts_per_rule(df, totals, by)
 
 
 def by_key_type(

@@ -7,11 +7,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starmill.functions.columns import quoted
+from starmill.functions.schema_rules import field
 
 # A key and a name of about 100 bytes each: some 20 MB per executor at most.
 MAX_BROADCAST_ROWS = 200_000
-# Keys alone take a tenth of that.
-MAX_BROADCAST_KEYS = 1_000_000
+# What all key sets of one pass may take in an executor together.
+BROADCAST_BYTES = 256 * 1024 * 1024
+# An entry of a hash table of keys: the key or its length, a marker, pointers and free slots.
+ENTRY_BYTES = 64
 
 
 def row_counts(tables: Mapping[Hashable, DataFrame]) -> dict[Hashable, int]:
@@ -26,6 +32,38 @@ def row_counts(tables: Mapping[Hashable, DataFrame]) -> dict[Hashable, int]:
     return {name: found.get(name, 0) for name in names}
 
 
+def key_set_bytes(key_sets: Mapping[Hashable, tuple[DataFrame, str]]) -> dict[Hashable, int]:
+    """Upper bounds for the broadcast key columns of several tables, in one job.
+
+    Text counts by its measured length. Other keys have a fixed width and are only counted.
+    """
+    if not key_sets:
+        return {}
+    names = list(key_sets)
+    parts = []
+    for i, name in enumerate(names):
+        df, column = key_sets[name]
+        found = field(df.schema, column)
+        text = isinstance(found.dataType, T.StringType | T.BinaryType)
+        length = F.coalesce(F.octet_length(quoted(found.name)), F.lit(0)) if text else F.lit(0)
+        parts.append(df.select(F.lit(i).alias("i"), (length + ENTRY_BYTES).cast("bigint").alias("b")))
+    summed = reduce(DataFrame.unionByName, parts).groupBy("i").agg(F.sum("b"))
+    # One row per table: planning input, not data.
+    sizes = {names[i]: n for i, n in summed.collect()}
+    return {name: sizes.get(name, 0) for name in names}
+
+
+def within_budget(sizes: Mapping[Hashable, int], budget: int) -> list[Hashable]:
+    """The smallest of the sets, as many as fit into the budget together."""
+    chosen, left = [], budget
+    for name in sorted(sizes, key=lambda n: sizes[n]):
+        if sizes[name] > left:
+            break
+        chosen.append(name)
+        left -= sizes[name]
+    return chosen
+
+
 def is_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """Whether a lookup is counted to be small enough for a broadcast.
 

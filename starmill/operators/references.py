@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import quoted
-from starmill.functions.schema_rules import common_key_type
+from starmill.functions.schema_rules import common_key_type, field
 from starmill.operators.key_profile import (
     by_key_type,
     key_profile,
@@ -18,7 +18,7 @@ from starmill.operators.key_profile import (
     orphan_rows,
     parent_keys,
 )
-from starmill.operators.lookups import MAX_BROADCAST_KEYS, row_counts
+from starmill.operators.lookups import BROADCAST_BYTES, key_set_bytes, within_budget
 from starmill.operators.violations import Violations, derived_table_counts
 
 
@@ -32,7 +32,8 @@ class Reference:
 
     def key_type(self, df: DataFrame) -> T.DataType:
         return common_key_type(
-            df.schema[self.column].dataType, self.parent.schema[self.parent_column].dataType
+            field(df.schema, self.column).dataType,
+            field(self.parent.schema, self.parent_column).dataType,
         )
 
 
@@ -43,15 +44,16 @@ def orphan_counts(
     df: DataFrame,
     references: References,
     by: Sequence[str] = (),
-    max_keys: int = MAX_BROADCAST_KEYS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> list[DataFrame]:
     """(by..., rule, failed_rows): rows whose key is not NULL and has no parent.
 
-    Dimensions counted to be small are broadcast, all of them into one pass over their columns of
-    the fact, which then shuffles nothing but counts. The others meet the profile of their keys.
+    Dimensions measured to fit into ``broadcast_bytes`` together, the smallest first, are broadcast
+    into one pass over their columns of the fact, which then shuffles nothing but counts. The others
+    meet the profile of their keys.
     Both passes together read each column of the fact once.
     """
-    return counts_with_references(df, {}, references, {}, by, max_keys)
+    return counts_with_references(df, {}, references, {}, by, broadcast_bytes)
 
 
 def counts_with_references(
@@ -60,14 +62,14 @@ def counts_with_references(
     references: References,
     floors: Mapping[int, int],
     by: Sequence[str] = (),
-    max_keys: int = MAX_BROADCAST_KEYS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> list[DataFrame]:
     """As :func:`orphan_counts`, with row-level rules and floors counted in the pass of the probes.
 
     A query result is thereby computed once for all of them, unless it has large dimensions.
     """
-    sizes = row_counts({rule: r.parent for rule, r in references.items()})
-    small = {rule: r for rule, r in references.items() if sizes[rule] <= max_keys}
+    sizes = key_set_bytes({rule: (r.parent, r.parent_column) for rule, r in references.items()})
+    small = {rule: references[rule] for rule in within_budget(sizes, broadcast_bytes)}
     large = {rule: r for rule, r in references.items() if rule not in small}
     parts = []
     if small or violations or floors:
@@ -76,7 +78,7 @@ def counts_with_references(
     for kind, members in by_key_type({rule: r.key_type(df) for rule, r in large.items()}):
         rows = keyed_rows(df, {i: large[i].column for i in members}, kind, by)
         parents = parent_keys({i: (large[i].parent, large[i].parent_column) for i in members}, kind)
-        parts.append(orphan_rows(key_profile(rows, by), parents, by))
+        parts.append(orphan_rows(key_profile(rows, by), parents, members, by))
     return parts
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Collection, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from starmill.functions.calendar import instant_literal, timestamp_literal, utc_now
 from starmill.functions.columns import literal_rows, quoted
-from starmill.operators.key_profile import key_profile, keyed_rows, repeated_keys
+from starmill.functions.schema_rules import common_key_type, field
+from starmill.operators.key_profile import by_key_type, key_profile, keyed_rows, repeated_keys
 from starmill.operators.references import Reference, counts_with_references, orphan_counts
 from starmill.operators.violations import stored_table_counts
 
@@ -157,44 +158,63 @@ def evaluate(
     """(position, check_name, status, failed_rows, threshold_failed_rows, details) per rule.
 
     Per table: one count for the floors, one filtered scan for all row-level rules, one pass for the
-    references (two if there are large dimensions), one profile per unique key. Uniqueness has a
-    profile of its own because its keys hardly combine and would crowd out those of the references.
+    references (two if there are large dimensions), one profile for all unique keys of a type.
+    Uniqueness has a profile of its own because its keys hardly combine and would crowd out those of
+    the references. Columns are found in any case. A rule given twice is counted twice.
     Tables named in ``derived`` are query results instead of stored tables; their floors, row-level
     rules and references share one pass. One row per rule comes out; nothing is collected.
     """
     rules = present_rules(rules, tables)
     if not rules:
         raise ValueError("no checks to run")
-    position = {rule: i for i, rule in enumerate(rules)}
+    placed = {i: _spelled(rule, tables) for i, rule in enumerate(rules)}
     counts: list[DataFrame] = []
     for table in dict.fromkeys(r.table for r in rules):
         df = tables[table]
         kinds = {f.name: f.dataType for f in df.schema.fields}
-        mine = [r for r in rules if r.table == table]
+        mine = {i: r for i, r in placed.items() if r.table == table}
 
-        floors = {position[r]: int(r.limit) for r in mine if r.family == "rowcount_floor"}
+        floors = {i: int(r.limit) for i, r in mine.items() if r.family == "rowcount_floor"}
         row_rules = {
-            position[r]: (r.column, violated(r, kinds[r.column], as_of))
-            for r in mine if r.family in ROW_RULES
+            i: (r.column, violated(r, kinds[r.column], as_of))
+            for i, r in mine.items() if r.family in ROW_RULES
         }
         pointers = {
-            position[r]: Reference(r.column, tables[r.parent], r.parent_column)
-            for r in mine if r.family == "references"
+            i: Reference(r.column, tables[r.parent], r.parent_column)
+            for i, r in mine.items() if r.family == "references"
         }
         if table in derived:
             counts.extend(counts_with_references(df, row_rules, pointers, floors))
         else:
             counts.extend(stored_table_counts(df, row_rules, floors))
             counts.extend(orphan_counts(df, pointers))
-        for r in mine:
-            if r.family == "unique":
-                rows = keyed_rows(df, {position[r]: r.column}, kinds[r.column])
-                counts.append(repeated_keys(key_profile(rows)))
+        keys = {i: r.column for i, r in mine.items() if r.family == "unique"}
+        types = {i: common_key_type(kinds[c], kinds[c]) for i, c in keys.items()}
+        for kind, members in by_key_type(types):
+            rows = keyed_rows(df, {i: keys[i] for i in members}, kind)
+            counts.append(repeated_keys(key_profile(rows), members))
     return with_status(rules, reduce(DataFrame.unionByName, counts))
 
 
+def _spelled(rule: Rule, tables: Mapping[str, DataFrame]) -> Rule:
+    """The rule with its columns spelled as its tables spell them."""
+    if rule.column is None:
+        return rule
+    column = field(tables[rule.table].schema, rule.column).name
+    if rule.parent is None:
+        return replace(rule, column=column)
+    parent_column = field(tables[rule.parent].schema, rule.parent_column).name
+    return replace(rule, column=column, parent_column=parent_column)
+
+
+def known_count(check_name: str) -> Column:
+    """The failed rows of a check; a count that is missing raises instead of passing as 0."""
+    lost = F.raise_error(F.concat(F.lit("no count for the check "), F.col(check_name)))
+    return F.coalesce(F.col("failed_rows").cast("bigint"), lost.cast("bigint"))
+
+
 def with_status(rules: Sequence[Rule], counts: DataFrame) -> DataFrame:
-    """Counts joined to their rules. A rule without a count saw no row, which is no failure."""
+    """Counts joined to their rules: exactly one count for every rule, else an error."""
     spark = counts.sparkSession
     declared = literal_rows(
         spark,
@@ -202,7 +222,7 @@ def with_status(rules: Sequence[Rule], counts: DataFrame) -> DataFrame:
         {"rule": "int", "check_name": "string", "threshold_failed_rows": "bigint",
          "details": "string"},
     )
-    failed = F.coalesce(F.col("failed_rows"), F.lit(0)).cast("bigint")
+    failed = known_count("check_name")
     # The counts hold one row per rule, so broadcasting them is bounded by the length of the suite.
     return declared.join(F.broadcast(counts), "rule", "left").select(
         F.col("rule").alias("position"),

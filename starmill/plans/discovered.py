@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -16,6 +17,9 @@ from starmill.functions.columns import literal_rows, quoted
 from starmill.operators.key_profile import by_key_type, key_profile, keyed_rows, surplus_rows
 from starmill.operators.references import Reference, orphan_counts
 from starmill.operators.violations import stored_table_counts
+from starmill.plans.declared import known_count
+
+log = logging.getLogger(__name__)
 
 # Severity of a failed check by type.
 SEVERITY = {"nulls": 3, "duplicates": 4, "fk_missing": 5}
@@ -34,7 +38,7 @@ class Check:
 def discover(
     mart: Mapping[str, DataFrame],
     schema: str = "mart",
-    max_columns: int = 25,
+    max_columns: int | None = None,
     fact_prefixes: Sequence[str] = rules.FACT_PREFIXES,
     key_overrides: Mapping[str, str] | None = None,
     check_types: Sequence[str] = tuple(SEVERITY),
@@ -43,13 +47,14 @@ def discover(
 
     Key-like columns must not be NULL. The first surrogate key of a table, or the column given for
     it in ``key_overrides``, must not repeat. Surrogate keys of facts must exist in the first
-    dimension, by name, that has a column of the same name.
+    dimension, by name, that has a column of the same name. All columns are checked unless
+    ``max_columns`` limits them per table; the names of those left out are logged.
     """
     if not mart:
         raise ValueError(f"no tables in schema {schema}")
     checks: list[Check] = []
     for table in sorted(mart):
-        for column in rules.key_columns(mart[table])[:max_columns]:
+        for column in _limited(table, rules.key_columns(mart[table]), max_columns):
             checks.append(Check("nulls", table, column, "nulls"))
     for table in sorted(mart):
         column = (key_overrides or {}).get(table) or rules.duplicate_key(mart[table])
@@ -57,7 +62,7 @@ def discover(
             checks.append(Check("duplicates", table, column, "duplicates"))
     targets = rules.reference_targets(mart)
     for table in sorted(t for t in mart if rules.is_fact(t, fact_prefixes)):
-        for column in rules.surrogate_keys(mart[table])[:max_columns]:
+        for column in _limited(table, rules.surrogate_keys(mart[table]), max_columns):
             if column.lower() in targets:
                 parent, parent_column = targets[column.lower()]
                 checks.append(Check("fk_missing", table, column, f"missing_in_{schema}.{parent}",
@@ -68,6 +73,12 @@ def discover(
     return chosen
 
 
+def _limited(table: str, columns: Sequence[str], most: int | None) -> Sequence[str]:
+    if most is not None and len(columns) > most:
+        log.warning("columns of %s left unchecked: %s", table, columns[most:])
+    return columns[:most]
+
+
 def evaluate(
     mart: Mapping[str, DataFrame], checks: Sequence[Check], run_ts: datetime, schema: str = "mart"
 ) -> DataFrame:
@@ -94,7 +105,7 @@ def evaluate(
         {"rule": "int", "check_type": "string", "table": "string", "column": "string",
          "dq_check_name": "string", "weight": "int"},
     )
-    failed = F.coalesce(F.col("failed_rows"), F.lit(0)).cast("bigint")
+    failed = known_count("dq_check_name")
     found = reduce(DataFrame.unionByName, counts)
     # One row per check: the broadcast is bounded by the number of key columns in the schemas.
     return declared.join(F.broadcast(found), "rule", "left").select(
@@ -135,7 +146,7 @@ def _duplicates(mart: Mapping[str, DataFrame], numbered: Mapping[int, Check]) ->
             DataFrame.unionByName,
             [keyed_rows(mart[wanted[i].table], {i: wanted[i].column}, kind) for i in members],
         )
-        parts.append(surplus_rows(key_profile(rows.where("key IS NOT NULL"))))
+        parts.append(surplus_rows(key_profile(rows.where("key IS NOT NULL")), members))
     return parts
 
 

@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
-from starmill.functions.calendar import iso_utc, run_id
+from starmill.functions.calendar import as_utc, iso_utc, run_id
 from starmill.functions.columns import literal_rows
 from starmill.sources.layers import Layer
 from starmill.sources.scratch import written_once
@@ -72,14 +73,14 @@ def kpis(checks: DataFrame) -> DataFrame:
 def append_runs(history: Layer, checks: DataFrame, db_name: str) -> None:
     """Add the runs found in ``checks`` to both history tables; run ids already there are skipped.
 
-    The details are written first, each run into its own directory, and replace what a failed
-    attempt left there. The run rows come last and mark the runs as complete, so a retry after the
-    loss of the driver neither repeats nor loses anything.
+    In both tables a run has its own directory, named by its id, and replaces what is there: writers
+    that both saw no such run leave one. The details come first, the run's row last, which marks the
+    run as complete, so a retry after the loss of the driver neither repeats nor loses anything.
     """
     # Two tables are fed from the same results; the suite behind them must run only once.
     new_checks = checks.withColumn("run_id", run_id(F.col("run_ts")))
     if history.exists(RUNS):
-        known = history.read(RUNS, RUNS_SCHEMA).select("run_id")
+        known = read_runs(history).select("run_id")
         new_checks = new_checks.join(known, "run_id", "left_anti")
     new_checks = written_once(new_checks, "new-checks")
     details = new_checks.select(
@@ -100,15 +101,28 @@ def append_runs(history: Layer, checks: DataFrame, db_name: str) -> None:
         .partitionBy("run_date", "run_id")
         .parquet(history.path(CHECKS))
     )
-    roll_up(new_checks, db_name).write.mode("append").parquet(history.path(RUNS))
+    (
+        roll_up(new_checks, db_name).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(history.path(RUNS))
+    )
+
+
+def _stored(history: Layer, table: str, schema: str) -> DataFrame:
+    """A history table in the column order of its schema; empty before the first run."""
+    declared = T.StructType.fromDDL(schema)
+    if not history.exists(table):
+        return history.spark.createDataFrame([], declared)
+    return history.read(table, declared).select(*declared.names)
 
 
 def read_runs(history: Layer) -> DataFrame:
-    return history.read(RUNS, RUNS_SCHEMA)
+    return _stored(history, RUNS, RUNS_SCHEMA)
 
 
 def read_checks(history: Layer) -> DataFrame:
-    return history.read(CHECKS, CHECKS_SCHEMA)
+    return _stored(history, CHECKS, CHECKS_SCHEMA)
 
 
 def latest_runs(runs: DataFrame, k: int = 20) -> DataFrame:
@@ -130,7 +144,7 @@ def failures_over_time(runs: DataFrame, k: int = 30) -> DataFrame:
 def log_pipeline_run(mart: Layer, run_ts: datetime, note: str) -> DataFrame:
     """Append (run_utc, note) to the pipeline's run log."""
     columns = {"run_ts": "timestamp_ntz", "note": "string"}
-    row = literal_rows(mart.spark, [(run_ts.isoformat(sep=" "), note)], columns)
+    row = literal_rows(mart.spark, [(as_utc(run_ts).isoformat(sep=" "), note)], columns)
     return mart.append(
         "pipeline_runs", row.select(iso_utc(F.col("run_ts")).alias("run_utc"), "note")
     )

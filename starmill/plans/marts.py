@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions.measures import MONEY_SCALE, measure_of
+from starmill.functions.measures import measure_of
 from starmill.operators.lookups import MAX_BROADCAST_ROWS
 from starmill.operators.totals import named_totals, partial_totals
 
 
-def store_daily(fact: DataFrame, stores: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
+def store_daily(fact: DataFrame, stores: DataFrame, scale: int | None = None) -> DataFrame:
     """One row per sales day and store: transactions, revenue and average order value.
 
     Sales without a known store are kept, with a NULL name. The one shuffle of the fact is by day
@@ -31,7 +31,7 @@ def store_daily(fact: DataFrame, stores: DataFrame, scale: int = MONEY_SCALE) ->
 
 
 def campaign_performance(
-    fact: DataFrame, campaigns: DataFrame, scale: int = MONEY_SCALE
+    fact: DataFrame, campaigns: DataFrame, scale: int | None = None
 ) -> DataFrame:
     """One row per campaign, unknown and missing campaigns included, with its first and last day."""
     amount = measure_of(fact, "total_amount", scale)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.functions.calendar import as_utc
 from starmill.functions.schema_rules import is_fact
 from starmill.operators.sampling import exact_sample
 from starmill.plans import declared, discovered, history, marts, quality_panels, results
@@ -102,13 +103,15 @@ def build_marts(warehouse: Warehouse, run_ts: datetime, export_to: str | None =
         export_all(stored, export_to)
 
 
-def build_analytics(warehouse: Warehouse, export_to: str | None = None) -> None:
-    """The two summary marts, stored and optionally exported."""
+def build_analytics(
+    warehouse: Warehouse, export_to: str | None = None, scale: int | None = None
+) -> None:
+    """The two summary marts, stored and optionally exported; see ``measure_of`` for ``scale``."""
     fact = warehouse.mart.read(FACT)
     built = {
-        "mart_store_daily": marts.store_daily(fact, warehouse.mart.read("dim_stores")),
+        "mart_store_daily": marts.store_daily(fact, warehouse.mart.read("dim_stores"), scale),
         "mart_campaign_perf": marts.campaign_performance(
-            fact, warehouse.mart.read("dim_campaigns")
+            fact, warehouse.mart.read("dim_campaigns"), scale
         ),
     }
     stored = warehouse.analytics.replace_all(built)
@@ -134,6 +137,7 @@ def run_declared_checks(
 
 def run_discovered_checks(warehouse: Warehouse, run_ts: datetime, db_name: str) -> DataFrame:
     """The discovered suite on the mart layer, added to the history; returns its stored rows."""
+    run_ts = as_utc(run_ts)
     checks = discovered.discovered_suite(warehouse.mart.tables(), run_ts)
     history.append_runs(warehouse.history, checks, db_name)
     stored = history.read_checks(warehouse.history)
@@ -144,10 +148,12 @@ def run_discovered_checks(warehouse: Warehouse, run_ts: datetime, db_name: str)
     return this_run.withColumnsRenamed({"table_name": "table", "column_name": "column"})
 
 
-def dashboard(warehouse: Warehouse, checks: DataFrame) -> dict[str, DataFrame]:
+def dashboard(
+    warehouse: Warehouse, checks: DataFrame, scale: int | None = None
+) -> dict[str, DataFrame]:
     """Every dataset behind the dashboard, by panel name."""
     return {
-        **sales_panels(warehouse.mart.tables()),
+        **sales_panels(warehouse.mart.tables(), scale),
         "kpis": history.kpis(checks),
         "status": quality_panels.status_counts(checks),
         "by_type": quality_panels.type_counts(checks),
@@ -162,14 +168,15 @@ def run_all(
     warehouse: Warehouse,
     sources: Sequence[str],
     run_ts: datetime,
-    db_name: str = "retail_star_schema",
+    db_name: str = "warehouse",
     export_to: str | None = None,
     schemas: Mapping[str, T.StructType] | None = None,
+    scale: int | None = None,
 ) -> dict[str, DataFrame]:
     """All stages in order; returns the dashboard datasets."""
     load_raw(warehouse, sources, run_ts, schemas=schemas)
     build_marts(warehouse, run_ts, export_to)
-    build_analytics(warehouse, export_to)
+    build_analytics(warehouse, export_to, scale)
     run_declared_checks(warehouse, run_ts)
     checks = run_discovered_checks(warehouse, run_ts, db_name)
-    return dashboard(warehouse, checks)
+    return dashboard(warehouse, checks, scale)

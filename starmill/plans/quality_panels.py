@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmill.functions.columns import quoted
 from starmill.plans.discovered import SEVERITY
 
 
@@ -19,15 +20,18 @@ def type_counts(checks: DataFrame) -> DataFrame:
 def coverage(checks: DataFrame, top: int = 12) -> DataFrame:
     """Checks per table and type, for the tables with most checks; 0 where there are none.
 
-    One pivot yields the matrix, its row sums rank the tables.
+    The types of the discovered suite always have a column, any other type that occurs has one too.
+    One pivot yields the matrix, its row sums rank the tables. ``checks`` is read twice, so it should
+    be stored.
     """
+    known = list(SEVERITY)
+    # The types of checks: a few names.
+    others = checks.where(~F.col("check_type").isin(known)).select("check_type").distinct()
+    kinds = known + sorted(row[0] for row in others.collect())
     matrix = (
-        checks.groupBy("table")
-        .pivot("check_type", list(SEVERITY))
-        .agg(F.count("dq_check_name"))
-        .na.fill(0)
+        checks.groupBy("table").pivot("check_type", kinds).agg(F.count("dq_check_name")).na.fill(0)
     )
-    total = sum((F.col(kind) for kind in SEVERITY), F.lit(0))
+    total = sum((quoted(kind) for kind in kinds), F.lit(0))
     return matrix.orderBy(total.desc(), "table").limit(top)
 
 

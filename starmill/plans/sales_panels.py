@@ -16,22 +16,25 @@ from pyspark.sql import Window as W
 from starmill.functions import schema_rules as rules
 from starmill.functions.calendar import MONTHS, WEEKDAYS, month_name, parse_date_key, weekday_name
 from starmill.functions.columns import literal_rows, quoted
-from starmill.functions.measures import MONEY_SCALE, Measure, measure_of
+from starmill.functions.measures import Measure, measure_of
 from starmill.operators.lookups import MAX_BROADCAST_ROWS
 from starmill.operators.totals import partial_totals, totals_by_attribute
 
 FACT = "fct_sales"
 SYNTHETIC_START = date(2024, 1, 1)
 SYNTHETIC_DAYS = 365
+# Groups of tasks between the tasks of a scan and the last task of a top-k.
+TASK_GROUPS = 256
 
 
 def _calendar_date(dates: DataFrame, key: str) -> Column:
-    """The date of a row of the date dimension: its date column, else its key read as YYYYMMDD."""
-    named = rules.date_column(dates)
+    """The date of a row of the date dimension: ``full_date``, else its first date column, else its
+    key read as YYYYMMDD."""
+    named = rules.preferred(["full_date"], rules.date_columns(dates)) or rules.date_column(dates)
     return F.to_date(quoted(named)) if named else parse_date_key(quoted(key))
 
 
-def fact_measure(fact: DataFrame, scale: int = MONEY_SCALE) -> Measure:
+def fact_measure(fact: DataFrame, scale: int | None = None) -> Measure:
     return measure_of(fact, rules.measure_column(fact), scale)
 
 
@@ -43,7 +46,7 @@ def daily_totals(mart: Mapping[str, DataFrame], measure: Measure) -> DataFrame |
     fact = mart[FACT]
     key = rules.date_key(fact.columns)
     dates = mart.get("dim_dates")
-    dates_key = rules.first_present(["date_sk"], dates.columns) if dates is not None else None
+    dates_key = rules.preferred(["date_sk"], dates.columns) if dates is not None else None
     if key and dates_key:
         attributes = {"date": _calendar_date(dates, dates_key)}
         totals = totals_by_attribute(fact, key, dates, dates_key, attributes, measure)
@@ -56,7 +59,7 @@ def daily_totals(mart: Mapping[str, DataFrame], measure: Measure) -> DataFrame |
     return None
 
 
-def sales_trend(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> DataFrame:
+def sales_trend(mart: Mapping[str, DataFrame], scale: int | None = None) -> DataFrame:
     """(date, metric) in date order; synthetic dates if the fact has none."""
     measure = fact_measure(mart[FACT], scale)
     daily = daily_totals(mart, measure)
@@ -65,7 +68,7 @@ def sales_trend(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> Data
     return daily.select("date", measure.value(F.col("total")).alias("metric")).orderBy("date")
 
 
-def seasonality(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> DataFrame:
+def seasonality(mart: Mapping[str, DataFrame], scale: int | None = None) -> DataFrame:
     """(month, dow, metric) over all years, added up from the daily totals."""
     measure = fact_measure(mart[FACT], scale)
     daily = daily_totals(mart, measure)
@@ -100,10 +103,14 @@ def synthetic_trend(
     """(date, metric): the first rows of the fact laid on consecutive days from a fixed start.
 
     The rows are the first by all columns, or by ``order_by``, so that the series is the same in
-    every run. A top-k keeps ``days`` rows per task; only those are numbered.
+    every run. Every task keeps its first ``days`` rows, a fixed number of groups of tasks keep
+    theirs, and only those of the groups meet in one task: it sees no more rows for more tasks.
     """
     order = [quoted(c) for c in (order_by or fact.columns)]
-    first = fact.orderBy(*order).limit(days)
+    grouped = fact.withColumn("_tasks", F.spark_partition_id() % TASK_GROUPS)
+    place = F.row_number().over(W.partitionBy("_tasks").orderBy(*order))
+    kept = grouped.withColumn("_place", place).where(F.col("_place") <= days)
+    first = kept.drop("_tasks", "_place").orderBy(*order).limit(days)
     numbered = first.withColumn("rn", F.row_number().over(W.orderBy(*order)))
     return numbered.select(
         F.date_add(F.lit(SYNTHETIC_START), F.col("rn") - 1).alias("date"),
@@ -111,21 +118,21 @@ def synthetic_trend(
     )
 
 
-def synthetic_seasonality(trend: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
+def synthetic_seasonality(trend: DataFrame, scale: int | None = None) -> DataFrame:
     measure = measure_of(trend, "metric", scale)
     return by_season(trend).agg(measure.value(F.sum(measure.amount)).alias("metric"))
 
 
 def top_stores(
-    mart: Mapping[str, DataFrame], top: int = 15, scale: int = MONEY_SCALE
+    mart: Mapping[str, DataFrame], top: int = 15, scale: int | None = None
 ) -> DataFrame | None:
     """(store, metric): the store names that sold most, best last as a bar chart stacks them.
 
     None if the fact has no surrogate store key or stores have no names.
     """
     fact, stores = mart[FACT], mart.get("dim_stores")
-    key = rules.first_present(rules.STORE_KEYS, fact.columns)
-    name = rules.first_present(["store_name"], stores.columns) if stores is not None else None
+    key = rules.preferred(rules.STORE_KEYS, fact.columns)
+    name = rules.preferred(["store_name"], stores.columns) if stores is not None else None
     if not (key and rules.is_surrogate_key(key) and name):
         return None
     measure = fact_measure(fact, scale)
@@ -140,12 +147,12 @@ def top_stores(
     )
 
 
-def revenue_mix(mart: Mapping[str, DataFrame], scale: int = MONEY_SCALE) -> DataFrame | None:
+def revenue_mix(mart: Mapping[str, DataFrame], scale: int | None = None) -> DataFrame | None:
     """(category, metric), largest first; None without a product key or a category."""
     fact, products = mart[FACT], mart.get("dim_products")
-    key = rules.first_present(rules.PRODUCT_KEYS, fact.columns)
+    key = rules.preferred(rules.PRODUCT_KEYS, fact.columns)
     category = (
-        rules.first_present(rules.CATEGORIES, products.columns) if products is not None else None
+        rules.preferred(rules.CATEGORIES, products.columns) if products is not None else None
     )
     if not (key and rules.is_surrogate_key(key) and category):
         return None
@@ -165,14 +172,14 @@ def revenue_mix_top(mix: DataFrame, top: int = 12) -> DataFrame:
 
 
 def campaign_scatter(
-    mart: Mapping[str, DataFrame], top: int = 40, scale: int = MONEY_SCALE
+    mart: Mapping[str, DataFrame], top: int = 40, scale: int | None = None
 ) -> DataFrame | None:
     """(campaign, transactions, avg_order_value, revenue): known campaigns with most revenue."""
     fact, campaigns = mart[FACT], mart.get("dim_campaigns")
-    key = rules.first_present(["campaign_sk"], fact.columns)
+    key = rules.preferred(["campaign_sk"], fact.columns)
     if campaigns is None or not key:
         return None
-    name = rules.first_present(rules.CAMPAIGN_NAMES, campaigns.columns) or "campaign_sk"
+    name = rules.preferred(rules.CAMPAIGN_NAMES, campaigns.columns) or "campaign_sk"
     measure = fact_measure(fact, scale)
     totals = totals_by_attribute(
         fact, key, campaigns, "campaign_sk", {"campaign": quoted(name)}, measure
@@ -189,19 +196,21 @@ def campaign_scatter(
     )
 
 
-def sales_panels(mart: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def sales_panels(
+    mart: Mapping[str, DataFrame], scale: int | None = None
+) -> dict[str, DataFrame]:
     """Every business panel the tables of a mart allow, by name; none without a fact."""
     if FACT not in mart:
         return {}
-    mix = revenue_mix(mart)
-    heatmap = seasonality(mart)
+    mix = revenue_mix(mart, scale)
+    heatmap = seasonality(mart, scale)
     panels = {
-        "trend": sales_trend(mart),
+        "trend": sales_trend(mart, scale),
         "heatmap": heatmap,
         "heatmap_matrix": seasonality_matrix(heatmap),
-        "top_stores": top_stores(mart),
+        "top_stores": top_stores(mart, scale=scale),
         "rev_mix": mix,
         "rev_mix_top": revenue_mix_top(mix) if mix is not None else None,
-        "campaign_perf": campaign_scatter(mart),
+        "campaign_perf": campaign_scatter(mart, scale=scale),
     }
     return {name: panel for name, panel in panels.items() if panel is not None}

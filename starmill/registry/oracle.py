@@ -105,10 +105,8 @@ def unique(column: str) -> str:
 
 
 def orphans(column: str, dim: str) -> str:
-    return (
-        f"SELECT COUNT(*) FROM fct_sales f LEFT JOIN {dim} d ON f.{column} = d.{column} "
-        f"WHERE f.{column} IS NOT NULL AND d.{column} IS NULL"
-    )
+    known = f"SELECT COUNT(*) FROM fct_sales WHERE {column} IN (SELECT {column} FROM {dim})"
+    return f"(SELECT COUNT({column}) FROM fct_sales) - ({known})"
 
 
 def reference(column: str, dim: str) -> str:
@@ -136,6 +134,7 @@ def union(*selects: str) -> str:
     return "\nUNION ALL\n".join(selects)
 
 
+# Columns, references and calendar names of the retail star, here and below.
 REQUIRED = [
     "sales_id", "sales_date", "customer_sk", "product_sk", "store_sk", "salesperson_sk",
     "total_amount",
@@ -193,6 +192,14 @@ KEYS = {
 FIRST_KEYS = {
     table: next(c for c in columns if c.endswith("_sk")) for table, columns in KEYS.items()
 }
+TEXTS = {
+    "dim_campaigns": ["campaign_name"],
+    "dim_customers": ["customer_name", "segment"],
+    "dim_dates": [],
+    "dim_products": ["product_name", "category", "brand"],
+    "dim_salespersons": ["salesperson_name"],
+    "dim_stores": ["store_id", "store_name"],
+}
 AUTO_REFERENCES = {"date_sk": "dim_dates", **REFERENCES}
 
 
@@ -213,8 +220,7 @@ AUTO_NULLS = union(*[
 ])
 AUTO_DUPLICATES = union(*[
     found("duplicates", t, c, "duplicates", 4,
-          f"SELECT COALESCE(SUM(cnt - 1), 0) FROM (SELECT {c}, COUNT(*) AS cnt FROM {t} "
-          f"WHERE {c} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1) r")
+          f"SELECT COUNT({c}) - COUNT(DISTINCT {c}) FROM {t}")
     for t, c in FIRST_KEYS.items()
 ])
 AUTO_FK = union(*[
@@ -240,6 +246,13 @@ SELECT YEAR(f.sales_date) + 1 AS y,
 FROM fct_sales f LEFT JOIN dim_campaigns d ON f.campaign_sk = d.campaign_sk
 GROUP BY 1"""
 
+RUNS = """
+SELECT make_timestamp(y, 1, 1, 0, 0, 0.0) AS run_ts,
+  CAST((CASE WHEN nulls > 0 THEN 1 ELSE 0 END) + (CASE WHEN orphans > 0 THEN 1 ELSE 0 END)
+    + (CASE WHEN huge > 0 THEN 1 ELSE 0 END) AS INTEGER) AS failed_checks,
+  CAST(nulls + orphans + huge AS BIGINT) AS total_failed_rows,
+  CAST(3 AS INTEGER) AS total_checks FROM yearly"""
+
 # --- business panels --------------------------------------------------------------------------
 
 DATED = "fct_sales f JOIN dim_dates d ON f.date_sk = d.date_sk"
@@ -264,7 +277,12 @@ FROM fct_sales f JOIN dim_products p ON f.product_sk = p.product_sk GROUP BY 1""
 ORACLE: dict[str, str] = {
     "fct_sales": with_star("SELECT * FROM fct_sales"),
     "curate_dims": with_star(
-        union(*[f"SELECT '{d}' AS dim, COUNT(*) AS n FROM {d}" for d in DIMENSIONS])
+        union(*[
+            f"SELECT '{d}' AS dim, COUNT(*) AS n, CAST(SUM({FIRST_KEYS[d]}) AS BIGINT) AS keys, "
+            f"CAST({' + '.join(f'SUM(LENGTH({c}))' for c in TEXTS[d]) or '0'} AS BIGINT) AS letters "
+            f"FROM {d}"
+            for d in DIMENSIONS
+        ])
     ),
     "ingest_csv_roundtrip": (
         "SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, "
@@ -292,8 +310,8 @@ ORACLE: dict[str, str] = {
     "export_parquet_roundtrip": with_star("SELECT * FROM mart_store_daily"),
     "export_csv_roundtrip": with_star("SELECT * FROM mart_campaign_perf"),
     "pipeline_runs": with_star(
-        "SELECT '2026-01-01T00:00:00+00:00' AS run_utc, 'build_marts' AS note "
-        "FROM (SELECT COUNT(*) AS n FROM fct_sales) t"
+        "SELECT '2026-01-01T00:00:00+00:00' AS run_utc, 'build_marts' AS note, "
+        "(SELECT COUNT(*) FROM fct_sales) AS n_sales, (SELECT COUNT(*) FROM customer) AS n_customers"
     ),
     "sample_fact_exact": (
         "SELECT * FROM lineitem ORDER BY md5(concat_ws('|', '42', CAST(l_orderkey AS VARCHAR), "
@@ -304,6 +322,24 @@ ORACLE: dict[str, str] = {
     ),
     "mart_store_daily": with_star("SELECT * FROM mart_store_daily"),
     "mart_campaign_perf": with_star("SELECT * FROM mart_campaign_perf"),
+    "mart_store_daily_discount": with_star(
+        "SELECT CAST(l.l_shipdate AS DATE) AS sales_day, l.l_suppkey AS store_sk, s.store_name, "
+        "COUNT(*) AS transactions, ROUND(SUM(l.l_extendedprice * l.l_discount), 4) AS revenue, "
+        "ROUND(SUM(l.l_extendedprice * l.l_discount), 4) / COUNT(*) AS avg_order_value "
+        "FROM lineitem l LEFT JOIN dim_stores s ON l.l_suppkey = s.store_sk GROUP BY 1, 2, 3"
+    ),
+    "dq_any_case": with_star(union(
+        check("mart.fct_sales__Campaign_SK__not_null",
+              count_where("fct_sales", "campaign_sk IS NULL"), "Campaign_SK should never be NULL"),
+        check("mart.fct_sales__Sales_ID__unique",
+              "SELECT COUNT(*) FROM (SELECT sales_id FROM fct_sales GROUP BY sales_id "
+              "HAVING COUNT(*) > 1) r", "Sales_ID should be unique in fct_sales"),
+        check("mart.fct_sales__CAMPAIGN_SK_fk__references_dim_campaigns.Campaign_sk",
+              orphans("campaign_sk", "dim_campaigns"),
+              "All CAMPAIGN_SK values in fct_sales should exist in dim_campaigns.Campaign_sk"),
+        check("mart.fct_sales__Campaign_SK__not_null",
+              count_where("fct_sales", "campaign_sk IS NULL"), "Campaign_SK should never be NULL"),
+    )),
     "dq_rowcount_floor": with_star(union(
         floor("mart", "dim_customers"), floor("mart", "fct_sales"),
         floor("analytics", "mart_store_daily"), floor("mart", "dim_campaigns", 4),
@@ -323,7 +359,7 @@ ORACLE: dict[str, str] = {
     "dq_suite_summary": with_star(SUITE_TOTALS, declared=DECLARED),
     "dq_results_json": with_star("SELECT * FROM declared", declared=DECLARED),
     "dq_report_rows": with_star(
-        "SELECT '2026-01-01T00:00:00+00:00' AS run_utc, 'retail_star_schema' AS db_path, "
+        "SELECT '2026-01-01T00:00:00+00:00' AS run_utc, 'warehouse' AS db_path, "
         "s.total, s.passed, s.failed, d.* FROM declared d, totals s",
         declared=DECLARED, totals=SUITE_TOTALS,
     ),
@@ -332,18 +368,24 @@ ORACLE: dict[str, str] = {
     "dq_auto_fk": with_star(AUTO_FK),
     "dq_suite_auto": with_star(AUTO),
     "dq_run_rollup": over_auto(
-        "SELECT '20260101000000000000' AS run_id, run_ts, 'retail_star_schema' AS db_name, "
+        "SELECT '20260101000000000000' AS run_id, run_ts, 'warehouse' AS db_name, "
         f"CAST(COUNT(*) AS INTEGER) AS total_checks, CAST(SUM({FAILED}) AS INTEGER) AS failed_checks, "
         f"{FAILED_ROWS} AS total_failed_rows, {PASS_RATE} AS pass_rate FROM auto GROUP BY run_ts"
     ),
-    "dq_history_last_k": with_star(
-        "SELECT make_timestamp(y, 1, 1, 0, 0, 0.0) AS run_ts, "
-        "CAST((CASE WHEN nulls > 0 THEN 1 ELSE 0 END) + (CASE WHEN orphans > 0 THEN 1 ELSE 0 END) "
-        "+ (CASE WHEN huge > 0 THEN 1 ELSE 0 END) AS INTEGER) AS failed_checks, "
-        "CAST(nulls + orphans + huge AS BIGINT) AS total_failed_rows, "
-        "CAST(3 AS INTEGER) AS total_checks FROM yearly ORDER BY y DESC LIMIT 5",
+    "dq_history_last_k": with_star(f"{RUNS} ORDER BY y DESC LIMIT 5", yearly=YEARLY),
+    "panel_failures_over_time": with_star(
+        f"SELECT * FROM ({RUNS} ORDER BY y DESC LIMIT 30) r QUALIFY COUNT(*) OVER () >= 2",
+        yearly=YEARLY,
+    ),
+    "panel_coverage_yearly": with_star(
+        "SELECT 'mart.fct_sales' AS \"table\", COUNT(*) AS nulls, CAST(0 AS BIGINT) AS duplicates, "
+        "COUNT(*) AS fk_missing, COUNT(*) AS bound FROM yearly HAVING COUNT(*) > 0",
         yearly=YEARLY,
     ),
+    "panel_trend_by_day_number": with_star(
+        "SELECT CAST(strptime(CAST(d.date_sk AS VARCHAR), '%Y%m%d') AS DATE) AS date, "
+        f"{REVENUE} AS metric FROM {DATED} GROUP BY 1"
+    ),
     "panel_kpis": over_auto(
         f"SELECT COUNT(*) AS total_checks, CAST(SUM({FAILED}) AS BIGINT) AS failed_checks, "
         f"{FAILED_ROWS} AS total_failed_rows, {PASS_RATE} AS pass_rate, "

@@ -11,11 +11,13 @@ from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.functions.columns import literal_rows
+from starmill.functions.measures import MONEY_SCALE
+from starmill.functions.schema_rules import surrogate_keys
 from starmill.operators.references import Reference, counts_with_references
 from starmill.operators.sampling import exact_sample
 from starmill.plans import declared, discovered, history, marts, quality_panels, results
@@ -33,10 +35,11 @@ from starmill.session import fresh_path
 from starmill.sources.csv_ingest import MANIFEST, ingest, ingest_summary, read_csv
 from starmill.sources.exports import export_all_csv, export_csv, export_parquet
 from starmill.sources.layers import Layer
+from starmill.sources.scratch import written_once
 
 AS_OF = datetime(2001, 6, 1)
 RUN_TS = datetime(2026, 1, 1)
-DB_NAME = "retail_star_schema"
+DB_NAME = "warehouse"
 SAMPLE_ROWS = 2000
 HISTORY_K = 5
 HISTORY_BOUND = 100_000
@@ -46,8 +49,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def analytics_views(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {
-        "mart_store_daily": marts.store_daily(star[FACT], star["dim_stores"]),
-        "mart_campaign_perf": marts.campaign_performance(star[FACT], star["dim_campaigns"]),
+        "mart_store_daily": marts.store_daily(star[FACT], star["dim_stores"], MONEY_SCALE),
+        "mart_campaign_perf": marts.campaign_performance(
+            star[FACT], star["dim_campaigns"], MONEY_SCALE
+        ),
     }
 
 
@@ -73,17 +78,27 @@ def fct_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def curate_dims(spark: SparkSession, folder: str) -> DataFrame:
-    """Every dimension copied from one layer to the next, with its row count there."""
+    """Every dimension copied from one layer to the next: its rows there, and the numbers and text
+    lengths in them added up."""
     star = StarViews(spark, folder)
     mart = Layer(spark, fresh_path(spark, "curate"), "mart")
     stored = mart.replace_all({table: star[table].select("*") for table in DIMENSIONS})
     counts = [
-        df.agg(F.count("*").alias("n")).select(F.lit(table).alias("dim"), "n")
+        df.agg(F.count("*").alias("n"), *content_sums(df)).select(
+            F.lit(table).alias("dim"), "n", "keys", "letters"
+        )
         for table, df in stored.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
+def content_sums(df: DataFrame) -> list[Column]:
+    """(keys, letters): the sum of the surrogate key and the length of all texts."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    letters = sum((F.sum(F.length(name)) for name in texts), F.lit(0).cast("bigint"))
+    return [F.sum(surrogate_keys(df)[0]).alias("keys"), letters.alias("letters")]
+
+
 def ingest_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Orders and nations out to CSV, in through the ingest job with inferred types, joined."""
     source = fresh_path(spark, "csv-source")
@@ -119,12 +134,20 @@ def export_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pipeline_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """The curation job on the whole star, which ends by writing its line to the run log."""
+    """The curation job on the whole star, which ends by writing its line to the run log.
+
+    The line is returned with the sales and the customers found in the tables the job left.
+    """
     warehouse = Warehouse(spark, fresh_path(spark, "warehouse"))
     star = StarViews(spark, folder)
     warehouse.raw.replace_all({RAW_FACT if t == FACT else t: view for t, view in star.items()})
     build_marts(warehouse, RUN_TS)
-    return warehouse.mart.read("pipeline_runs")
+    curated = {"n_sales": FACT, "n_customers": "dim_customers"}
+    counts = {
+        name: warehouse.mart.read(table).agg(F.count("*")).scalar()
+        for name, table in curated.items()
+    }
+    return warehouse.mart.read("pipeline_runs").withColumns(counts)
 
 
 def sample_fact_exact(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,6 +166,23 @@ def mart_campaign_perf(spark: SparkSession, folder: str) -> DataFrame:
     return analytics_views(StarViews(spark, folder))["mart_campaign_perf"]
 
 
+def mart_store_daily_discount(spark: SparkSession, folder: str) -> DataFrame:
+    """The store mart over the discount granted, a measure finer than a cent, added as doubles.
+
+    Only the totals are rounded, to the four places that a price times a discount has.
+    """
+    discount = F.col("l_extendedprice") * F.col("l_discount")
+    fact = given_table(spark, folder, "lineitem").select(
+        F.col("l_shipdate").alias("SALES_DATE"),
+        F.col("l_suppkey").alias("STORE_SK"),
+        discount.alias("Total_Amount"),
+    )
+    mart = marts.store_daily(fact, StarViews(spark, folder)["dim_stores"])
+    return mart.withColumn("revenue", F.round("revenue", 4)).withColumn(
+        "avg_order_value", F.col("revenue") / F.col("transactions")
+    )
+
+
 # --- declared suite ---------------------------------------------------------------------------
 
 SALES = declared.SALES
@@ -179,18 +219,40 @@ FAMILIES: dict[str, list[declared.Rule]] = {
 }
 
 
+# Views that a family reads more than once, written once before.
+STAGED = {
+    "dq_rowcount_floor": [FACT],
+    "dq_non_negative": [FACT],
+    "dq_fk": DERIVED_DIMENSIONS,
+}
+
+
 def rule_family(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rules = FAMILIES[name]
-        star = StarViews(spark, folder)
+        star = staged_star(spark, folder, name, STAGED.get(name, []))
         summaries = analytics_views(star) if any("analytics." in r.table for r in rules) else {}
         tables = declared.qualified(mart=star, analytics=summaries)
-        checks = declared.evaluate(rules, tables, AS_OF, derived=tables)
+        views = [t for t in tables if t.rpartition(".")[2] not in STAGED.get(name, [])]
+        checks = declared.evaluate(rules, tables, AS_OF, derived=views)
         return checks.select(*declared.CHECK_COLUMNS)
 
     return run
 
 
+def dq_any_case(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules whose names differ in case from those of the tables, one of them given twice."""
+    star = staged_star(spark, folder, "any-case", [])
+    rules = [
+        declared.not_null(SALES, "Campaign_SK"),
+        declared.unique(SALES, "Sales_ID"),
+        declared.references(SALES, "CAMPAIGN_SK", "mart.dim_campaigns", "Campaign_sk"),
+        declared.not_null(SALES, "Campaign_SK"),
+    ]
+    tables = declared.qualified(mart=star)
+    return declared.evaluate(rules, tables, AS_OF, derived=tables).select(*declared.CHECK_COLUMNS)
+
+
 def declared_checks(spark: SparkSession, folder: str) -> DataFrame:
     """The declared suite on the staged star and the summary marts derived from it."""
     star = staged_star(spark, folder, "declared")
@@ -258,7 +320,7 @@ def dq_run_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 def yearly_checks(spark: SparkSession, folder: str) -> DataFrame:
     """One run per ship year: three checks on that year's sales, with the year as grouping key."""
-    star = StarViews(spark, folder)
+    star = staged_star(spark, folder, "yearly", ["dim_campaigns"])
     fact = star[FACT].withColumn("year", F.year("sales_date"))
     row_rules = {
         0: ("campaign_sk", F.col("campaign_sk").isNull()),
@@ -299,11 +361,31 @@ def dq_history_last_k(spark: SparkSession, folder: str) -> DataFrame:
     return history.latest_runs(history.read_runs(main), HISTORY_K)
 
 
+def history_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """The trend of failures over the stored yearly runs."""
+    main = Layer(spark, fresh_path(spark, "history"), "main")
+    history.append_runs(main, yearly_checks(spark, folder), DB_NAME)
+    return history.failures_over_time(history.read_runs(main))
+
+
+def coverage_of(checks: Query) -> Query:
+    return lambda spark, folder: quality_panels.coverage(
+        written_once(checks(spark, folder), "coverage")
+    )
+
+
 # --- business panels ----------------------------------------------------------------------------
 
 
-def sales_panel(panel: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, folder: panel(StarViews(spark, folder))
+def sales_panel(panel: Callable[..., DataFrame]) -> Query:
+    return lambda spark, folder: panel(StarViews(spark, folder), scale=MONEY_SCALE)
+
+
+def trend_by_day_number(spark: SparkSession, folder: str) -> DataFrame:
+    """The trend over a calendar without a date column: its keys are read as YYYYMMDD."""
+    star = StarViews(spark, folder)
+    keys_only = {**star, "dim_dates": star["dim_dates"].select("date_sk")}
+    return panels.sales_trend(keys_only, MONEY_SCALE)
 
 
 def undated(star: Mapping[str, DataFrame]) -> DataFrame:
@@ -323,7 +405,9 @@ QUERIES: dict[str, Query] = {
     "sample_fact_exact": sample_fact_exact,
     "mart_store_daily": mart_store_daily,
     "mart_campaign_perf": mart_campaign_perf,
+    "mart_store_daily_discount": mart_store_daily_discount,
     **{name: rule_family(name) for name in FAMILIES},
+    "dq_any_case": dq_any_case,
     "dq_suite_declared": dq_suite_declared,
     "dq_suite_summary": dq_suite_summary,
     "dq_results_json": dq_results_json,
@@ -334,19 +418,28 @@ QUERIES: dict[str, Query] = {
     "dq_suite_auto": discovered_checks,
     "dq_run_rollup": dq_run_rollup,
     "dq_history_last_k": dq_history_last_k,
+    "panel_failures_over_time": history_failures,
     "panel_kpis": quality_panel(history.kpis),
     "panel_status": quality_panel(quality_panels.status_counts),
     "panel_by_type": quality_panel(quality_panels.type_counts),
-    "panel_coverage": quality_panel(quality_panels.coverage),
+    "panel_coverage": coverage_of(discovered_checks),
+    "panel_coverage_yearly": coverage_of(yearly_checks),
     "panel_top_failures": quality_panel(quality_panels.top_failures),
     "panel_detail": quality_panel(quality_panels.detail),
     "panel_trend": sales_panel(panels.sales_trend),
     "panel_heatmap": sales_panel(panels.seasonality),
-    "panel_heatmap_pivot": sales_panel(lambda s: panels.seasonality_matrix(panels.seasonality(s))),
-    "panel_trend_synth": sales_panel(undated),
-    "panel_heatmap_synth": sales_panel(lambda s: panels.synthetic_seasonality(undated(s))),
+    "panel_heatmap_pivot": sales_panel(
+        lambda s, scale: panels.seasonality_matrix(panels.seasonality(s, scale))
+    ),
+    "panel_trend_by_day_number": trend_by_day_number,
+    "panel_trend_synth": lambda spark, folder: undated(StarViews(spark, folder)),
+    "panel_heatmap_synth": sales_panel(
+        lambda s, scale: panels.synthetic_seasonality(undated(s), scale)
+    ),
     "panel_top_stores": sales_panel(panels.top_stores),
     "panel_rev_mix": sales_panel(panels.revenue_mix),
-    "panel_rev_mix_top": sales_panel(lambda s: panels.revenue_mix_top(panels.revenue_mix(s))),
+    "panel_rev_mix_top": sales_panel(
+        lambda s, scale: panels.revenue_mix_top(panels.revenue_mix(s, scale))
+    ),
     "panel_campaign_perf": sales_panel(panels.campaign_scatter),
 }

@@ -18,19 +18,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def child_directories(spark: SparkSession, path: str) -> list[str]:
-    """Names of the directories directly under a path, sorted; none if the path is absent."""
+def child_directories(spark: SparkSession, path: str, prefix: str | None = None) -> list[str]:
+    """Names of the directories directly under a path, sorted; none if the path is absent.
+
+    Without a prefix, hidden ones are left out.
+    """
     if not exists(spark, path):
         return []
     target, files = _located(spark, path)
     names = [e.getPath().getName() for e in files.listStatus(target) if e.isDirectory()]
-    return sorted(name for name in names if not name.startswith(("_", ".")))
+    if prefix is None:
+        return sorted(name for name in names if not name.startswith(("_", ".")))
+    return sorted(name for name in names if name.startswith(prefix))
+
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a directory to a path that is free."""
+    old, files = _located(spark, source)
+    new, _ = _located(spark, target)
+    if files.exists(new) or not files.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
 
-def switch(spark: SparkSession, built: str, path: str) -> None:
-    """Put a finished directory in the place of another one."""
-    source, files = _located(spark, built)
-    target, _ = _located(spark, path)
+
+def remove(spark: SparkSession, path: str) -> None:
+    target, files = _located(spark, path)
     files.delete(target, True)
-    if not files.rename(source, target):
-        raise OSError(f"could not move {built} to {path}")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starmill.session import side_by_side
-from starmill.sources.files import child_directories, exists, switch
+from starmill.sources.files import child_directories, exists, move, remove
 
 
 class Layer:
@@ -25,12 +25,38 @@ class Layer:
         return f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
+        self._recover(table)
         return exists(self.spark, self.path(table))
 
+    def _replaced(self, table: str) -> str:
+        """Where a table is while its successor takes its place."""
+        return f"{self.root}/_replaced-{table}"
+
+    def _recover(self, table: str) -> None:
+        """Finish a replacement that was stopped half-way.
+
+        A table that stands aside without a successor comes back; one with a successor goes.
+        """
+        aside = self._replaced(table)
+        if not exists(self.spark, aside):
+            return
+        if exists(self.spark, self.path(table)):
+            remove(self.spark, aside)
+        else:
+            move(self.spark, aside, self.path(table))
+
     def names(self) -> list[str]:
+        for table in self._standing_aside():
+            self._recover(table)
         return child_directories(self.spark, self.root)
 
+    def _standing_aside(self) -> list[str]:
+        mark = "_replaced-"
+        hidden = child_directories(self.spark, self.root, mark)
+        return [name.removeprefix(mark) for name in hidden]
+
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        self._recover(table)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(table))
 
@@ -41,16 +67,18 @@ class Layer:
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Rebuild a table from a query, which may read the table itself.
 
-        Overwriting in place would delete the table before the query runs. An existing table is
-        kept until its successor is complete, so a rebuild that fails loses nothing.
+        Every table is built beside its place, so an unfinished one is never seen. An existing one
+        then steps aside, its successor moves in, and only then it is deleted: a job that is stopped
+        in between loses nothing, and the next use of the table finishes the step. A reader of that
+        moment can miss the table, and stores without renames copy it.
         """
         path = self.path(table)
-        if not self.exists(table):
-            df.write.partitionBy(*partition_by).parquet(path)
-        else:
-            built = f"{self.root}/_building-{table}-{uuid.uuid4().hex}"
-            df.write.partitionBy(*partition_by).parquet(built)
-            switch(self.spark, built, path)
+        built = f"{self.root}/_building-{table}-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(built)
+        if self.exists(table):
+            move(self.spark, path, self._replaced(table))
+        move(self.spark, built, path)
+        self._recover(table)
         return self.read(table, None if partition_by else df.schema)
 
     def replace_all(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

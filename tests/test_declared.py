@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 
 from starmill.operators import references
+from starmill.operators.lookups import ENTRY_BYTES, key_set_bytes, within_budget
 from starmill.operators.references import Reference, orphan_counts
 from starmill.plans import declared, results
 from tests.star_fixture import FACT_SCHEMA, fact_rows, small_star
@@ -116,11 +117,11 @@ def test_repeated_null_is_one_repeated_key(spark) -> None:
     assert failed_by_rule(checks) == {"mart.t__k__unique": 2}
 
 
-@pytest.mark.parametrize("max_keys", [0, references.MAX_BROADCAST_KEYS])
-def test_repeated_parent_does_not_multiply_orphans(spark, max_keys: int) -> None:
+@pytest.mark.parametrize("budget", [0, references.BROADCAST_BYTES])
+def test_repeated_parent_does_not_multiply_orphans(spark, budget: int) -> None:
     fact = spark.createDataFrame([(1,), (1,), (9,), (None,)], "k bigint")
     parent = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
-    [counts] = orphan_counts(fact, {4: Reference("k", parent, "k")}, max_keys=max_keys)
+    [counts] = orphan_counts(fact, {4: Reference("k", parent, "k")}, broadcast_bytes=budget)
     assert [(r.rule, r.failed_rows) for r in counts.collect()] == [(4, 1)]
 
 
@@ -132,26 +133,26 @@ def test_large_and_small_dimensions_in_one_suite(spark) -> None:
         2: Reference("campaign_sk", star["dim_campaigns"], "campaign_sk"),
     }
     found = {}
-    for max_keys in (0, 8, 1000):
-        parts = orphan_counts(star["fct_sales"], pointers, max_keys=max_keys)
-        assert len(parts) == (2 if max_keys == 8 else 1)
-        found[max_keys] = {r.rule: r.failed_rows for part in parts for r in part.collect()}
-    assert found[0] == found[8] == found[1000]
+    for budget in (0, 8 * ENTRY_BYTES, 1000 * ENTRY_BYTES):
+        parts = orphan_counts(star["fct_sales"], pointers, broadcast_bytes=budget)
+        assert len(parts) == (2 if budget == 8 * ENTRY_BYTES else 1)
+        found[budget] = {r.rule: r.failed_rows for part in parts for r in part.collect()}
+    assert found[0] == found[8 * ENTRY_BYTES] == found[1000 * ENTRY_BYTES]
 
 
 def test_orphans_by_slice(spark) -> None:
     fact = spark.createDataFrame([(1, 1), (1, 9), (2, 1), (3, None)], "y int, k bigint")
     parent = spark.createDataFrame([(1,)], "k bigint")
-    for max_keys in (0, 10):
-        [counts] = orphan_counts(fact, {0: Reference("k", parent, "k")}, ["y"], max_keys)
+    for budget in (0, 10 * ENTRY_BYTES):
+        [counts] = orphan_counts(fact, {0: Reference("k", parent, "k")}, ["y"], budget)
         assert {r.y: r.failed_rows for r in counts.collect()} == {1: 1, 2: 0, 3: 0}
 
 
 def test_text_keys_compare_with_whole_numbers(spark) -> None:
     fact = spark.createDataFrame([("7",), ("08",), (None,)], "k string")
     parent = spark.createDataFrame([(7,), (8,)], "k int")
-    for max_keys in (0, 10):
-        [counts] = orphan_counts(fact, {0: Reference("k", parent, "k")}, max_keys=max_keys)
+    for budget in (0, 10 * ENTRY_BYTES):
+        [counts] = orphan_counts(fact, {0: Reference("k", parent, "k")}, broadcast_bytes=budget)
         assert counts.collect()[0].failed_rows == 0
 
 
@@ -160,8 +161,8 @@ def test_numbers_of_any_kind_compare(spark, kind: str) -> None:
     """A key with gaps comes from CSV as 1.0 where the dimension holds 1."""
     fact = spark.sql(f"SELECT CAST(k AS {kind}) AS k FROM VALUES (1), (2), (9), (NULL) AS t(k)")
     parent = spark.createDataFrame([(1,), (2,)], "k bigint")
-    for max_keys in (0, 10):
-        [counts] = orphan_counts(fact, {0: Reference("k", parent, "k")}, max_keys=max_keys)
+    for budget in (0, 10 * ENTRY_BYTES):
+        [counts] = orphan_counts(fact, {0: Reference("k", parent, "k")}, broadcast_bytes=budget)
         assert counts.collect()[0].failed_rows == 1
 
 
@@ -210,3 +211,55 @@ def test_document_keeps_the_order_of_the_suite(spark, tmp_path) -> None:
     assert stored[0].run_utc == "2024-05-06T07:08:09+00:00"
     assert stored[0].summary.total == 18
     assert stored[0].summary.passed + stored[0].summary.failed == 18
+
+
+def test_repeated_rules_have_equal_rows(spark) -> None:
+    df = spark.createDataFrame([(None,), (1,), (1,)], "k bigint")
+    rules = [make("mart.t", "k") for make in (declared.not_null, declared.unique) for _ in range(2)]
+    rows = declared.evaluate(rules, {"mart.t": df}).orderBy("position").collect()
+    assert [(r.status, r.failed_rows) for r in rows] == [("FAIL", 1)] * 4
+
+
+@pytest.mark.parametrize("budget", [0, references.BROADCAST_BYTES])
+def test_empty_tables_have_real_counts(spark, monkeypatch, budget: int) -> None:
+    monkeypatch.setattr(references.orphan_counts, "__defaults__", ((), budget))
+    empty = spark.createDataFrame([], "k bigint")
+    tables = {"mart.t": empty, "mart.p": empty}
+    rules = [
+        declared.rowcount_floor("mart.t"),
+        declared.not_null("mart.t", "k"),
+        declared.unique("mart.t", "k"),
+        declared.references("mart.t", "k", "mart.p", "k"),
+    ]
+    rows = declared.evaluate(rules, tables).orderBy("position").collect()
+    assert [r.failed_rows for r in rows] == [1, 0, 0, 0]
+
+
+def test_lost_count_raises(spark) -> None:
+    rules = [declared.not_null("mart.t", "k"), declared.not_null("mart.t", "j")]
+    counts = spark.createDataFrame([(0, 0)], "rule int, failed_rows bigint")
+    with pytest.raises(Exception, match="no count for the check mart.t__j__not_null"):
+        declared.with_status(rules, counts).collect()
+
+
+def test_names_in_any_case(spark) -> None:
+    df = spark.createDataFrame([(1, 5.0), (None, -1.0)], "Sales_ID bigint, Total_Amount double")
+    parent = spark.createDataFrame([(7,)], "SALES_id int")
+    rules = [
+        declared.not_null("mart.t", "sales_id"),
+        declared.non_negative("mart.t", "TOTAL_AMOUNT"),
+        declared.unique("mart.t", "SALES_ID"),
+        declared.references("mart.t", "sales_id", "mart.p", "sales_id"),
+    ]
+    found = declared.evaluate(rules, {"mart.t": df, "mart.p": parent}).orderBy("position").collect()
+    assert [r.failed_rows for r in found] == [1, 1, 0, 1]
+    with pytest.raises(KeyError, match="0 columns are named absent"):
+        declared.evaluate([declared.not_null("mart.t", "absent")], {"mart.t": df})
+
+
+def test_long_text_keys_count_by_their_bytes(spark) -> None:
+    parents = spark.createDataFrame([("x" * 1000,), ("y",)], "k string")
+    sizes = key_set_bytes({"long": (parents, "k"), "short": (parents.where("k = 'y'"), "K")})
+    assert sizes == {"long": 1001 + 2 * ENTRY_BYTES, "short": 1 + ENTRY_BYTES}
+    assert within_budget(sizes, 500) == ["short"]
+    assert within_budget({"a": 300, "b": 300, "c": 100}, 450) == ["c", "a"]

@@ -3,8 +3,10 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmill.plans.discovered import discover, discovered_suite
+from starmill.plans.quality_panels import coverage
 from tests.star_fixture import small_star
 
 RUN_TS = datetime(2024, 5, 6, 7, 8, 9, 123456)
@@ -72,3 +74,27 @@ def test_key_override_and_column_limit(spark) -> None:
 def test_run_time_is_stored_as_given(spark) -> None:
     mart = {"dim_a": spark.createDataFrame([(1,)], "a_sk int")}
     assert {r.run_ts for r in discovered_suite(mart, RUN_TS).collect()} == {RUN_TS}
+
+
+def test_all_key_columns_are_checked_and_a_limit_is_logged(spark, caplog) -> None:
+    wide = spark.range(1).select(*[F.lit(1).alias(f"k{i}_sk") for i in range(30)])
+    assert sum(c.check_type == "nulls" for c in discover({"dim_a": wide})) == 30
+    with caplog.at_level("WARNING"):
+        assert sum(c.check_type == "nulls" for c in discover({"dim_a": wide}, max_columns=29)) == 29
+    assert "k29_sk" in caplog.text
+
+
+def test_empty_tables_count_zero(spark) -> None:
+    empty = spark.createDataFrame([], "a_sk bigint")
+    checks = discovered_suite({"dim_a": empty, "fct_b": empty}, RUN_TS).collect()
+    assert [r.failed_rows for r in checks] == [0] * 5
+
+
+def test_coverage_has_every_type_that_occurs(spark) -> None:
+    checks = spark.createDataFrame(
+        [("a", "nulls", "x"), ("a", "bound", "y"), ("b", "odd.type", "z")],
+        "table string, check_type string, dq_check_name string",
+    )
+    matrix = coverage(checks)
+    assert matrix.columns == ["table", "nulls", "duplicates", "fk_missing", "bound", "odd.type"]
+    assert [tuple(r) for r in matrix.collect()] == [("a", 1, 0, 0, 1, 0), ("b", 0, 0, 0, 0, 1)]

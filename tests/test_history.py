@@ -1,8 +1,8 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from starmill.plans import history
+from starmill.plans import history, pipeline
 from starmill.plans.discovered import discovered_suite
 from starmill.sources.layers import Layer
 
@@ -63,3 +63,34 @@ def test_run_log_appends(spark, tmp_path) -> None:
         "2024-01-01T00:00:00+00:00",
         "2024-01-02T00:00:00+00:00",
     ]
+
+
+def test_absent_history_is_empty(spark, tmp_path) -> None:
+    fresh = Layer(spark, str(tmp_path), "main")
+    assert history.read_runs(fresh).columns == [
+        "run_id", "run_ts", "db_name", "total_checks", "failed_checks", "total_failed_rows"
+    ]
+    assert history.read_runs(fresh).count() == history.read_checks(fresh).count() == 0
+    assert history.failures_over_time(history.read_runs(fresh)).count() == 0
+
+
+def test_writers_that_saw_no_history_leave_one_run(spark, tmp_path, monkeypatch) -> None:
+    main = Layer(spark, str(tmp_path), "main")
+    for values in ([1, 1], [1]):
+        with monkeypatch.context() as blind:
+            blind.setattr(Layer, "exists", lambda self, table: False)
+            history.append_runs(main, suite(spark, FIRST, values), "db")
+    [run] = history.read_runs(main).collect()
+    assert (run.run_id, run.failed_checks) == ("20240101000000000005", 0)
+    assert history.read_checks(main).count() == 2
+
+
+def test_zoned_run_returns_its_own_checks(spark, tmp_path) -> None:
+    warehouse = pipeline.Warehouse(spark, str(tmp_path))
+    warehouse.mart.replace("dim_a", spark.createDataFrame([(1,)], "a_sk bigint"))
+    zoned = datetime(2024, 1, 1, 1, 30, tzinfo=timezone(timedelta(hours=5)))
+    checks = pipeline.run_discovered_checks(warehouse, zoned, "db")
+    assert {(r.run_id, r.run_ts) for r in checks.collect()} == {
+        ("20231231203000000000", datetime(2023, 12, 31, 20, 30))
+    }
+    assert checks.count() == 2

@@ -25,7 +25,7 @@ def test_store_daily_equals_brute_force(spark) -> None:
         for name in names.get(row[4], [None]):
             groups[(row[1].date(), row[4], name)].append(round(row[7] * 100))
     expected = {k: (len(v), sum(v) / 100, sum(v) / 100 / len(v)) for k, v in groups.items()}
-    got = {tuple(r)[:3]: tuple(r)[3:] for r in marts.store_daily(star["fct_sales"], twice).collect()}
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in marts.store_daily(star["fct_sales"], twice, 2).collect()}
     assert got == expected
 
 
@@ -47,7 +47,7 @@ def test_both_ways_to_total_agree_with_rows(spark, broadcast_rows: int) -> None:
     stores = stores.union(spark.createDataFrame([(1, "S1"), (None, "S7")], "k bigint, n string"))
     got = totals_by_attribute(
         fact, "store_sk", stores, "store_sk", {"store": F.col("store_name")},
-        measure_of(fact, "total_amount"), broadcast_rows,
+        measure_of(fact, "total_amount", 2), broadcast_rows,
     ).collect()
     names = [(k, f"S{k % 2}") for k in range(5)] + [(1, "S1")]
     expected = defaultdict(lambda: [0, 0])
@@ -163,3 +163,51 @@ def test_negative_categories_are_shown_only_in_the_full_mix(spark) -> None:
     mix = sales_panels.revenue_mix(mart)
     assert [r.category for r in mix.collect()] == ["a", "b"]
     assert [r.category for r in sales_panels.revenue_mix_top(mix).collect()] == ["a"]
+
+
+def total_of(df, name: str, scale: int | None = None) -> float:
+    measure = measure_of(df, name, scale)
+    return df.agg(measure.value(F.sum(measure.amount)).alias("t")).collect()[0].t
+
+
+def test_sums_keep_what_is_finer_than_a_cent(spark) -> None:
+    df = spark.range(1000).select(F.lit(0.004).alias("M"))
+    assert total_of(df, "m") == pytest.approx(4.0)
+    assert total_of(df, "m", 3) == 4.0
+    with pytest.raises(Exception, match="not a number of 2 decimal places in M: 0.004"):
+        total_of(df, "m", 2)
+
+
+def test_no_number_and_null_in_sums(spark) -> None:
+    df = spark.sql("SELECT CAST(v AS double) AS m FROM VALUES ('1.5'), ('NaN'), (NULL) AS t(v)")
+    assert str(total_of(df, "m")) == "nan"
+    assert total_of(df.where("m < 9 OR m IS NULL"), "m", 2) == 1.5
+    with pytest.raises(Exception, match="(?i)cast|decimal places"):
+        total_of(df, "m", 2)
+
+
+def test_cents_of_any_size_fit_their_scale(spark) -> None:
+    cents = [0, 1, -1, 115, 100_000_001, 999_999_999_999_99, -123_456_789_012_34]
+    df = spark.createDataFrame([(c / 100,) for c in cents], "m double")
+    measure = measure_of(df, "m", 2)
+    assert [r.a for r in df.select(measure.amount.alias("a")).collect()] == cents
+
+
+def test_calendar_prefers_its_full_date(spark) -> None:
+    mart = {
+        "dim_dates": spark.createDataFrame(
+            [(1, date(2000, 1, 1), date(2024, 5, 6))],
+            "date_sk bigint, loaded_on date, Full_Date date",
+        ),
+        "fct_sales": spark.createDataFrame([(1, 1.5)], "date_sk bigint, amount double"),
+    }
+    assert [r.date for r in sales_panels.sales_trend(mart).collect()] == [date(2024, 5, 6)]
+
+
+def test_synthetic_trend_over_many_tasks_is_the_first_rows(spark) -> None:
+    fact = spark.range(0, 5000, 1, 40).select(
+        (F.col("id") * 7919 % 5000).alias("k"), F.col("id").cast("double").alias("amount")
+    )
+    rows = sales_panels.synthetic_trend(fact, days=30).orderBy("date").collect()
+    first = sorted((i * 7919 % 5000, float(i)) for i in range(5000))[:30]
+    assert [r.metric for r in rows] == [amount for _, amount in first]

@@ -60,11 +60,11 @@ def test_large_dimensions_meet_combined_keys(spark, star) -> None:
     try:
         pointers = {0: Reference("customer_sk", star["dim_customers"], "customer_sk"),
                     1: Reference("product_sk", star["dim_products"], "product_sk")}
-        [profiled] = orphan_counts(star["fct_sales"], pointers, max_keys=0)
+        [profiled] = orphan_counts(star["fct_sales"], pointers, broadcast_bytes=0)
         text = plan_text(profiled)
         assert text.count("SortMergeJoin") == 1
-        # Keys, parents and the final counts: the profile is not shuffled again for the join.
-        assert text.count("Exchange hashpartitioning") == 3
+        # Keys and parents: the profile is not shuffled again for the join.
+        assert text.count("Exchange hashpartitioning") == 2
         assert "partial_count(1)" in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -109,3 +109,22 @@ def test_no_cartesian_product_and_no_python(spark) -> None:
         text = plan_text(QUERIES[name](spark, FOLDER))
         assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
         assert "Python" not in text
+
+
+def test_one_scan_of_the_given_facts(spark) -> None:
+    """Uniqueness of two keys joins the given tables once; floors and bounds read the staged fact."""
+    from starmill.registry.queries import QUERIES
+
+    unique = plan_text(QUERIES["dq_unique"](spark, FOLDER))
+    assert unique.count("lineitem.parquet") == 1 and unique.count("orders.parquet") == 1
+    for name in ("dq_rowcount_floor", "dq_non_negative"):
+        text = plan_text(QUERIES[name](spark, FOLDER))
+        # The campaigns, if the family reads them, are the only use of the orders left.
+        assert "lineitem.parquet" not in text and text.count("orders.parquet") <= 1
+
+
+def test_synthetic_series_has_a_level_between_tasks_and_the_last_one(spark) -> None:
+    text = plan_text(sales_panels.synthetic_trend(StarViews(spark, FOLDER)["fct_sales"]))
+    # Every task cuts its rows before the shuffle, every group of tasks after it.
+    assert text.count("WindowGroupLimit") >= 2 and "Partial" in text
+    assert "Exchange hashpartitioning(_tasks" in text

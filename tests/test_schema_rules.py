@@ -25,4 +25,4 @@ def test_interval_is_no_measure(spark) -> None:
 
 def test_key_names_ignore_case() -> None:
     assert rules.is_key("STORE_SK") and rules.is_key("Order_Id") and not rules.is_key("skid")
-    assert rules.first_present(["b", "A"], ["a", "B"]) == "B"
+    assert rules.preferred(["b", "A"], ["a", "B"]) == "B"

@@ -7,6 +7,8 @@ import pytest
 
 from starmill.sources.csv_ingest import ingest, ingest_summary, read_csv, write_ingest_summary
 from starmill.sources.exports import export_all, export_csv
+from starmill.sources import layers
+from starmill.sources.files import move
 from starmill.sources.layers import Layer, catalog_tables
 
 STORES = 'store_sk,store_name,store_type,opened\n1,"Tea, Coffee",Market ,2024-01-31\n2,"Say ""hi""",,\n'
@@ -125,3 +127,31 @@ def test_catalog_layer(spark, tmp_path) -> None:
     assert {name: df.count() for name, df in tables.items()} == {"dim_a": 3, "dim_b": 2}
     assert list(tables) == ["dim_a", "dim_b"]
     spark.sql("DROP DATABASE shop CASCADE")
+
+
+def test_replacement_stopped_half_way_is_finished(spark, tmp_path, monkeypatch) -> None:
+    layer = Layer(spark, str(tmp_path), "mart")
+    layer.replace("t", spark.range(5).toDF("k"))
+    calls = []
+
+    def stops(spark, source: str, target: str) -> None:
+        calls.append(source)
+        if len(calls) == 2:
+            raise OSError("stopped")
+        move(spark, source, target)
+
+    with monkeypatch.context() as stopped:
+        stopped.setattr(layers, "move", stops)
+        with pytest.raises(OSError, match="stopped"):
+            layer.replace("t", spark.range(3).toDF("k"))
+    assert layer.names() == ["t"]
+    assert layer.read("t").count() == 5
+    layer.replace("t", spark.range(3).toDF("k"))
+    assert layer.read("t").count() == 3 and layer.names() == ["t"]
+
+
+def test_unfinished_first_build_is_no_table(spark, tmp_path) -> None:
+    layer = Layer(spark, str(tmp_path), "mart")
+    with pytest.raises(Exception, match="no good"):
+        layer.replace("t", spark.range(1).selectExpr("CAST(raise_error('no good') AS int) AS k"))
+    assert not layer.exists("t") and layer.names() == []
