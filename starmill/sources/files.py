@@ -32,6 +32,12 @@ def child_directories(spark: SparkSession, path: str, prefix: str | None = None)
     return sorted(name for name in names if name.startswith(prefix))
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path; 0 if it is absent."""
+    target, files = _located(spark, path)
+    return files.getContentSummary(target).getLength() if files.exists(target) else 0
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a directory to a path that is free."""
     old, files = _located(spark, source)

@@ -7,10 +7,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from starmill.__main__ import arguments, fit_to_input, schemas
 from starmill.plans import history
 from starmill.plans.pipeline import Warehouse, make_sample, run_all, run_declared_checks
 from starmill.sources.csv_ingest import MANIFEST, read_csv
 from starmill.sources.exports import export_all_csv
+from starmill.sources.files import size
 from tests.star_fixture import small_star
 
 FIRST, SECOND = datetime(2024, 6, 1, 1, 2, 3), datetime(2024, 6, 2, 1, 2, 3)
@@ -71,3 +73,16 @@ def test_sample_keeps_dimensions_and_cuts_facts(spark, csv_folder, tmp_path) ->
     first, second = (read_csv(spark, f"{f}/fact_sales_normalized.csv") for f in (target, again))
     assert first.exceptAll(second).count() == 0
     assert first.exceptAll(read_csv(spark, f"{csv_folder}/fact_sales_normalized.csv")).count() == 0
+
+
+def test_command_line_sizes_partitions_by_the_input(spark, tmp_path) -> None:
+    (tmp_path / "big.csv").write_bytes(b"x" * 1000)
+    assert size(spark, str(tmp_path)) == 1000 and size(spark, str(tmp_path / "absent")) == 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        fit_to_input(spark, [str(tmp_path), str(tmp_path / "absent")])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    args = arguments(["--warehouse", "w", "--schema", "fact_a=k bigint, v double", "--scale", "2"])
+    assert schemas(args.schema)["fact_a"].names == ["k", "v"] and args.scale == 2
