@@ -38,6 +38,8 @@ SPREAD = 1 | 1 << PACKED | 1 << 2 * PACKED
 LANES = 3 * PACKED * SEEDS
 #: Longer paragraphs weigh as much as one of so many bytes.
 HEAVIEST = 4096
+#: Quantiles of the ids that one expression holds; more ranges than that lie between them.
+MOST_CUTS = 255
 
 
 def paragraph_hashes(text: Column) -> Column:
@@ -136,13 +138,28 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), close)))
 
 
-def _cuts(docs: DataFrame, id_column: str, parts: int) -> list[int]:
-    """Ids that divide the table into about equal parts, ascending, at most ``parts - 1`` of them."""
-    if parts < 2:
-        return []
-    shares = [i / parts for i in range(1, parts)]
-    found = docs.approxQuantile(id_column, shares, 0.25 / parts) if parts <= 4096 else []
-    return sorted({math.floor(x) for x in found or []})
+def _range_of(docs: DataFrame, id_column: str, parts: int) -> Column:
+    """Number of the range of ids a row is in, ascending with the id and from 1; 0 without id.
+
+    Quantiles cut the ids into at most ``MOST_CUTS`` + 1 stretches of about equally many rows, each of which is divided
+    evenly between its ends, so that the expression does not grow with the number of ranges.
+    """
+    ident = F.col(id_column)
+    ends = docs.agg(F.min(id_column), F.max(id_column)).first()
+    if ends[0] is None:
+        return F.lit(0).cast("long")
+    stretches = min(parts, MOST_CUTS + 1)
+    shares = [i / stretches for i in range(1, stretches)]
+    found = docs.approxQuantile(id_column, shares, 0.25 / stretches) if shares else []
+    cuts = sorted({math.floor(x) for x in found if ends[0] <= math.floor(x) < ends[1]})
+    each = math.ceil(parts / (len(cuts) + 1))
+    edges = F.array(*[F.lit(c).cast("long") for c in (max(ends[0] - 1, -(1 << 63)), *cuts, ends[1])])
+    stretch = F.greatest(F.size(F.filter(edges, lambda c: c < ident)) - 1, F.lit(0))
+    low, high = (F.get(edges, stretch + i).cast("double") for i in (0, 1))
+    step = F.floor((ident.cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * each)
+    within = F.greatest(F.lit(0), F.least(F.lit(each - 1), step))
+    number = stretch.cast("long") * each + within + 1
+    return F.when(ident.isNull(), F.lit(0).cast("long")).otherwise(number)
 
 
 def with_next(
@@ -157,29 +174,27 @@ def with_next(
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = _cuts(docs, id_column, parts)
-    part, guest, extra = own("part"), own("guest"), own("extra")
-    known = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    place = F.size(F.filter(known, lambda c: c < F.col(id_column))) + 1
-    placed = docs.withColumn(part, F.coalesce(F.when(F.col(id_column).isNotNull(), place), F.lit(0)))
-    # One row for each range, as many as there are partitions.
-    tops = {r[0]: r[1] for r in placed.groupBy(part).agg(F.max(id_column)).collect()}
-    order = sorted(tops, reverse=True)
-    above = {p: order[i - 1] for i, p in enumerate(order)}
-    # Where a range's first row is also needed: at the end of the range above, or, of the first, of the last.
-    goes = F.lit(None).cast("int")
-    for p in order:
-        is_top = F.col(id_column).eqNullSafe(F.lit(tops[p]).cast("long"))
-        goes = F.when((F.col(part) == p) & is_top, F.lit(above[p])).otherwise(goes)
-    both = placed.withColumn(
-        extra,
-        F.when(goes.isNull(), F.array(F.struct(F.col(part).alias("p"), F.lit(0).alias("g")))).otherwise(
-            F.array(
-                F.struct(F.col(part).alias("p"), F.lit(0).alias("g")),
-                F.struct(goes.alias("p"), F.lit(1).alias("g")),
-            )
-        ),
-    ).select(*[f"`{c}`" for c in docs.columns], F.inline(extra).alias(part, guest))
+    part, guest, extra, top, goes = (own(n) for n in ("part", "guest", "extra", "top", "goes"))
+    number = _range_of(docs, id_column, parts)
+    # Two numbers for each range, so many as there are partitions: small enough for one task and a broadcast.
+    tops = docs.select(number.alias("range"), F.col(id_column).alias(top)).groupBy("range").agg(F.max(top).alias(top))
+    upwards = Window.orderBy("range")
+    around = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # A range's first row is also needed at the end of the range above, that of the highest at the end of the lowest.
+    guests = tops.select(
+        F.col("range").alias(own("range")),
+        top,
+        F.coalesce(F.lead("range").over(upwards), F.first("range").over(around)).alias(goes),
+    )
+    placed = docs.withColumn(part, number)
+    same = (F.col(part) == F.col(guests.columns[0])) & F.col(id_column).eqNullSafe(F.col(top))
+    stays = F.struct(F.col(part).alias("p"), F.lit(0).alias("g"))
+    visits = F.struct(F.col(goes).alias("p"), F.lit(1).alias("g"))
+    both = (
+        placed.join(F.broadcast(guests), same, "left")
+        .withColumn(extra, F.when(F.col(goes).isNull(), F.array(stays)).otherwise(F.array(stays, visits)))
+        .select(*[f"`{c}`" for c in docs.columns], F.inline(extra).alias(part, guest))
+    )
     window = Window.partitionBy(part).orderBy(
         F.col(guest), F.col(id_column).desc_nulls_last(), *[F.col(c) for c in columns]
     )

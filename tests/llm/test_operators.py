@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starmill.llm.exact_dedup import exact_groups, without_copies
-from starmill.llm.fingerprints import combined, edit_comparison, paragraph_hashes, printed, vector, without
+from starmill.llm.fingerprints import combined, edit_comparison, paragraph_hashes, printed, vector, with_next, without
 from starmill.llm.host_reputation import Rule, judged_urls
 from starmill.llm.ngram_join import one_of_each, shingle_components
 from starmill.llm.packing import Pattern, packed_sequences, packing_plan
@@ -207,6 +207,18 @@ def test_fingerprints(docs, spark) -> None:
     assert row.added is not None and row.deleted is not None
 
 
+def test_next_row_over_any_number_of_ranges(spark, monkeypatch) -> None:
+    """Ids in clusters, more ranges than quantiles, more ranges than rows."""
+    monkeypatch.setattr("starmill.llm.fingerprints.MOST_CUTS", 3)
+    ids = [*range(-5, 40), *range(10**12, 10**12 + 30), 2**63 - 1, -(2**62)]
+    frame = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id bigint, text string")
+    down = sorted(ids, reverse=True)
+    expected = {i: str(down[(k + 1) % len(down)]) for k, i in enumerate(down)}
+    for parts in (1, 2, 7, 50, 1000):
+        found = with_next(frame, {"text": "next"}, "doc_id", parts).collect()
+        assert len(found) == len(ids) and {r.doc_id: r.next for r in found} == expected
+
+
 def test_toxicity(spark, docs) -> None:
     """Two groups of which one is named in rude sentences mostly: the penalty closes the gap of their scores."""
     rude, calm = ["moron", "idiot", "scum"], ["lamp", "river", "stone"]
