@@ -7,7 +7,7 @@ or deleted by adding or subtracting its vector (``combined``, ``without``).
 A paragraph here is a run of text up to and including a line end or sentence end. Its vector has
 
 * ``EXACT`` lanes of 32 bits each, slices of SHA-256, summed modulo 2^32: equality;
-* ``LANES`` one-bit lanes from xxhash64 with several seeds, three of them in each sum modulo 2^62:
+* ``LANES`` one-bit lanes from xxhash64 with several seeds, each summed modulo 2^62 as the weights are:
   likeness. A paragraph's bits count w, the square root of its bytes. A lane's sum s and the total
   weight W give t = 2s - W, a projection of the weighted paragraphs on random signs, so the squared
   distance of two texts' projections estimates the bytes of the paragraphs that they do not share, and
@@ -30,12 +30,11 @@ from starmill.llm.text import own, partitions_for, text_bytes, whole
 PARAGRAPH_END = r"(?<=[\n.!?])"
 EXACT = 4
 SEEDS = 2
-#: Three lanes of one bit, 21 bits apart, are added in one sum; the topmost has 20 bits of room.
-PACKED = 21
 ROOM = (1 << 62) - 1
-LANE = (1 << 20) - 1
-SPREAD = 1 | 1 << PACKED | 1 << 2 * PACKED
-LANES = 3 * PACKED * SEEDS
+LANES = 64 * SEEDS
+#: While one text is summed, its lanes share longs, so many bits apart: the first for texts whose weights sum up to
+#: less than 2^15, the other for all others. A text has less than 2^31 bytes, and its weights are at most that.
+APART = (16, 32)
 #: Longer paragraphs weigh as much as one of so many bytes.
 HEAVIEST = 4096
 #: Quantiles of the ids that one expression holds; more ranges than that lie between them.
@@ -62,27 +61,37 @@ def paragraph_hashes(text: Column) -> Column:
     )
 
 
-def _sum(hashes: Column, value, power: int) -> Column:
-    zero = F.lit(0).cast("long")
-    return F.aggregate(hashes, zero, lambda total, h: (total + value(h)).bitwiseAND(F.lit(power)))
+def _sum(hashes: Column, value) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda total, h: total + value(h))
+
+
+def _lanes(hashes: Column, seed: int, apart: int) -> Column:
+    """The sums of the 64 one-bit lanes of a seed, in the order of the bits."""
+    spread = F.lit(sum(1 << at for at in range(0, 64, apart)))
+    packed = [
+        _sum(hashes, lambda h, i=i: F.shiftrightunsigned(h[f"h{seed}"], i).bitwiseAND(spread) * h["w"])
+        for i in range(apart)
+    ]
+
+    def lane(sums: Column, at: int) -> Column:
+        return F.transform(sums, lambda x: F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << apart) - 1)))
+
+    bound = F.transform(F.array(F.array(*packed)), lambda sums: F.concat(*[lane(sums, k) for k in range(0, 64, apart)]))
+    return F.get(bound, F.lit(0))
 
 
 def vector(hashes: Column) -> Column:
-    """The fingerprint as an array of longs: total weight, exact lanes, packed one-bit lanes."""
+    """The fingerprint as an array of longs: total weight, exact lanes, one-bit lanes."""
     exact = [
         _sum(
             hashes,
             lambda h, i=i: F.conv(F.substring(h["digest"], 1 + 8 * i, 8), 16, 10).cast("long"),
-            (1 << 32) - 1,
-        )
+        ).bitwiseAND(F.lit((1 << 32) - 1))
         for i in range(EXACT)
     ]
-    packed = [
-        _sum(hashes, lambda h, i=i, s=s: F.shiftrightunsigned(h[f"h{s}"], i).bitwiseAND(F.lit(SPREAD)) * h["w"], ROOM)
-        for s in range(SEEDS)
-        for i in range(PACKED)
-    ]
-    return F.array(_sum(hashes, lambda h: h["w"], ROOM), *exact, *packed)
+    weight = _sum(hashes, lambda h: h["w"])
+    light, any_weight = (F.concat(*[_lanes(hashes, s, apart) for s in range(SEEDS)]) for apart in APART)
+    return F.concat(F.array(weight, *exact), F.when(weight < 1 << 15, light).otherwise(any_weight))
 
 
 def combined(a: Column, b: Column) -> Column:
@@ -110,19 +119,7 @@ def printed(v: Column) -> Column:
 
 def projections(v: Column) -> Column:
     """t = 2s - W of every one-bit lane."""
-    packed = F.slice(v, 2 + EXACT, PACKED * SEEDS)
-    n = F.get(v, F.lit(0))
-    return F.flatten(
-        F.transform(
-            packed,
-            lambda x: F.array(
-                *[
-                    (F.shiftrightunsigned(x, PACKED * k).bitwiseAND(F.lit(LANE)) * 2 - n).cast("double")
-                    for k in range(3)
-                ]
-            ),
-        )
-    )
+    return F.transform(F.slice(v, 2 + EXACT, LANES), lambda x: (x * 2 - F.get(v, F.lit(0))).cast("double"))
 
 
 def likeness(a: Column, b: Column) -> Column:

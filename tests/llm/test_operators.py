@@ -16,7 +16,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starmill.llm.exact_dedup import exact_groups, without_copies
-from starmill.llm.fingerprints import combined, edit_comparison, paragraph_hashes, printed, vector, with_next, without
+from starmill.llm.fingerprints import (
+    combined,
+    edit_comparison,
+    likeness,
+    paragraph_hashes,
+    printed,
+    vector,
+    with_next,
+    without,
+)
 from starmill.llm.host_reputation import Rule, judged_urls
 from starmill.llm.ngram_join import one_of_each, shingle_components
 from starmill.llm.packing import Pattern, packed_sequences, packing_plan
@@ -207,6 +216,19 @@ def test_fingerprints(docs, spark) -> None:
     assert row.added is not None and row.deleted is not None
 
 
+def test_likeness_of_texts_of_several_megabytes(spark) -> None:
+    """Two thirds of equal short lines are kept; weights sum up to more than 2^20."""
+    n = 220_000
+    line = "a line of short words ok\n"
+    other = "".join(f"{i:024d}\n" for i in range(n // 3))
+    frame = spark.createDataFrame([(line * n,), (line * (n - n // 3) + other,)], "text string")
+    hashed = frame.select(paragraph_hashes(F.col("text")).alias("hashes"))
+    vectors = [r[0] for r in hashed.select(vector(F.col("hashes"))).collect()]
+    pair = spark.createDataFrame([tuple(vectors)], "a array<bigint>, b array<bigint>")
+    # Squares of n equal lines are n^2, those of n other lines n.
+    assert abs(pair.select(likeness(F.col("a"), F.col("b"))).first()[0] - (1 - 1 / 13)) < 0.02
+
+
 def test_next_row_over_any_number_of_ranges(spark, monkeypatch) -> None:
     """Ids in clusters, more ranges than quantiles, more ranges than rows."""
     monkeypatch.setattr("starmill.llm.fingerprints.MOST_CUTS", 3)
