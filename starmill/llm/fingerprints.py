@@ -8,9 +8,11 @@ A paragraph here is a run of text up to and including a line end or sentence end
 
 * ``EXACT`` lanes of 32 bits each, slices of SHA-256, summed modulo 2^32: equality;
 * ``LANES`` one-bit lanes from xxhash64 with several seeds, each summed modulo 2^62 as the weights are:
-  likeness. A paragraph's bits count w, the square root of its bytes. A lane's sum s and the total
-  weight W give t = 2s - W, a projection of the weighted paragraphs on random signs, so the squared
-  distance of two texts' projections estimates the bytes of the paragraphs that they do not share, and
+  likeness. Paragraphs of more than ``WIDEST`` bytes are cut further for these, at borders that the letters beside
+  them decide, so that an edit costs the pieces it touches; equal pieces of one paragraph are told apart by number,
+  else n of them would weigh as n^2 bytes. A piece's bits count w, the square root of its bytes. A lane's sum s and the total
+  weight W give t = 2s - W, a projection of the weighted pieces on random signs, so the squared
+  distance of two texts' projections estimates the bytes of the pieces that they do not share, and
   ``likeness`` is 1 - distance / (squares of both), cut to 0..1.
 
 All of it is evaluated within a row by built-in functions, without a shuffle.
@@ -37,39 +39,80 @@ LANES = 64 * SEEDS
 APART = (16, 32)
 #: Longer paragraphs weigh as much as one of so many bytes.
 HEAVIEST = 4096
+#: Where longer paragraphs are cut, and what is still longer at the next: blanks after some letters, after more, all
+#: blanks, marks and some letters of unspaced text, every code point.
+WIDEST = 96
+PIECE_ENDS = (
+    r"(?<=[dglmpuy|][\x20\x09-\x0D])",
+    r"(?<=[^ehinst\x20\x09-\x0D][\x20\x09-\x0D])",
+    r"(?<=[\x20\x09-\x0D])",
+    r"(?<=[\u3001\u3002\uFF01\uFF0C\uFF1B\uFF1F\u0964\u061F\u060C\u06D4,;:/&=0-3aeimquyAEIMQUY])",
+    r"(?s)(?<=.)",
+)
 #: Quantiles of the ids that one expression holds; more ranges than that lie between them.
 MOST_CUTS = 255
 
 
+def _cut(text: Column, ends: tuple[str, ...]) -> Column:
+    """The pieces of a paragraph."""
+    if not ends:
+        return F.array(text)
+    parts = F.filter(F.split(text, ends[0]), lambda p: p != "")
+    finer = F.flatten(F.transform(parts, lambda p: _cut(p, ends[1:])))
+    return F.when(F.octet_length(text) > WIDEST, finer).otherwise(F.array(text))
+
+
+def _numbered(paragraph: Column) -> Column:
+    """(p, k) of all pieces of a paragraph, k counting equal ones from 0."""
+
+    def runs(pieces: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(pieces) - 1)
+        starts = F.filter(at, lambda i: (i == 0) | (F.get(pieces, i) != F.get(pieces, i - 1)))
+        return F.get(F.transform(F.array(starts), lambda s: F.flatten(F.transform(s, run_of(pieces, s)))), F.lit(0))
+
+    def run_of(pieces: Column, starts: Column):
+        def run(start: Column, j: Column) -> Column:
+            last = F.coalesce(F.get(starts, j + 1), F.size(pieces)) - start - 1
+            return F.transform(
+                F.sequence(F.lit(0), last), lambda k: F.struct(F.get(pieces, start).alias("p"), k.alias("k"))
+            )
+
+        return run
+
+    several = F.get(F.transform(F.array(F.sort_array(_cut(paragraph, PIECE_ENDS))), runs), F.lit(0))
+    one = F.array(F.struct(paragraph.alias("p"), F.lit(0).alias("k")))
+    return F.when(F.octet_length(paragraph) > WIDEST, several).otherwise(one)
+
+
 def paragraph_hashes(text: Column) -> Column:
-    """One struct of hashes for each paragraph of a text; none for an empty text."""
-    pieces = F.filter(F.split(text, PARAGRAPH_END), lambda p: p != "")
-    weighed = F.transform(
-        pieces,
-        lambda p: F.struct(
-            F.sha2(p.cast("binary"), 256).alias("digest"),
-            F.floor(F.sqrt(F.least(F.octet_length(p), F.lit(HEAVIEST)))).cast("long").alias("w"),
-        ),
-    )
-    return F.transform(
-        weighed,
-        lambda h: F.struct(
-            h["digest"].alias("digest"),
-            h["w"].alias("w"),
-            *[F.xxhash64(h["digest"], F.lit(seed)).alias(f"h{seed}") for seed in range(SEEDS)],
-        ),
-    )
+    """The digests of a text's paragraphs and a struct of hashes for each of their pieces; none for an empty text."""
+
+    def hashed(paragraphs: Column) -> Column:
+        pieces = F.flatten(F.transform(paragraphs, _numbered))
+        return F.struct(
+            F.transform(paragraphs, lambda p: F.sha2(p.cast("binary"), 256)).alias("digests"),
+            F.transform(
+                pieces,
+                lambda p: F.struct(
+                    F.floor(F.sqrt(F.least(F.octet_length(p["p"]), F.lit(HEAVIEST)))).cast("long").alias("w"),
+                    *[F.xxhash64(p["p"], p["k"], F.lit(seed)).alias(f"h{seed}") for seed in range(SEEDS)],
+                ),
+            ).alias("pieces"),
+        )
+
+    paragraphs = F.filter(F.split(text, PARAGRAPH_END), lambda p: p != "")
+    return F.get(F.transform(F.array(paragraphs), hashed), F.lit(0))
 
 
 def _sum(hashes: Column, value) -> Column:
     return F.aggregate(hashes, F.lit(0).cast("long"), lambda total, h: total + value(h))
 
 
-def _lanes(hashes: Column, seed: int, apart: int) -> Column:
+def _lanes(pieces: Column, seed: int, apart: int) -> Column:
     """The sums of the 64 one-bit lanes of a seed, in the order of the bits."""
     spread = F.lit(sum(1 << at for at in range(0, 64, apart)))
     packed = [
-        _sum(hashes, lambda h, i=i: F.shiftrightunsigned(h[f"h{seed}"], i).bitwiseAND(spread) * h["w"])
+        _sum(pieces, lambda h, i=i: F.shiftrightunsigned(h[f"h{seed}"], i).bitwiseAND(spread) * h["w"])
         for i in range(apart)
     ]
 
@@ -82,15 +125,20 @@ def _lanes(hashes: Column, seed: int, apart: int) -> Column:
 
 def vector(hashes: Column) -> Column:
     """The fingerprint as an array of longs: total weight, exact lanes, one-bit lanes."""
+    return F.get(F.transform(F.array(hashes), _vector), F.lit(0))
+
+
+def _vector(hashes: Column) -> Column:
     exact = [
         _sum(
-            hashes,
-            lambda h, i=i: F.conv(F.substring(h["digest"], 1 + 8 * i, 8), 16, 10).cast("long"),
+            hashes["digests"],
+            lambda digest, i=i: F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("long"),
         ).bitwiseAND(F.lit((1 << 32) - 1))
         for i in range(EXACT)
     ]
-    weight = _sum(hashes, lambda h: h["w"])
-    light, any_weight = (F.concat(*[_lanes(hashes, s, apart) for s in range(SEEDS)]) for apart in APART)
+    pieces = hashes["pieces"]
+    weight = _sum(pieces, lambda h: h["w"])
+    light, any_weight = (F.concat(*[_lanes(pieces, s, apart) for s in range(SEEDS)]) for apart in APART)
     return F.concat(F.array(weight, *exact), F.when(weight < 1 << 15, light).otherwise(any_weight))
 
 

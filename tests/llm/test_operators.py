@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -229,6 +230,27 @@ def test_likeness_of_texts_of_several_megabytes(spark) -> None:
     assert abs(pair.select(likeness(F.col("a"), F.col("b"))).first()[0] - (1 - 1 / 13)) < 0.02
 
 
+def test_likeness_without_sentence_ends(spark) -> None:
+    """Two thirds of one long paragraph stay: words, repeated words, unspaced and spaced scripts, one letter."""
+    rng = random.Random(5)
+    letters = {"han": [chr(0x4E00 + i) for i in range(900)], "faces": [chr(0x1F600 + i) for i in range(60)]}
+    kinds = {
+        "words": " ".join("".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(2, 9))) for _ in range(300)),
+        "repeated": "buying " * 200 + "then " * 200,
+        "greek": " ".join("".join(rng.choices("αβγδεζηθικλμ", k=6)) for _ in range(200)),
+        "han": "".join(rng.choices(letters["han"], k=600)),
+        "faces": "".join(rng.choices(letters["faces"], k=600)),
+        "hexadecimal": "".join(rng.choices("0123456789abcdef", k=1500)),
+        "letter": "x" * 3000,
+    }
+    edited = {k: t[: len(t) - len(t) // 3] + "#" * (len(t) // 3) for k, t in kinds.items()}
+    frame = spark.createDataFrame([(k, kinds[k], edited[k], "a b. " + kinds[k]) for k in kinds], "k string, a string, b string, c string")
+    hashed = frame.select("k", *[paragraph_hashes(F.col(c)).alias(c) for c in "abc"])
+    vectors = hashed.select("k", *[vector(F.col(c)).alias(c) for c in "abc"])
+    for r in vectors.select("k", likeness(F.col("a"), F.col("b")), likeness(F.col("a"), F.col("c"))).collect():
+        assert r[1] > 0.1 and r[2] > 0.85, r
+
+
 def test_next_row_over_any_number_of_ranges(spark, monkeypatch) -> None:
     """Ids in clusters, more ranges than quantiles, more ranges than rows."""
     monkeypatch.setattr("starmill.llm.fingerprints.MOST_CUTS", 3)
