@@ -37,8 +37,6 @@ LANES = 64 * SEEDS
 #: While one text is summed, its lanes share longs, so many bits apart: the first for texts whose weights sum up to
 #: less than 2^15, the other for all others. A text has less than 2^31 bytes, and its weights are at most that.
 APART = (16, 32)
-#: Longer paragraphs weigh as much as one of so many bytes.
-HEAVIEST = 4096
 #: Where longer paragraphs are cut, and what is still longer at the next: blanks after some letters, after more, all
 #: blanks, marks and some letters of unspaced text, every code point.
 WIDEST = 96
@@ -94,7 +92,7 @@ def paragraph_hashes(text: Column) -> Column:
             F.transform(
                 pieces,
                 lambda p: F.struct(
-                    F.floor(F.sqrt(F.least(F.octet_length(p["p"]), F.lit(HEAVIEST)))).cast("long").alias("w"),
+                    F.floor(F.sqrt(F.octet_length(p["p"]))).cast("long").alias("w"),
                     *[F.xxhash64(p["p"], p["k"], F.lit(seed)).alias(f"h{seed}") for seed in range(SEEDS)],
                 ),
             ).alias("pieces"),
@@ -167,7 +165,11 @@ def printed(v: Column) -> Column:
 
 def projections(v: Column) -> Column:
     """t = 2s - W of every one-bit lane."""
-    return F.transform(F.slice(v, 2 + EXACT, LANES), lambda x: (x * 2 - F.get(v, F.lit(0))).cast("double"))
+    def signed(v: Column) -> Column:
+        n = F.get(v, F.lit(0))
+        return F.transform(F.slice(v, 2 + EXACT, LANES), lambda x: (x * 2 - n).cast("double"))
+
+    return F.get(F.transform(F.array(v), signed), F.lit(0))
 
 
 def likeness(a: Column, b: Column) -> Column:
