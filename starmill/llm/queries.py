@@ -17,6 +17,7 @@ from starmill.llm.toxicity import Model, scored, trained
 from starmill.llm.token_counts import with_token_counts
 from starmill.llm.text import one_blank, table, whole
 from starmill.llm.warc import archived_pages
+from starmill.llm.whitening import whitened
 
 URL_RULES = (
     Rule("allow", "com", "/"),
@@ -109,6 +110,10 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -120,4 +125,5 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_host_reputation": op10_host_reputation,
+    "op13_whitening": op13_whitening,
 }
