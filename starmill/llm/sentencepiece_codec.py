@@ -329,8 +329,8 @@ def with_pieces(docs: DataFrame, path: str, text_column: str = "text", ids: bool
 
     ``path`` names a SentencePiece BPE model with byte fallback, without normalisation, that every executor can read.
     ``ids_crc32`` is that of the ids as little-endian 32-bit numbers; ``round_trip`` tells that decoding
-    the ids gives the text again, which fails for texts that contain the model's own blank only. Null counts as
-    empty, and empty texts have no ids. Repeated rows return as often. Columns named like the
+    the ids gives the text again, which fails for texts that contain the model's own blank (U+2581, read as a
+    blank) only. Null counts as empty, and empty texts have no ids. Repeated rows return as often. Columns named like the
     result's are replaced. An empty table gives an empty result.
     """
     ship(docs.sparkSession)
@@ -344,11 +344,11 @@ def with_pieces(docs: DataFrame, path: str, text_column: str = "text", ids: bool
         for batch in small_batches(batches, "text", BATCH_BYTES):
             texts = texts_of(batch.column("text"))
             found, first = batch_ids(texts, path)
-            crc, same = [], []
+            crc, same, marked = [], [], batch.column("marked")
             for i in range(len(texts)):
                 mine = found[first[i] : first[i + 1]]
                 crc.append(zlib.crc32(mine.astype("<u4").tobytes()))
-                same.append(vocabulary.decode(mine) == texts.text(i).decode()[1:])
+                same.append(not marked[i].as_py() and vocabulary.decode(mine) == texts.text(i).decode()[1:])
             columns = [batch.column(row), pa.array(np.diff(first)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
             if ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(found.astype(np.int32))))
@@ -356,7 +356,9 @@ def with_pieces(docs: DataFrame, path: str, text_column: str = "text", ids: bool
 
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias(own("fill"))).alias(row),
-        F.when(body != "", F.concat(F.lit(" "), body)).otherwise("").alias("text"),
+        # The model reads its own blank as one.
+        F.when(body != "", F.concat(F.lit(" "), F.translate(body, BLANK, " "))).otherwise("").alias("text"),
+        F.contains(body, F.lit(BLANK)).alias("marked"),
     )
     kinds = [T.LongType(), T.LongType(), T.BooleanType(), T.ArrayType(T.IntegerType())]
     result = T.StructType(

@@ -1,9 +1,10 @@
 """Hashes of words and of runs of words for whole batches of texts, as numpy arrays.
 
-A word is a maximal run of bytes that are neither blank nor 0x09-0x0D. Hashes are 64-bit polynomials with
-random coefficients, taken from differences of running sums, so the cost is a few vector operations a
-byte whatever the lengths of words and runs. Long texts are hashed piece by piece: what stays in
-memory is eight bytes a word.
+A word is a maximal run of bytes that are neither blank nor 0x09-0x0D. Hashes are polynomials modulo the
+prime 2^61 - 1, taken from differences of running sums, so the cost is a few vector operations a
+byte whatever the lengths of words and runs. (Modulo a power of two there are texts, such as the words of
+Thue and Morse, that share a hash for every base.) Long texts are hashed block by block: what stays in
+memory is eight bytes a word or span.
 """
 
 from __future__ import annotations
@@ -29,36 +30,92 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: A random coefficient for each byte.
-COEFFICIENTS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BYTE_BASE))
+#: Polynomials are taken modulo this prime, 2^61 - 1.
+PRIME = (1 << 61) - 1
+_P = np.uint64(PRIME)
+_U29, _U32, _U61 = np.uint64(29), np.uint64(32), np.uint64(61)
+_LOW29, _LOW32 = np.uint64((1 << 29) - 1), np.uint64((1 << 32) - 1)
+#: Bytes, or words, over which one running sum is taken: it stays below 2^61.
+BLOCK = 1 << 20
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """64-bit values modulo the prime."""
+    x = (x & _P) + (x >> _U61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of values below it, by halves of 32 bits."""
+    a1, a0, b1, b0 = a >> _U32, a & _LOW32, b >> _U32, b & _LOW32
+    cross = a1 * b0 + a0 * b1
+    low = a0 * b0
+    return reduced(
+        ((a1 * b1) << np.uint64(3)) + (cross >> _U29) + ((cross & _LOW29) << _U32) + (low & _P) + (low >> _U61)
+    )
+
+
+def _joined(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """high * 2^32 + low modulo the prime, for values below 2^61."""
+    return reduced((high >> _U29) + ((high & _LOW29) << _U32) + low)
 
 
 class Powers:
-    """base^i and base^-i modulo 2^64, grown as needed."""
+    """base^i and base^-i modulo the prime, grown as needed; the former in halves of 32 bits."""
 
     def __init__(self, base: int) -> None:
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(0, dtype=np.uint64)
+        self.base, self.inverse = base % PRIME, pow(base, -1, PRIME)
+        self.down = self.high = self.low = np.ones(0, dtype=np.uint64)
+
+    def upto(self, n: int) -> Powers:
+        if len(self.down) < n:
+            size = 1 << max(16, (n - 1).bit_length())
+            up, self.down = (self._series(value, size) for value in (self.base, self.inverse))
+            self.high, self.low = up >> _U32, up & _LOW32
+        return self
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            for name, value in (("up", self.base), ("down", self.inverse)):
-                steps = np.full(size, value, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-        return self.up[:n], self.down[:n]
+    @staticmethod
+    def _series(value: int, size: int) -> np.ndarray:
+        found = np.ones(1, dtype=np.uint64)
+        while len(found) < size:
+            found = np.concatenate([found, times(found, np.uint64(pow(value, len(found), PRIME)))])
+        return found
 
 
 _BYTES, _WORDS = Powers(BYTE_BASE), Powers(WORD_BASE)
 
 
+def _running(data: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of byte * base^i, in halves, for at most BLOCK bytes."""
+    high, low = np.zeros((2, len(data) + 1), dtype=np.uint64)
+    digits = data.astype(np.uint64) + np.uint64(1)
+    np.cumsum(digits * powers.high[: len(data)], out=high[1:])
+    np.cumsum(digits * powers.low[: len(data)], out=low[1:])
+    return high, low
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each span of bytes of ``data``."""
-    up, down = _BYTES.upto(len(data))
-    running = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(COEFFICIENTS[data] * up, out=running[1:])
-    return mixed((running[ends] - running[starts]) * down[np.minimum(starts, len(data) - 1)])
+    """Hash of each span of bytes of ``data``; starts and ends do not fall."""
+    powers = _BYTES.upto(min(len(data), BLOCK) + 1)
+    if len(data) <= BLOCK:
+        high, low = _running(data, powers)
+        total = _joined(high[ends] - high[starts], low[ends] - low[starts])
+        return mixed(times(total, powers.down[starts]))
+    # Sums up to a position: those within its block, shifted to the block's place, and those before the block.
+    at_start, at_end = np.zeros(len(starts), dtype=np.uint64), np.zeros(len(ends), dtype=np.uint64)
+    before, base, back = 0, 1, np.zeros(len(starts), dtype=np.uint64)
+    for at in range(0, len(data) + 1, BLOCK):
+        high, low = _running(data[at : at + BLOCK], powers)
+        for places, sums in ((starts, at_start), (ends, at_end)):
+            i, j = np.searchsorted(places, (at, at + BLOCK))
+            here = places[i:j] - at
+            sums[i:j] = reduced(times(_joined(high[here], low[here]), np.uint64(base)) + np.uint64(before))
+        i, j = np.searchsorted(starts, (at, at + BLOCK))
+        back[i:j] = times(powers.down[starts[i:j] - at], np.uint64(pow(base, -1, PRIME)))
+        whole = int(_joined(high[-1:], low[-1:])[0])
+        before = (before + whole * base) % PRIME
+        base = base * pow(powers.base, BLOCK, PRIME) % PRIME
+    return mixed(times(reduced(at_end + _P - at_start), back))
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
@@ -66,10 +123,19 @@ def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     n = len(words) - length + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    up, down = _WORDS.upto(len(words))
-    running = np.zeros(len(words) + 1, dtype=np.uint64)
-    np.cumsum(words * up, out=running[1:])
-    return mixed((running[length:] - running[:n]) * down[:n] + np.uint64(length))
+    powers = _WORDS.upto(min(n, BLOCK) + length)
+    found = np.empty(n, dtype=np.uint64)
+    for at in range(0, n, BLOCK):
+        to = min(at + BLOCK, n)
+        own = reduced(words[at : to + length - 1])
+        own = times(own, (powers.high[: len(own)] << _U32) | powers.low[: len(own)])
+        high, low = np.zeros((2, len(own) + 1), dtype=np.uint64)
+        np.cumsum(own >> _U32, out=high[1:])
+        np.cumsum(own & _LOW32, out=low[1:])
+        m = to - at
+        total = _joined(high[length:] - high[:m], low[length:] - low[:m])
+        found[at:to] = mixed(times(total, powers.down[:m]) + np.uint64(length))
+    return found
 
 
 #: Bytes that end a word: blank and 0x09-0x0D.
