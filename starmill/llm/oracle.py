@@ -104,9 +104,42 @@ SELECT doc_id, len(words) AS n_words, len(gone) AS n_removed, sha256(array_to_st
 FROM k
 """
 
+NEAR_COPIES = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'),
+                     lambda w: w <> '') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, array_to_string(list_slice(words, pos, pos + 2), ' ') AS shingle
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS pos FROM d WHERE len(words) > 0)
+), sizes AS (
+  SELECT r, count(*) AS n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS same FROM s GROUP BY r
+), sets AS (
+  SELECT same, min(r) AS node, any_value(n) AS n FROM sizes GROUP BY same
+), t AS (SELECT s.r AS node, shingle FROM s JOIN sets ON s.r = sets.node),
+c AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS common
+  FROM t AS a JOIN t AS b ON a.shingle = b.shingle AND a.node < b.node GROUP BY ALL
+), links AS (
+  SELECT a, b FROM c JOIN sets AS x ON x.node = a JOIN sets AS y ON y.node = b
+  WHERE 100 * common >= 85 * (x.n + y.n - common)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT node AS a, node AS b FROM sets
+  UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a
+), roots AS (SELECT a AS node, min(b) AS root FROM reach GROUP BY a),
+named AS (
+  SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, root
+  FROM d LEFT JOIN sizes AS z ON z.r = d.r LEFT JOIN sets ON sets.same = z.same LEFT JOIN roots ON roots.node = sets.node
+), lows AS (SELECT *, CASE WHEN root IS NULL THEN doc_id ELSE min(doc_id) OVER (PARTITION BY root) END AS component_id FROM named)
+SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM lows
+"""
+
 ORACLE = {
     "op2_warc": WARC,
     "op6_exact_dedup": EXACT_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_host_reputation": HOST_REPUTATION,
+    "op12_minhash": NEAR_COPIES,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from starmill.llm.exact_dedup import exact_groups
 from starmill.llm.fingerprints import edit_comparison
 from starmill.llm.host_reputation import Rule, judged_urls, path_of
+from starmill.llm.near_copies import near_copies
 from starmill.llm.ngram_join import shingle_components
 from starmill.llm.packing import packed_sequences
 from starmill.llm.sentencepiece_codec import with_pieces
@@ -110,6 +111,10 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitened(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
@@ -125,5 +130,6 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_host_reputation": op10_host_reputation,
+    "op12_minhash": op12_minhash,
     "op13_whitening": op13_whitening,
 }
