@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from typing import Any
 
 from pyspark.sql import SparkSession
 
 
-def _located(spark: SparkSession, path: str) -> tuple[Any, Any]:
+def located(spark: SparkSession, path: str) -> tuple[Any, Any]:
     """The Hadoop path and its file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target, files = _located(spark, path)
+    target, files = located(spark, path)
     return files.exists(target)
 
 
@@ -25,7 +26,7 @@ def child_directories(spark: SparkSession, path: str, prefix: str | None = None)
     """
     if not exists(spark, path):
         return []
-    target, files = _located(spark, path)
+    target, files = located(spark, path)
     names = [e.getPath().getName() for e in files.listStatus(target) if e.isDirectory()]
     if prefix is None:
         return sorted(name for name in names if not name.startswith(("_", ".")))
@@ -34,18 +35,35 @@ def child_directories(spark: SparkSession, path: str, prefix: str | None = None)
 
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files under a path; 0 if it is absent."""
-    target, files = _located(spark, path)
+    target, files = located(spark, path)
     return files.getContentSummary(target).getLength() if files.exists(target) else 0
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a directory to a path that is free."""
-    old, files = _located(spark, source)
-    new, _ = _located(spark, target)
-    if files.exists(new) or not files.rename(old, new):
-        raise OSError(f"could not move {source} to {target}")
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    target, files = located(spark, path)
+    stream = files.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    target, files = located(spark, path)
+    stream = files.create(target)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written, by the clock of its file system and of this machine."""
+    target, files = located(spark, path)
+    return time.time() - files.getFileStatus(target).getModificationTime() / 1000
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    target, files = _located(spark, path)
+    target, files = located(spark, path)
     files.delete(target, True)
