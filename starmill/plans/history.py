@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +13,8 @@ from pyspark.sql import types as T
 
 from starmill.functions.calendar import as_utc, iso_utc, run_id
 from starmill.functions.columns import literal_rows
+from starmill.sources.commits import create_once
+from starmill.sources.files import exists, remove
 from starmill.sources.layers import Layer
 from starmill.sources.scratch import written_once
 
@@ -25,6 +29,8 @@ CHECKS_SCHEMA = (
     "column_name string, dq_check_name string, failed_rows bigint, severity int, run_date date"
 )
 
+COMMIT_SCHEMA = "run_id string, attempt string"
+
 
 def roll_up(checks: DataFrame, db_name: str) -> DataFrame:
     """One row per run time: its id, number of checks, failures and failed rows."""
@@ -70,19 +76,37 @@ def kpis(checks: DataFrame) -> DataFrame:
     )
 
 
+def _commits(history: Layer) -> str:
+    """The folder of commits: a file for each run, which names the attempt that is the run."""
+    return f"{history.root}/_history/commits"
+
+
+def _attempt_folder(history: Layer, table: str, attempt: str) -> str:
+    return f"{history.path(table)}/attempt={attempt}"
+
+
+def committed_runs(history: Layer) -> DataFrame:
+    """(run_id, attempt) of the runs that are complete."""
+    spark, folder = history.spark, _commits(history)
+    if not exists(spark, folder):
+        return spark.createDataFrame([], COMMIT_SCHEMA)
+    return spark.read.schema(COMMIT_SCHEMA).json(folder)
+
+
 def append_runs(history: Layer, checks: DataFrame, db_name: str) -> None:
     """Add the runs found in ``checks`` to both history tables; run ids already there are skipped.
 
-    In both tables a run has its own directory, named by its id, and replaces what is there: writers
-    that both saw no such run leave one. The details come first, the run's row last, which marks the
-    run as complete, so a retry after the loss of the driver neither repeats nor loses anything.
+    Every call writes to directories of its own attempt, first the details, then the runs' rows. A run is
+    added by one small file named by its id, which holds the attempt and is created only if there is
+    none: so both tables show the same attempt of a run, or none of it, whichever writers meet and
+    wherever one of them stops. An attempt that came too late takes its directories away.
     """
+    spark = history.spark
     # Two tables are fed from the same results; the suite behind them must run only once.
     new_checks = checks.withColumn("run_id", run_id(F.col("run_ts")))
-    if history.exists(RUNS):
-        known = read_runs(history).select("run_id")
-        new_checks = new_checks.join(known, "run_id", "left_anti")
-    new_checks = written_once(new_checks, "new-checks")
+    known = committed_runs(history).select("run_id")
+    new_checks = written_once(new_checks.join(known, "run_id", "left_anti"), "new-checks")
+    attempt = uuid.uuid4().hex
     details = new_checks.select(
         "run_id",
         "run_ts",
@@ -95,26 +119,24 @@ def append_runs(history: Layer, checks: DataFrame, db_name: str) -> None:
         "severity",
         F.to_date("run_ts").alias("run_date"),
     )
-    (
-        details.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date", "run_id")
-        .parquet(history.path(CHECKS))
-    )
-    (
-        roll_up(new_checks, db_name).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(history.path(RUNS))
-    )
+    details.write.partitionBy("run_date", "run_id").parquet(_attempt_folder(history, CHECKS, attempt))
+    rows = _attempt_folder(history, RUNS, attempt)
+    roll_up(new_checks, db_name).write.partitionBy("run_id").parquet(rows)
+    # One row for each run.
+    added = spark.read.schema(RUNS_SCHEMA).parquet(rows).select("run_id", F.to_date("run_ts").alias("day")).collect()
+    for run, day in added:
+        if not create_once(spark, f"{_commits(history)}/{run}", json.dumps({"run_id": run, "attempt": attempt})):
+            remove(spark, f"{_attempt_folder(history, CHECKS, attempt)}/run_date={day}/run_id={run}")
+            remove(spark, f"{rows}/run_id={run}")
 
 
 def _stored(history: Layer, table: str, schema: str) -> DataFrame:
-    """A history table in the column order of its schema; empty before the first run."""
+    """The committed rows of a history table in the column order of its schema; empty before the first run."""
     declared = T.StructType.fromDDL(schema)
-    if not history.exists(table):
+    if not exists(history.spark, history.path(table)):
         return history.spark.createDataFrame([], declared)
-    return history.read(table, declared).select(*declared.names)
+    written = history.spark.read.schema(f"{schema}, attempt string").parquet(history.path(table))
+    return written.join(committed_runs(history), ["run_id", "attempt"], "left_semi").select(*declared.names)
 
 
 def read_runs(history: Layer) -> DataFrame:

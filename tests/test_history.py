@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
+import pytest
+
 from starmill.plans import history, pipeline
 from starmill.plans.discovered import discovered_suite
 from starmill.sources.layers import Layer
@@ -29,17 +32,21 @@ def test_append_is_keyed_by_run(spark, tmp_path) -> None:
     assert [r.run_ts for r in shown] == [FIRST, SECOND]
 
 
-def test_details_without_a_run_row_are_replaced(spark, tmp_path) -> None:
-    """A run whose row was never written counts as not done: the retry replaces its details."""
+def test_attempts_that_were_not_committed_are_not_read(spark, tmp_path, monkeypatch) -> None:
+    """A writer that stops after its tables, before its commit, leaves nothing that is read."""
     main = Layer(spark, str(tmp_path), "main")
+
+    def stops(*_: object) -> bool:
+        raise OSError("stopped")
+
+    with monkeypatch.context() as stopped:
+        stopped.setattr(history, "create_once", stops)
+        with pytest.raises(OSError, match="stopped"):
+            history.append_runs(main, suite(spark, FIRST, [1, 1]), "db")
+    assert history.read_checks(main).count() == history.read_runs(main).count() == 0
     history.append_runs(main, suite(spark, FIRST, [1]), "db")
-    runs = Layer(spark, str(tmp_path / "other"), "main")
-    history.read_checks(main).write.partitionBy("run_date", "run_id").parquet(
-        runs.path(history.CHECKS)
-    )
-    history.append_runs(runs, suite(spark, FIRST, [1]), "db")
-    assert history.read_checks(runs).count() == 2
-    assert history.read_runs(runs).count() == 1
+    assert history.read_checks(main).count() == 2
+    assert [r.failed_checks for r in history.read_runs(main).collect()] == [0]
 
 
 def test_latest_runs_are_ascending(spark) -> None:
@@ -74,15 +81,47 @@ def test_absent_history_is_empty(spark, tmp_path) -> None:
     assert history.failures_over_time(history.read_runs(fresh)).count() == 0
 
 
-def test_writers_that_saw_no_history_leave_one_run(spark, tmp_path, monkeypatch) -> None:
+def test_two_writers_of_a_run_leave_details_and_row_of_one(spark, tmp_path, monkeypatch) -> None:
+    """Both saw no such run and wrote both tables; whichever commits first is the run."""
     main = Layer(spark, str(tmp_path), "main")
-    for values in ([1, 1], [1]):
-        with monkeypatch.context() as blind:
-            blind.setattr(Layer, "exists", lambda self, table: False)
-            history.append_runs(main, suite(spark, FIRST, values), "db")
+    create, nested = history.create_once, []
+
+    def forestalled(spark_, path: str, text: str) -> bool:
+        if not nested:
+            nested.append(path)
+            history.append_runs(main, suite(spark, FIRST, [1, 1, None]), "fast")
+        return create(spark_, path, text)
+
+    monkeypatch.setattr(history, "create_once", forestalled)
+    history.append_runs(main, suite(spark, FIRST, [1]), "slow")
     [run] = history.read_runs(main).collect()
-    assert (run.run_id, run.failed_checks) == ("20240101000000000005", 0)
-    assert history.read_checks(main).count() == 2
+    details = history.read_checks(main).collect()
+    assert (run.run_id, run.db_name, run.total_checks, run.failed_checks) == ("20240101000000000005", "fast", 2, 2)
+    assert sorted(d.failed_rows for d in details) == [1, 1]
+    # The late writer took its directories away.
+    for table in (history.RUNS, history.CHECKS):
+        assert len(list((tmp_path / "main" / table).glob("attempt=*/**/*.parquet"))) >= 1
+        assert len({p.parts for p in (tmp_path / "main" / table).glob("attempt=*/**/run_id=*")}) == 1
+
+
+def test_writers_at_once(spark, tmp_path) -> None:
+    main = Layer(spark, str(tmp_path), "main")
+    suites = {"a": [1], "b": [1, 1], "c": [None]}
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda name: history.append_runs(main, suite(spark, SECOND, suites[name]), name), suites))
+    [run] = history.read_runs(main).collect()
+    expected = sorted(r.failed_rows for r in suite(spark, SECOND, suites[run.db_name]).collect())
+    assert sorted(r.failed_rows for r in history.read_checks(main).collect()) == expected
+    assert run.total_checks == len(expected) == 2
+
+
+def test_several_runs_of_one_call_are_added_one_by_one(spark, tmp_path) -> None:
+    main = Layer(spark, str(tmp_path), "main")
+    history.append_runs(main, suite(spark, FIRST, [1]), "db")
+    both = suite(spark, FIRST, [1, 1]).unionByName(suite(spark, SECOND, [1, 1]))
+    history.append_runs(main, both, "later")
+    assert {(r.run_ts, r.db_name) for r in history.read_runs(main).collect()} == {(FIRST, "db"), (SECOND, "later")}
+    assert history.read_checks(main).count() == 4
 
 
 def test_zoned_run_returns_its_own_checks(spark, tmp_path) -> None:
