@@ -17,14 +17,14 @@ from starmill.functions import schema_rules as rules
 from starmill.functions.calendar import MONTHS, WEEKDAYS, month_name, parse_date_key, weekday_name
 from starmill.functions.columns import literal_rows, quoted
 from starmill.functions.measures import Measure, measure_of
-from starmill.operators.lookups import MAX_BROADCAST_ROWS
+from starmill.operators.first_rows import first_rows
+from starmill.operators.lookups import LOOKUP_BYTES
 from starmill.operators.totals import partial_totals, totals_by_attribute
+from starmill.sources.scratch import written_once
 
 FACT = "fct_sales"
 SYNTHETIC_START = date(2024, 1, 1)
 SYNTHETIC_DAYS = 365
-# Groups of tasks between the tasks of a scan and the last task of a top-k.
-TASK_GROUPS = 256
 
 
 def _calendar_date(dates: DataFrame, key: str) -> Column:
@@ -38,10 +38,12 @@ def fact_measure(fact: DataFrame, scale: int | None = None) -> Measure:
     return measure_of(fact, rules.measure_column(fact), scale)
 
 
-def daily_totals(mart: Mapping[str, DataFrame], measure: Measure) -> DataFrame | None:
+def daily_totals(
+    mart: Mapping[str, DataFrame], measure: Measure, by_key: DataFrame | None = None
+) -> DataFrame | None:
     """(date, total): sales per day, through the date dimension or the fact's own date column.
 
-    None if the fact can be dated neither way.
+    None if the fact can be dated neither way. ``by_key`` are totals by date key (``_key``) at hand.
     """
     fact = mart[FACT]
     key = rules.date_key(fact.columns)
@@ -49,9 +51,13 @@ def daily_totals(mart: Mapping[str, DataFrame], measure: Measure) -> DataFrame |
     dates_key = rules.preferred(["date_sk"], dates.columns) if dates is not None else None
     if key and dates_key:
         attributes = {"date": _calendar_date(dates, dates_key)}
-        totals = totals_by_attribute(fact, key, dates, dates_key, attributes, measure)
+        totals = totals_by_attribute(
+            fact, key, dates, dates_key, attributes, measure, partial=by_key
+        )
         return totals.select("date", "total")
     own = rules.date_column(fact)
+    if own and by_key is not None and not key:
+        return by_key.where("_key IS NOT NULL").select(F.col("_key").alias("date"), "total")
     if own:
         day = F.to_date(quoted(own)).alias("date")
         dated = fact.where(quoted(own).isNotNull())
@@ -59,19 +65,26 @@ def daily_totals(mart: Mapping[str, DataFrame], measure: Measure) -> DataFrame |
     return None
 
 
-def sales_trend(mart: Mapping[str, DataFrame], scale: int | None = None) -> DataFrame:
-    """(date, metric) in date order; synthetic dates if the fact has none."""
+def sales_trend(
+    mart: Mapping[str, DataFrame], scale: int | None = None, daily: DataFrame | None = None
+) -> DataFrame:
+    """(date, metric) in date order; synthetic dates if the fact has none.
+
+    ``daily`` are the ``daily_totals``, where they are at hand.
+    """
     measure = fact_measure(mart[FACT], scale)
-    daily = daily_totals(mart, measure)
+    daily = daily_totals(mart, measure) if daily is None else daily
     if daily is None:
         return synthetic_trend(mart[FACT])
     return daily.select("date", measure.value(F.col("total")).alias("metric")).orderBy("date")
 
 
-def seasonality(mart: Mapping[str, DataFrame], scale: int | None = None) -> DataFrame:
+def seasonality(
+    mart: Mapping[str, DataFrame], scale: int | None = None, daily: DataFrame | None = None
+) -> DataFrame:
     """(month, dow, metric) over all years, added up from the daily totals."""
     measure = fact_measure(mart[FACT], scale)
-    daily = daily_totals(mart, measure)
+    daily = daily_totals(mart, measure) if daily is None else daily
     if daily is None:
         return synthetic_seasonality(synthetic_trend(mart[FACT]), scale)
     return by_season(daily).agg(measure.value(F.sum("total")).alias("metric"))
@@ -103,14 +116,11 @@ def synthetic_trend(
     """(date, metric): the first rows of the fact laid on consecutive days from a fixed start.
 
     The rows are the first by all columns, or by ``order_by``, so that the series is the same in
-    every run. Every task keeps its first ``days`` rows, a fixed number of groups of tasks keep
-    theirs, and only those of the groups meet in one task: it sees no more rows for more tasks.
+    every run. Narrow passes find a bound of them, so the fact itself is not sorted (``operators.first_rows``).
     """
-    order = [quoted(c) for c in (order_by or fact.columns)]
-    grouped = fact.withColumn("_tasks", F.spark_partition_id() % TASK_GROUPS)
-    place = F.row_number().over(W.partitionBy("_tasks").orderBy(*order))
-    kept = grouped.withColumn("_place", place).where(F.col("_place") <= days)
-    first = kept.drop("_tasks", "_place").orderBy(*order).limit(days)
+    order_by = order_by or fact.columns
+    order = [quoted(c) for c in order_by]
+    first = first_rows(fact, order_by, days)
     numbered = first.withColumn("rn", F.row_number().over(W.orderBy(*order)))
     return numbered.select(
         F.date_add(F.lit(SYNTHETIC_START), F.col("rn") - 1).alias("date"),
@@ -137,7 +147,7 @@ def top_stores(
         return None
     measure = fact_measure(fact, scale)
     totals = totals_by_attribute(
-        fact, key, stores, "store_sk", {"store": quoted(name)}, measure, MAX_BROADCAST_ROWS
+        fact, key, stores, "store_sk", {"store": quoted(name)}, measure, LOOKUP_BYTES
     )
     return (
         totals.select("store", measure.value(F.col("total")).alias("metric"))
@@ -159,7 +169,7 @@ def revenue_mix(mart: Mapping[str, DataFrame], scale: int | None = None) -> Data
     measure = fact_measure(fact, scale)
     totals = totals_by_attribute(
         fact, key, products, "product_sk", {"category": quoted(category)}, measure,
-        MAX_BROADCAST_ROWS,
+        LOOKUP_BYTES,
     )
     return totals.select("category", measure.value(F.col("total")).alias("metric")).orderBy(
         F.desc("metric"), "category"
@@ -199,13 +209,26 @@ def campaign_scatter(
 def sales_panels(
     mart: Mapping[str, DataFrame], scale: int | None = None
 ) -> dict[str, DataFrame]:
-    """Every business panel the tables of a mart allow, by name; none without a fact."""
+    """Every business panel the tables of a mart allow, by name; none without a fact.
+
+    The fact is reduced once by day, once by product, once by store and once by campaign. What several panels
+    show, the totals of days and of categories, is stored in between.
+    """
     if FACT not in mart:
         return {}
+    daily = daily_totals(mart, fact_measure(mart[FACT], scale))
     mix = revenue_mix(mart, scale)
-    heatmap = seasonality(mart, scale)
+    if daily is not None:
+        daily = written_once(daily, "daily-totals")
+        trend, heatmap = sales_trend(mart, scale, daily), seasonality(mart, scale, daily)
+    else:
+        trend = written_once(synthetic_trend(mart[FACT]), "synthetic-trend")
+        heatmap = synthetic_seasonality(trend, scale)
+        trend = trend.orderBy("date")
+    if mix is not None:
+        mix = written_once(mix, "category-totals").orderBy(F.desc("metric"), "category")
     panels = {
-        "trend": sales_trend(mart, scale),
+        "trend": trend,
         "heatmap": heatmap,
         "heatmap_matrix": seasonality_matrix(heatmap),
         "top_stores": top_stores(mart, scale=scale),
