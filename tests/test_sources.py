@@ -5,10 +5,14 @@ from pathlib import Path
 
 import pytest
 
-from starmill.sources.csv_ingest import ingest, ingest_summary, read_csv, write_ingest_summary
+from starmill.sources.csv_ingest import (
+    SampledCsv,
+    ingest,
+    ingest_summary,
+    read_csv,
+    write_ingest_summary,
+)
 from starmill.sources.exports import export_all, export_csv
-from starmill.sources import layers
-from starmill.sources.files import move
 from starmill.sources.layers import Layer, catalog_tables
 
 STORES = 'store_sk,store_name,store_type,opened\n1,"Tea, Coffee",Market ,2024-01-31\n2,"Say ""hi""",,\n'
@@ -40,6 +44,53 @@ def test_bad_row_raises(spark, tmp_path) -> None:
         read_csv(spark, path, spark.createDataFrame([], "k bigint, v bigint").schema).collect()
 
 
+def test_types_come_from_the_first_lines_and_every_row_is_checked(spark, tmp_path) -> None:
+    text = "k,v,d,at,flag,note\n" + "".join(f'{i},{i}.5,2024-01-0{i},2024-01-01 00:00:0{i},true,"a, b"\n' for i in range(1, 9))
+    path = write(tmp_path, "c.csv", text + "9,,,,,\n")
+    read = SampledCsv(spark, path, lines=3)
+    assert [f.dataType.simpleString() for f in read.schema] == ["bigint", "double", "date", "timestamp_ntz", "boolean", "string"]
+    rows = sorted(read.df.collect())
+    assert read.misfits() == {} and read.require_fit() is None
+    assert rows[0].at == datetime(2024, 1, 1, 0, 0, 1) and rows[0].note == "a, b"
+    assert tuple(rows[-1]) == (9, None, None, None, None, None)
+    assert rows == sorted(read_csv(spark, path).collect())
+
+
+def test_late_values_that_do_not_fit_are_named(spark, tmp_path) -> None:
+    """The table stays as it was, whatever the file's later rows hold."""
+    folder = tmp_path / "in"
+    write(folder, "a.csv", "k,d\n1,2024-01-01\n")
+    raw = Layer(spark, str(tmp_path), "raw")
+    ingest(raw, [str(folder)], ["a.csv"])
+    late = "".join(f"{i},2024-01-01\n" for i in range(20)) + "x,2024-01-01\nyy,2024\n"
+    write(folder, "a.csv", "k,d\n" + late)
+    with pytest.raises(ValueError, match="2 values of k are no bigint, such as 'x'; 1 values of d are no date, such as '2024'"):
+        raw.replace("a", (sampled := SampledCsv(spark, str(folder / "a.csv"), lines=5)).df, verify=sampled.require_fit)
+    assert raw.read("a").count() == 1
+    ingest(raw, [str(folder)], ["a.csv"], {"a": spark.createDataFrame([], "k string, d string").schema})
+    assert raw.read("a").count() == 22
+
+
+def test_file_is_scanned_once(spark, tmp_path) -> None:
+    """Inference looks at the first lines only; the rows are read by the pass that writes them."""
+    lines = 30_000
+    path = write(tmp_path, "big.csv", "k,v\n" + "".join(f"{i},{i}\n" for i in range(lines)))
+    tracker, before = spark.sparkContext.statusTracker(), None
+    spark.sparkContext.setJobGroup("ingest", "one file")
+    sampled = SampledCsv(spark, path, lines=100)
+    before = len(tracker.getJobIdsForGroup("ingest"))
+    Layer(spark, str(tmp_path), "raw").replace("big", sampled.df, verify=sampled.require_fit)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert before <= 6 and len(tracker.getJobIdsForGroup("ingest")) == before + 1
+
+
+def test_file_without_rows_or_with_empty_columns(spark, tmp_path) -> None:
+    none = SampledCsv(spark, write(tmp_path, "n.csv", "a,b\n"))
+    assert none.df.collect() == [] and none.df.columns == ["a", "b"]
+    empty = SampledCsv(spark, write(tmp_path, "e.csv", "a,b\n1,\n2,\n"))
+    assert [f.dataType.simpleString() for f in empty.schema] == ["bigint", "string"]
+
+
 def test_missing_files_are_all_named_before_any_load(spark, tmp_path) -> None:
     write(tmp_path / "in", "a.csv", "k\n1\n")
     raw = Layer(spark, str(tmp_path), "raw")
@@ -129,27 +180,6 @@ def test_catalog_layer(spark, tmp_path) -> None:
     spark.sql("DROP DATABASE shop CASCADE")
 
 
-def test_replacement_stopped_half_way_is_finished(spark, tmp_path, monkeypatch) -> None:
-    layer = Layer(spark, str(tmp_path), "mart")
-    layer.replace("t", spark.range(5).toDF("k"))
-    calls = []
-
-    def stops(spark, source: str, target: str) -> None:
-        calls.append(source)
-        if len(calls) == 2:
-            raise OSError("stopped")
-        move(spark, source, target)
-
-    with monkeypatch.context() as stopped:
-        stopped.setattr(layers, "move", stops)
-        with pytest.raises(OSError, match="stopped"):
-            layer.replace("t", spark.range(3).toDF("k"))
-    assert layer.names() == ["t"]
-    assert layer.read("t").count() == 5
-    layer.replace("t", spark.range(3).toDF("k"))
-    assert layer.read("t").count() == 3 and layer.names() == ["t"]
-
-
 def test_unfinished_first_build_is_no_table(spark, tmp_path) -> None:
     layer = Layer(spark, str(tmp_path), "mart")
     with pytest.raises(Exception, match="no good"):
