@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -63,9 +65,48 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has used, under one directory per application so that it is easy to expire."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+def application_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that this application alone writes to."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+#: Paths handed out in each scope that is open, innermost last.
+_SCOPES: list[list[str]] = []
+#: What is called with the session when an application takes its first path.
+_FIRST_USE: list[Callable[[SparkSession], None]] = []
+_USED: set[str] = set()
+_GUARD = threading.Lock()
+
+
+def fresh_path(spark: SparkSession, label: str, scoped: bool = True) -> str:
+    """A path nobody has used, in the application's folder.
+
+    It belongs to the innermost open scope of ``sources.scratch``, unless it is for the whole application.
+    """
+    folder = application_folder(spark)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    with _GUARD:
+        first = folder not in _USED
+        _USED.add(folder)
+        if scoped and _SCOPES:
+            _SCOPES[-1].append(path)
+    if first:
+        for begin in _FIRST_USE:
+            begin(spark)
+    return path
+
+
+@contextmanager
+def path_scope() -> Iterator[list[str]]:
+    """The paths that ``fresh_path`` hands out while the scope is open."""
+    paths: list[str] = []
+    with _GUARD:
+        _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        with _GUARD:
+            _SCOPES.remove(paths)
 
 
 def side_by_side(jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
