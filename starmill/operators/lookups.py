@@ -12,26 +12,14 @@ from pyspark.sql import types as T
 from starmill.functions.columns import quoted
 from starmill.functions.schema_rules import field
 
-# A key and a name of about 100 bytes each: some 20 MB per executor at most.
-MAX_BROADCAST_ROWS = 200_000
+# What a lookup of keys and names may take in an executor.
+LOOKUP_BYTES = 32 * 1024 * 1024
 # What all key sets of one pass may take in an executor together.
 BROADCAST_BYTES = 256 * 1024 * 1024
 # An entry of a hash table of keys: the key or its length, a marker, pointers and free slots.
 ENTRY_BYTES = 64
 
 
-def row_counts(tables: Mapping[Hashable, DataFrame]) -> dict[Hashable, int]:
-    """Rows of several tables in one job with one shuffle; stored tables give up no column for it."""
-    if not tables:
-        return {}
-    names = list(tables)
-    marks = [tables[name].select(F.lit(i).alias("i")) for i, name in enumerate(names)]
-    counted = reduce(DataFrame.unionByName, marks).groupBy("i").agg(F.count("*").alias("n"))
-    # One row per table: planning input, not data.
-    found = {names[i]: n for i, n in counted.collect()}
-    return {name: found.get(name, 0) for name in names}
-
-
 def key_set_bytes(key_sets: Mapping[Hashable, tuple[DataFrame, str]]) -> dict[Hashable, int]:
     """Upper bounds for the broadcast key columns of several tables, in one job.
 
@@ -64,9 +52,18 @@ def within_budget(sizes: Mapping[Hashable, int], budget: int) -> list[Hashable]:
     return chosen
 
 
-def is_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a lookup is counted to be small enough for a broadcast.
+def lookup_bytes(lookup: DataFrame) -> int:
+    """An upper bound for a broadcast lookup: its texts by their measured length, other columns by their width."""
+    width = F.lit(ENTRY_BYTES)
+    for found in lookup.schema.fields:
+        text = isinstance(found.dataType, T.StringType | T.BinaryType)
+        width = width + (F.coalesce(F.octet_length(quoted(found.name)), F.lit(0)) + 16 if text else F.lit(16))
+    return lookup.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+
+
+def is_small(lookup: DataFrame, budget: int = LOOKUP_BYTES) -> bool:
+    """Whether a lookup is measured to be small enough for a broadcast.
 
-    The count is exact, while Spark's own estimate is far too high for a lookup that is a join.
+    The measure is exact, while Spark's own estimate is far too high for a lookup that is a join.
     """
-    return row_counts({0: lookup})[0] <= max_rows
+    return lookup_bytes(lookup) <= budget

@@ -44,26 +44,28 @@ def totals_by_attribute(
     dimension_key: str,
     attributes: dict[str, Column],
     measure: Measure,
-    broadcast_rows: int = 0,
+    broadcast_bytes: int = 0,
+    partial: DataFrame | None = None,
 ) -> DataFrame:
     """(attributes..., n_rows, n_values, total): inner join of a fact with one dimension.
 
-    A dimension counted to have at most ``broadcast_rows`` rows is broadcast to the scan of the
+    A dimension measured to take at most ``broadcast_bytes`` is broadcast to the scan of the
     fact, which then shuffles only its few attribute values; reducing by key first would shuffle
     every key of every task. Leave it at 0 for keys of a small domain, such as days or campaigns,
     where reducing first is as good and needs no count. NULL keys match nothing in an inner join, so
-    they are filtered in the scan.
+    they are filtered in the scan. ``partial`` are totals by ``_key`` that are at hand already.
     """
     known = fact.where(quoted(fact_key).isNotNull())
     key = quoted(fact_key).alias("_key")
     lookup = dimension.select(
         quoted(dimension_key).alias("_key"), *[c.alias(name) for name, c in attributes.items()]
     )
-    if broadcast_rows and is_small(lookup, broadcast_rows):
+    if partial is None and broadcast_bytes and is_small(lookup, broadcast_bytes):
         rows = known.select(key, measure.amount.alias("_amount")).join(F.broadcast(lookup), "_key")
         amount = Measure(F.col("_amount"), measure.units)
         return partial_totals(rows, [F.col(name) for name in attributes], amount)
-    partial = partial_totals(known, [key], measure)
+    if partial is None:
+        partial = partial_totals(known, [key], measure)
     return final_totals(partial.join(lookup, "_key"), list(attributes))
 
 
@@ -72,18 +74,18 @@ def named_totals(
     key: str,
     dimension: DataFrame,
     attributes: Sequence[str],
-    broadcast_rows: int = 0,
+    broadcast_bytes: int = 0,
 ) -> DataFrame:
     """Partial totals left-joined to a dimension: its attributes added, totals kept exact.
 
     The dimension is reduced to one row per key and attributes with the number of its copies, so
     the joined rows are the final groups and need no further aggregate. Where the totals have more
     keys than the joined one, a join that is not known to be small when it is planned would shuffle
-    them once more; ``broadcast_rows`` has the dimension counted and broadcast if it is no larger.
+    them once more; ``broadcast_bytes`` has the dimension measured and broadcast if it takes no more.
     """
     rows = dimension.select(key, *attributes)
     lookup = rows.groupBy(key, *attributes).agg(F.count("*").alias("_copies"))
-    if broadcast_rows and is_small(rows, broadcast_rows):
+    if broadcast_bytes and is_small(rows, broadcast_bytes):
         lookup = F.broadcast(lookup)
     copies = F.coalesce(F.col("_copies"), F.lit(1))
     joined = partial.join(lookup, key, "left")

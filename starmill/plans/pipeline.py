@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 from starmill.functions.calendar import as_utc
 from starmill.functions.schema_rules import is_fact
 from starmill.operators.sampling import exact_sample
+from starmill.operators.totals import final_totals
 from starmill.plans import declared, discovered, history, marts, quality_panels, results
-from starmill.plans.sales_panels import sales_panels
+from starmill.plans.incremental import MonthlyTotals, retail_builds
+from starmill.plans.sales_panels import daily_totals, sales_panels
 from starmill.plans.star import DIMENSIONS, FACT
 from starmill.sources.csv_ingest import (
     MANIFEST,
@@ -119,6 +121,46 @@ def build_analytics(
         export_all(stored, export_to)
 
 
+def append_sales(
+    warehouse: Warehouse, source: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """New sales from a CSV file or folder, added to the canonical fact as files of their own."""
+    columns = schema or warehouse.mart.read(FACT).schema
+    return warehouse.mart.append(FACT, read_csv(warehouse.spark, source, columns))
+
+
+def monthly_totals(warehouse: Warehouse, scale: int | None = None) -> MonthlyTotals:
+    """The stored totals by month of the canonical fact, one store for each way of adding."""
+    folder = f"{warehouse.root}/monthly/{'exact' if scale is None else f'scale-{scale}'}"
+    return MonthlyTotals(warehouse.spark, folder, "sales_date", retail_builds(scale))
+
+
+def refresh_marts(
+    warehouse: Warehouse, scale: int | None = None
+) -> tuple[list[str], dict[str, DataFrame]]:
+    """The months whose files changed since the last refresh, and the marts and daily totals after it.
+
+    The marts read the stored totals; the fact is read for those months only.
+    """
+    fact, stored = warehouse.mart.read(FACT), monthly_totals(warehouse, scale)
+    months = stored.refresh(warehouse.mart.paths(FACT))
+    amount, parts = marts.amount_of(fact, scale), {n: stored.totals(n) for n in stored.builds}
+    if any(part is None for part in parts.values()):
+        return months, {}
+    by_campaign = marts.merged_campaigns(parts["campaigns"])
+    by_key = final_totals(parts["date_keys"], ["_key"])
+    daily = daily_totals(warehouse.mart.tables(), amount, by_key)
+    return months, {
+        "mart_store_daily": marts.named_store_days(
+            parts["store_days"], warehouse.mart.read("dim_stores"), amount
+        ),
+        "mart_campaign_perf": marts.named_campaigns(
+            by_campaign, warehouse.mart.read("dim_campaigns"), amount
+        ),
+        "daily_totals": daily.select("date", amount.value(F.col("total")).alias("metric")),
+    }
+
+
 def run_declared_checks(
     warehouse: Warehouse,
     run_ts: datetime,

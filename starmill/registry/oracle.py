@@ -441,3 +441,10 @@ ORACLE: dict[str, str] = {
         "ORDER BY 4 DESC, 1 LIMIT 40"
     ),
 }
+
+# Stored monthly totals give what the whole fact gives.
+ORACLE |= {
+    "mart_store_daily_monthly": ORACLE["mart_store_daily"],
+    "mart_campaign_perf_monthly": ORACLE["mart_campaign_perf"],
+    "panel_trend_monthly": ORACLE["panel_trend"],
+}

@@ -7,7 +7,8 @@ from datetime import datetime
 
 import pytest
 
-from starmill.operators.lookups import MAX_BROADCAST_ROWS
+from starmill.operators.first_rows import bounded
+from starmill.operators.lookups import LOOKUP_BYTES, is_small, lookup_bytes
 from starmill.operators.references import Reference, orphan_counts
 from starmill.operators.violations import stored_table_counts
 from starmill.plans import declared, marts, sales_panels
@@ -90,7 +91,7 @@ def test_broadcast_joins_first_where_the_dimension_is_small(star) -> None:
     mix = plan_text(sales_panels.revenue_mix(star))
     assert mix.count("Exchange hashpartitioning(category") == 1
     assert "hashpartitioning(product_sk" not in mix
-    assert MAX_BROADCAST_ROWS <= 1_000_000
+    assert LOOKUP_BYTES <= 64 << 20
 
 
 def test_only_needed_columns_of_the_given_tables(spark) -> None:
@@ -123,8 +124,22 @@ def test_one_scan_of_the_given_facts(spark) -> None:
         assert "lineitem.parquet" not in text and text.count("orders.parquet") <= 1
 
 
-def test_synthetic_series_has_a_level_between_tasks_and_the_last_one(spark) -> None:
-    text = plan_text(sales_panels.synthetic_trend(StarViews(spark, FOLDER)["fct_sales"]))
-    # Every task cuts its rows before the shuffle, every group of tasks after it.
-    assert text.count("WindowGroupLimit") >= 2 and "Partial" in text
-    assert "Exchange hashpartitioning(_tasks" in text
+def test_synthetic_series_sorts_no_row_that_the_bound_leaves_out(spark, tmp_path) -> None:
+    """The scan is filtered below everything that orders, and little is left to order."""
+    fact = StarViews(spark, FOLDER)["fct_sales"]
+    fact.write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    kept = bounded(stored, ["sales_date", "sales_id"], 365)
+    text = plan_text(kept)
+    assert "Filter" in text and "Sort" not in text and "Exchange" not in text
+    assert 365 <= kept.count() < 4 * 365 < stored.count()
+    series = plan_text(sales_panels.synthetic_trend(stored))
+    assert "TakeOrderedAndProject" in series and "Sort [" not in series.split("TakeOrderedAndProject")[-1]
+    assert "Window" not in series.split("TakeOrderedAndProject")[-1]
+
+
+def test_lookups_are_measured_by_their_texts(spark) -> None:
+    few = spark.createDataFrame([(1, "n" * 1000), (2, None)], "k bigint, name string")
+    assert 1000 < lookup_bytes(few) < 1500
+    assert is_small(few, 1500) and not is_small(few, 1000)
+    assert lookup_bytes(few.where("false")) == 0
