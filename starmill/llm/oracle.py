@@ -136,10 +136,53 @@ named AS (
 SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM lows
 """
 
+CONVERSATION_TRIE = r"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS donor,
+         xor(list_reduce(
+           list_concat([4294967295::BIGINT],
+                       list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+           lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), t
+), b AS (
+  SELECT c.conv_id, 0 AS part, i, role, text FROM c JOIN o ON o.conv_id = c.donor AND i < h
+  UNION ALL SELECT c.conv_id, 1, i, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND i >= h
+), p AS (
+  SELECT conv_id, row_number() OVER w AS depth, text,
+         string_agg(sha256(strlen(role) || ':' || role || text), '') OVER w AS path
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)
+  UNION ALL SELECT conv_id, 0, '', '' FROM c
+), l AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+n AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * len(list_filter(regexp_split_to_array(any_value(text), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS saved,
+         CASE WHEN bool_and(last) THEN 1 ELSE 0 END AS leaf,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+  FROM l GROUP BY depth, path
+), u AS (SELECT unnest(range(depth + 1)) AS up, path, saved, leaf FROM n),
+s AS (
+  SELECT up AS depth, left(path, 64 * up) AS path, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM u GROUP BY ALL
+), k AS (SELECT depth - 1 AS depth, left(path, 64 * (depth - 1)) AS path, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN s USING (depth, path) LEFT JOIN k USING (depth, path)
+LEFT JOIN n AS q ON q.depth = n.depth - 1 AND q.path = left(n.path, 64 * (n.depth - 1))
+"""
+
 ORACLE = {
     "op2_warc": WARC,
     "op6_exact_dedup": EXACT_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_host_reputation": HOST_REPUTATION,
+    "op11_conversation_trie": CONVERSATION_TRIE,
     "op12_minhash": NEAR_COPIES,
 }

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.llm.conversation_trie import trie_nodes
 from starmill.llm.exact_dedup import exact_groups
 from starmill.llm.fingerprints import edit_comparison
 from starmill.llm.host_reputation import Rule, judged_urls, path_of
@@ -43,7 +44,9 @@ def toxicity_model(spark: SparkSession, folder: str) -> Model:
     """Fitted on the labelled documents that are not held out."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
     texts = table(spark, folder, "documents").select("doc_id", "text")
-    return trained(texts.join(labels.where(~held_out(F.col("doc_id"))), "doc_id").select("text", "label"))
+    # One way to join, whatever the labels' size; rows that are held out never leave their scan.
+    labels = labels.where(~held_out(F.col("doc_id"))).hint("merge")
+    return trained(texts.where(~held_out(F.col("doc_id"))).join(labels, "doc_id").select("text", "label"))
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,6 +114,10 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_nodes(table(spark, folder, "conversations"))
+
+
 def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -130,6 +137,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_host_reputation": op10_host_reputation,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_minhash": op12_minhash,
     "op13_whitening": op13_whitening,
 }
