@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.llm.links import components
+from starmill.llm.links import with_links
 from starmill.llm.set_links import Similarity, block_links, judged
 from starmill.llm.shared_hashes import PARTITION_HASHES, Hashed, shared_hashes
 from starmill.llm.text import Scratch, own, partitions_for, text_bytes
@@ -197,8 +197,7 @@ def shingle_components(
                     )
 
     index = nodes.mapInArrow(entries, "entry bigint, node binary, n bigint")
-    linked = _linked(index, nodes, similarity, scratch)
-    roots = components(linked, scratch).withColumnRenamed("node", "linked_node")
+    roots = _linked(index, nodes, similarity, scratch).withColumnRenamed("node", "linked_node")
     named = sets.select("key", "node", "n").join(
         roots, F.col("node") == F.col("linked_node"), "left"
     )
@@ -220,20 +219,20 @@ def shingle_components(
 
 
 def _linked(index: DataFrame, nodes: DataFrame, similarity: Similarity, scratch: Scratch) -> DataFrame:
-    """(a, b) of verified pairs that connect all nodes that are linked, though not every linked pair."""
+    """(node, root) of all nodes with verified links; not every linked pair is compared, but all are joined."""
     sizes = index.groupBy("entry").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     held = sizes.where("low <> high").select(F.col("entry").alias("held"))
     open_entries = scratch.keep(
         index.join(held, F.col("entry") == F.col("held")).select("entry", "node", "n", F.col("node").alias("root"))
     )
-    links = None
+    roots = None
     for share, pivots in STAR_ROUNDS:
         some = open_entries.where(F.pmod(F.xxhash64("entry"), F.lit(share)) == 0)
         pairs = _pivot_pairs(some, pivots, similarity)
         found = scratch.keep(judged(pairs, nodes, similarity).where("similar").select("a", "b"))
-        links = found if links is None else links.unionByName(found)
-        roots = components(links, scratch).select(F.col("node").alias("linked"), F.col("root").alias("joined"))
-        rooted = open_entries.drop("root").join(roots, F.col("node") == F.col("linked"), "left")
+        roots = with_links(roots, found, scratch)
+        joined = roots.select(F.col("node").alias("linked"), F.col("root").alias("joined"))
+        rooted = open_entries.drop("root").join(joined, F.col("node") == F.col("linked"), "left")
         rooted = rooted.select("entry", "node", "n", F.coalesce("joined", "node").alias("root"))
         several = (
             rooted.groupBy("entry")
@@ -243,8 +242,8 @@ def _linked(index: DataFrame, nodes: DataFrame, similarity: Similarity, scratch:
         )
         open_entries = scratch.keep(rooted.join(several, "entry", "left_semi"))
         if open_entries.isEmpty():
-            return links
-    return links.unionByName(scratch.keep(block_links(open_entries, nodes, similarity)))
+            return roots
+    return with_links(roots, scratch.keep(block_links(open_entries, nodes, similarity)), scratch)
 
 
 def _pivot_pairs(entries: DataFrame, pivots: int, similarity: Similarity) -> DataFrame:
