@@ -14,7 +14,7 @@
    are copies of. All nodes of the entry are compared with it, linked ones are one component from then on, and
    the pivot leaves the entry, as it has met all others. A few more pivots follow. Entries of one component
    or one node are done.
-4. Entries that still hold more than ``HEAVY`` nodes are cut by the other bands of their nodes: texts that share a
+4. Entries of more than ``HEAVY`` components are cut by the other bands of their nodes: texts that share a
    common passage, but no more, seldom agree in two bands. What is left is compared in blocks.
 5. Pairs are confirmed by the intersection of their full sets, which are computed from the texts again, for
    candidates only.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.links import components
+from starmill.llm.links import with_links
 from starmill.llm.set_links import Similarity, block_links, judged
 from starmill.llm.text import Scratch, own
 from starmill.llm.word_hash import Texts, mixed, run_hashes, small_batches, texts_of
@@ -40,8 +40,8 @@ COORDINATES = ROWS * BANDS
 BATCH_BYTES = 4 << 20
 #: Pivots of an entry in the second round of comparisons.
 PIVOTS = 4
-#: Nodes of an entry, from which on it is cut by other bands.
-HEAVY = 256
+#: Components of an entry, beyond which it is cut by other bands.
+HEAVY = 1024
 _EMPTY = np.uint64(2**64 - 1)
 _LOW = np.uint64(2**32 - 1)
 
@@ -161,8 +161,7 @@ def near_copies(
         .agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("key").alias("key"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    links = _confirmed_links(nodes, keyed, similarity, heavy, scratch)
-    roots = components(links, scratch).select(F.col("node").alias("linked"), "root")
+    roots = _roots(nodes, keyed, similarity, heavy, scratch).select(F.col("node").alias("linked"), "root")
     rooted = nodes.join(roots, F.col("node") == F.col("linked"), "left").select(
         F.col("digest").alias("set_digest"), "key", F.coalesce("root", "node").alias("root")
     )
@@ -179,10 +178,8 @@ def near_copies(
     )
 
 
-def _confirmed_links(
-    nodes: DataFrame, keyed: DataFrame, similarity: Similarity, heavy: int, scratch: Scratch
-) -> DataFrame:
-    """(a, b) of confirmed pairs that connect all linked nodes, though not every linked pair."""
+def _roots(nodes: DataFrame, keyed: DataFrame, similarity: Similarity, heavy: int, scratch: Scratch) -> DataFrame:
+    """(node, root) of all nodes with confirmed links; not every linked pair is compared, but all are joined."""
     index = nodes.select(F.explode("bands").alias("entry"), "node", "n")
     sizes = index.groupBy("entry").agg(
         F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high")
@@ -196,21 +193,22 @@ def _confirmed_links(
     open_entries = scratch.keep(met.select("entry", "node", "n", "fame", F.col("node").alias("root")))
     full = scratch.keep(_candidates(nodes, fame, keyed, similarity))
 
-    links = None
+    roots = None
     for pivots in (1, PIVOTS):
         pivot = scratch.keep(_pivots(open_entries, pivots))
         pairs = _pairs(open_entries, pivot, similarity)
         found = scratch.keep(judged(pairs, full, similarity).where("similar").select("a", "b"))
-        links = found if links is None else links.unionByName(found)
-        open_entries = scratch.keep(_still_open(open_entries, pivot, links, scratch))
+        roots = with_links(roots, found, scratch)
+        open_entries = scratch.keep(_still_open(open_entries, pivot, roots))
         if open_entries.isEmpty():
-            return links
-    counted = open_entries.groupBy("entry").agg(F.count("*").alias("size"))
+            return roots
+    met_there = open_entries.select("entry", "root").distinct()
+    counted = met_there.groupBy("entry").agg(F.count("*").alias("size"))
     large = counted.where(F.col("size") > heavy).select(F.col("entry").alias("large"))
     cut = open_entries.join(large, F.col("entry") == F.col("large"), "left")
     light = cut.where("large IS NULL").select("entry", "node", "n", "root")
     rest = scratch.keep(_of_several(light.unionByName(_cut_by_other_bands(cut.where("large IS NOT NULL"), nodes))))
-    return links.unionByName(scratch.keep(block_links(rest, full, similarity)))
+    return with_links(roots, scratch.keep(block_links(rest, full, similarity)), scratch)
 
 
 def _candidates(nodes: DataFrame, met: DataFrame, keyed: DataFrame, similarity: Similarity) -> DataFrame:
@@ -252,10 +250,10 @@ def _pairs(entries: DataFrame, pivot: DataFrame, similarity: Similarity) -> Data
     )
 
 
-def _still_open(entries: DataFrame, pivot: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+def _still_open(entries: DataFrame, pivot: DataFrame, roots: DataFrame) -> DataFrame:
     """Entries of several components, without their pivots, which have met all their nodes."""
     done = (F.col("entry") == F.col("held")) & (F.col("node") == F.col("pivot"))
-    roots = components(links, scratch).select(F.col("node").alias("linked"), F.col("root").alias("joined"))
+    roots = roots.select(F.col("node").alias("linked"), F.col("root").alias("joined"))
     left = entries.join(pivot, done, "left_anti").drop("root")
     rooted = left.join(roots, F.col("node") == F.col("linked"), "left")
     return _of_several(rooted.select("entry", "node", "n", "fame", F.coalesce("joined", "node").alias("root")))
