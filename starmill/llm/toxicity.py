@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.llm.text import own, ship, whole
+from starmill.llm.text import Scratch, own, ship, whole
 from starmill.llm.word_hash import Texts, mixed, small_batches, span_hashes, texts_of
 
 #: Neutral names of groups, by list; terms of one list replace each other.
@@ -42,9 +42,15 @@ IDENTITY_TERMS = (
     ("musulmanes", "cristianos", "judíos", "hindúes", "budistas"),
     ("mujeres", "hombres", "chicas", "chicos"),
 )
-SPACE = 1 << 18
+#: Features are known by 40 bits, which leaves room for the number of a batch's text in the same 64.
+SPACE = 1 << 40
+#: Features that a task counts before it hands its counts on.
+TASK_FEATURES = 1 << 20
 BEGINNINGS = (4, 5, 6)
 BATCH_BYTES = 1 << 20
+#: Words of the corpus that may be swapped, in how many texts at the least, and how many replace each other.
+TERM = re.compile(r"\b[^\W\d_]{4,16}\b")
+LEAST_TERM_TEXTS, TERMS_OF_A_LIST = 30, 6
 
 #: Bytes that are no part of a word: ASCII other than letters and digits.
 NOT_IN_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -53,10 +59,12 @@ NOT_IN_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 @dataclass(frozen=True)
 class Fit:
     """Bounds and strengths of the fit. ``sample`` bounds the labelled texts that the weights are fitted on and
-    ``pairs`` the swapped sentences; counts of features use all labelled texts."""
+    ``pairs`` the swapped sentences of those texts; counts of features use all labelled texts. ``corpus_terms`` is the
+    number of neutral words of the corpus that are swapped beside the given terms."""
 
     sample: int = 12_000
     pairs: int = 20_000
+    corpus_terms: int = 48
     features: int = 512
     least_texts: int = 3
     ridge: float = 1e-5
@@ -98,6 +106,13 @@ def present(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return both // SPACE, both % SPACE
 
 
+def word_features(words: list[str]) -> np.ndarray:
+    """The feature of each word as a whole."""
+    texts = texts_of(pa.array(words, pa.string()))
+    hashes = span_hashes(texts.data, texts.offsets[:-1], texts.offsets[1:])
+    return (mixed(hashes) % np.uint64(SPACE)).astype(np.int64)
+
+
 def identity_features(terms: Sequence[Sequence[str]]) -> np.ndarray:
     names = sorted({t for group in terms for t in group})
     return np.unique(present(texts_of(pa.array(names, pa.string())))[1]) if names else np.zeros(0, int)
@@ -106,17 +121,25 @@ def identity_features(terms: Sequence[Sequence[str]]) -> np.ndarray:
 def feature_counts(labelled: DataFrame) -> DataFrame:
     """(feature, texts, toxic) over all rows of (text, label)."""
 
+    def rows(counts: list[np.ndarray]) -> pa.RecordBatch:
+        feature, texts, toxic = (np.concatenate(c) for c in zip(*counts))
+        unique, place = np.unique(feature, return_inverse=True)
+        sums = [np.bincount(place, weights=c).astype(np.int64) for c in (texts, toxic)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (unique, *sums)], ["feature", "texts", "toxic"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, toxic = np.zeros(SPACE, dtype=np.int64), np.zeros(SPACE, dtype=np.int64)
+        counts, held = [], 0
         for batch in small_batches(batches, "text", BATCH_BYTES):
             label = batch.column("label").to_numpy(zero_copy_only=False).astype(bool)
             text, feature = present(texts_of(batch.column("text")))
-            texts += np.bincount(feature, minlength=SPACE)
-            toxic += np.bincount(feature[label[text]], minlength=SPACE)
-        some = np.flatnonzero(texts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some), pa.array(texts[some]), pa.array(toxic[some])], ["feature", "texts", "toxic"]
-        )
+            unique, place = np.unique(feature, return_inverse=True)
+            counts.append((unique, np.bincount(place), np.bincount(place, weights=label[text])))
+            held += len(unique)
+            if held > TASK_FEATURES:
+                yield rows(counts)
+                counts, held = [], 0
+        if held:
+            yield rows(counts)
 
     counted = labelled.mapInArrow(count, "feature bigint, texts bigint, toxic bigint")
     return counted.groupBy("feature").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
@@ -124,14 +147,19 @@ def feature_counts(labelled: DataFrame) -> DataFrame:
 
 def chosen_features(counts: DataFrame, n: int, toxic: int, fit: Fit, always: np.ndarray) -> np.ndarray:
     """The features of the greatest chi-square, and those of identity terms."""
-    rows = counts.where(F.col("texts") >= fit.least_texts).toPandas()
-    a, b = rows["toxic"].to_numpy(float), rows["texts"].to_numpy(float)
-    expected = b * toxic / max(n, 1)
-    spread = expected * (1 - toxic / max(n, 1)) * (1 - b / max(n, 1)) + 1e-9
+    share = toxic / max(n, 1)
+    expected = F.col("texts") * share
+    spread = expected * (1 - share) * (1 - F.col("texts") / max(n, 1)) + 1e-9
     # How surely a feature is toxic counts beside how much it explains: rare telling words stay.
-    score = (a - expected) ** 2 / spread
-    best = rows["feature"].to_numpy()[np.argsort(-score, kind="stable")[: fit.features]]
-    return np.union1d(best, always).astype(np.int64)
+    off = F.col("toxic") - expected
+    best = (
+        counts.where(F.col("texts") >= fit.least_texts)
+        .select("feature", (off * off / spread).alias("score"))
+        .orderBy(F.desc("score"), "feature")
+        .limit(fit.features)
+        .collect()
+    )
+    return np.union1d(np.array([r.feature for r in best], dtype=np.int64), always).astype(np.int64)
 
 
 def _positions(feature: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,17 +176,53 @@ def chosen_of(texts: Texts, features: np.ndarray) -> list[list[int]]:
     return [place[edges[i] : edges[i + 1]].tolist() for i in range(len(texts))]
 
 
-def swapped_sentences(labelled: DataFrame, features: np.ndarray, terms: Sequence[Sequence[str]]) -> DataFrame:
+def neutral_terms(
+    counts: DataFrame, sample: DataFrame, n: int, toxic: int, fit: Fit
+) -> tuple[tuple[str, ...], ...]:
+    """Lists of frequent words that texts of both labels hold alike, words of similar frequency together.
+
+    Such words name what texts are about, as names of groups do; a score should not depend on which of them a
+    sentence holds. Counts are of all labelled texts; the words themselves are looked up in the sample.
+    """
+    share = toxic / n
+    off = F.abs(F.col("toxic") - F.col("texts") * share)
+    alike = off <= F.sqrt(F.col("texts") * share * (1 - share))
+    common = (F.col("texts") >= max(LEAST_TERM_TEXTS, n // 500)) & (F.col("texts") <= n // 4)
+    # Beginnings of words are features too; most of them are found here and left out below.
+    best = counts.where(common & alike).orderBy(F.desc("texts"), "feature").limit(8 * fit.corpus_terms).collect()
+    rank = {r.feature: i for i, r in enumerate(best)}
+    wanted = np.array(sorted(rank), dtype=np.int64)
+    if not len(wanted):
+        return ()
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", BATCH_BYTES):
+            words = sorted({w for text in batch.column("text").to_pylist() for w in TERM.findall(text.lower())})
+            feature = word_features(words)
+            known = np.flatnonzero(np.isin(feature, wanted))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(feature[known]), pa.array([words[i] for i in known], pa.string())], ["feature", "word"]
+            )
+
+    found = sample.mapInArrow(spelled, "feature bigint, word string").distinct().collect()
+    words = [r.word for r in sorted(found, key=lambda r: (rank[r.feature], r.word))][: fit.corpus_terms]
+    return tuple(tuple(words[i : i + TERMS_OF_A_LIST]) for i in range(0, len(words), TERMS_OF_A_LIST))
+
+
+def swapped_sentences(
+    labelled: DataFrame, features: np.ndarray, terms: Sequence[Sequence[str]], pairs: int
+) -> DataFrame:
     """(plus, minus): chosen features that a sentence gains and loses when its identity terms are swapped.
 
     A sentence has as many counterparts as its terms' lists have other terms: in each, every term is replaced
-    by the one so many places further in its list.
+    by the one so many places further in its list. Sentences are drawn by a hash, for ``pairs`` counterparts.
     """
     place = {term: (group, i) for group in terms for i, term in enumerate(group)}
     turns = range(1, max((len(group) for group in terms), default=1))
     pattern = r"(?i)\b(" + "|".join(sorted(place, key=len, reverse=True)) + r")\b"
     sentences = labelled.select(F.explode(F.split("text", r"(?<=[.!?\n])")).alias("text"))
     named = sentences.where(F.col("text").rlike(pattern))
+    named = named.orderBy(F.xxhash64("text"), "text").limit(max(1, pairs // max(1, len(turns))))
     find = re.compile(pattern)
 
     def turned(sentence: str, turn: int) -> str:
@@ -186,35 +250,49 @@ def swapped_sentences(labelled: DataFrame, features: np.ndarray, terms: Sequence
     return moved.where("size(plus) + size(minus) > 0")
 
 
-def _matrix(rows: list[list[int]], width: int, sign: float = 1.0) -> np.ndarray:
-    out = np.zeros((len(rows), width), dtype=np.float32)
-    for i, row in enumerate(rows):
-        out[i, row] = sign
+def _matrix(rows: pa.ChunkedArray, width: int, sign: float = 1.0, out: np.ndarray | None = None) -> np.ndarray:
+    """A row of ``width`` for each list of places, with ``sign`` there (in ``out``, if given)."""
+    lists = rows.combine_chunks()
+    if out is None:
+        out = np.zeros((len(lists), width), dtype=np.float32)
+    if len(lists):
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        out[np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False)] = sign
     return out
 
 
+def largest_square(x: np.ndarray) -> float:
+    """The largest eigenvalue of x'x, by repeated multiplication, from above."""
+    v = np.ones(x.shape[1], dtype=np.float32)
+    size = 0.0
+    for _ in range(60):
+        v = x.T @ (x @ (v / max(np.linalg.norm(v), 1e-30)))
+        size = float(np.linalg.norm(v))
+    return 1.05 * size
+
+
 def fitted(x: np.ndarray, y: np.ndarray, moved: np.ndarray, fit: Fit) -> tuple[np.ndarray, float]:
     """Logistic regression by accelerated gradient steps; ``moved`` are rows whose score should be 0."""
     n, width = x.shape
-    weights, bias = np.zeros(width + 1), 0.0
+    weights = np.zeros(width + 1)
     ahead, t = weights.copy(), 1.0
-    x1 = np.hstack([x, np.ones((n, 1), dtype=np.float32)])
     pull = fit.counterfactual / max(len(moved), 1)
-    steep = 0.25 * np.linalg.norm(x1, 2) ** 2 / n + fit.ridge
+    # The column of ones for the bias adds n to the largest eigenvalue at most.
+    steep = 0.25 * (largest_square(x) + n) / n + fit.ridge
     if len(moved):
-        steep += 2 * pull * np.linalg.norm(moved, 2) ** 2
+        steep += 2 * pull * largest_square(moved)
     for _ in range(fit.steps):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ ahead.astype(np.float32), -40, 40)))
-        slope = (x1.T @ (p - y).astype(np.float32)).astype(float) / n
+        p = 1 / (1 + np.exp(-np.clip(x @ ahead[:-1].astype(np.float32) + ahead[-1], -40, 40)))
+        off = p - y
+        slope = np.append((x.T @ off.astype(np.float32)).astype(float), off.sum()) / n
         slope[:-1] += fit.ridge * ahead[:-1]
         if len(moved):
-            slope[:-1] += 2 * pull * (moved.T @ (moved @ ahead[:-1]))
+            slope[:-1] += 2 * pull * (moved.T @ (moved @ ahead[:-1].astype(np.float32)))
         following = ahead - slope / steep
         t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead = following + (t - 1) / t_next * (following - weights)
         weights, t = following, t_next
-    bias = float(weights[-1])
-    return weights[:-1], bias
+    return weights[:-1], float(weights[-1])
 
 
 def trained(
@@ -224,17 +302,23 @@ def trained(
 
     Without both labels every text scores the same.
     """
-    spark = labelled.sparkSession
-    ship(spark)
-    rows = labelled.where("label IS NOT NULL").select(whole("text").alias("text"), F.col("label").cast("int").alias("label"))
+    scratch = Scratch(labelled.sparkSession, "labelled")
+    # Read several times: stored once, so that whatever joined texts and labels is not done again.
+    rows = scratch.keep(
+        labelled.where("label IS NOT NULL").select(
+            whole("text").alias("text"),
+            F.col("label").cast("int").alias("label"),
+            F.xxhash64("text", F.monotonically_increasing_id()).alias("draw"),
+        )
+    )
     total = rows.agg(F.count("*").alias("n"), F.sum("label").alias("toxic")).first()
     n, toxic = total["n"], total["toxic"] or 0
     if not 0 < toxic < n:
         return Model(np.zeros(1, dtype=np.int64), np.zeros(1), -3.0 if not toxic else 3.0)
-    features = chosen_features(feature_counts(rows), n, toxic, fit, identity_features(terms))
-    # A sample by the hash of the text: of one size, whatever the table's, the same in every run.
-    share = min(1.0, 0.9 * fit.sample / n)
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    counts = scratch.keep(feature_counts(rows))
+    sample = scratch.keep(_drawn(rows, {0: n - toxic, 1: toxic}, fit.sample))
+    terms = (*terms, *neutral_terms(counts, sample, n, toxic, fit))
+    features = chosen_features(counts, n, toxic, fit, identity_features(terms))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", BATCH_BYTES):
@@ -243,17 +327,26 @@ def trained(
                 [pa.array(found, pa.list_(pa.int32())), batch.column("label")], ["found", "label"]
             )
 
-    drawn = sample.mapInArrow(chosen, "found array<int>, label int").limit(fit.sample).collect()
-    pairs = swapped_sentences(sample, features, terms).limit(fit.pairs).collect()
-    x = _matrix([r["found"] for r in drawn], len(features))
-    y = np.array([r["label"] for r in drawn], dtype=float)
-    moved = _matrix([r["plus"] for r in pairs], len(features)) - _matrix(
-        [r["minus"] for r in pairs], len(features)
-    )
+    drawn = sample.mapInArrow(chosen, "found array<int>, label int").toArrow()
+    pairs = swapped_sentences(sample, features, terms, fit.pairs).toArrow()
+    x = _matrix(drawn.column("found"), len(features))
+    y = drawn.column("label").to_numpy().astype(float)
+    moved = _matrix(pairs.column("minus"), len(features), -1.0)
+    moved = _matrix(pairs.column("plus"), len(features), 1.0, moved)
     weights, bias = fitted(x, y, moved, fit)
     return Model(features, weights, bias)
 
 
+def _drawn(rows: DataFrame, sizes: dict[int, int], bound: int) -> DataFrame:
+    """At most ``bound`` rows by their draw, of each label its share, but both labels where there are any."""
+    total = sum(sizes.values())
+    parts = []
+    for label, size in sizes.items():
+        share = max(1, bound * size // total)
+        parts.append(rows.where(F.col("label") == label).orderBy("draw").limit(share))
+    return parts[0].unionByName(parts[1]).select("text", "label")
+
+
 def scored(docs: DataFrame, model: Model, text_column: str = "text", score: str = "score") -> DataFrame:
     """Every row of ``docs`` with its score appended, 0 to 1, higher: likelier toxic.
 
