@@ -446,6 +446,14 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE["dq_fk_stored_keys"] = with_star(" UNION ALL ".join(
+    f"SELECT '{column}' AS column_name, COUNT(DISTINCT f.{column}) AS keys, "
+    f"COUNT(DISTINCT CASE WHEN d.{column} IS NULL THEN f.{column} END) AS orphan_keys, "
+    f"COUNT(CASE WHEN d.{column} IS NULL THEN f.{column} END) AS failed_rows "
+    f"FROM fct_sales f LEFT JOIN (SELECT DISTINCT {column} FROM {dim}) d ON f.{column} = d.{column}"
+    for column, dim in REFERENCES.items()
+))
+
 # Stored monthly totals give what the whole fact gives.
 ORACLE |= {
     "mart_store_daily_monthly": ORACLE["mart_store_daily"],

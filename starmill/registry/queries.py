@@ -32,6 +32,7 @@ from starmill.plans.star import (
     staged_star,
 )
 from starmill.session import fresh_path
+from starmill.sources.bucketed import KeyProfile, orphans
 from starmill.sources.csv_ingest import MANIFEST, ingest, ingest_summary, read_csv
 from starmill.sources.exports import export_all_csv, export_csv, export_parquet
 from starmill.sources.layers import Layer
@@ -43,6 +44,7 @@ DB_NAME = "warehouse"
 SAMPLE_ROWS = 2000
 HISTORY_K = 5
 SECOND_BATCH = "2001-06-15"
+KEY_BUCKETS = 8
 HISTORY_BOUND = 100_000
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -389,6 +391,21 @@ def trend_by_day_number(spark: SparkSession, folder: str) -> DataFrame:
     return panels.sales_trend(keys_only, MONEY_SCALE)
 
 
+def stored_key_references(spark: SparkSession, folder: str) -> DataFrame:
+    """Orphans of every reference of the fact, from profiles of keys that were stored in buckets beforehand."""
+    star, base = StarViews(spark, folder), fresh_path(spark, "key-profiles")
+    older = F.col("sales_date") < F.lit(SECOND_BATCH).cast("timestamp_ntz")
+    sales = written_once(star[FACT].select("sales_date", *declared.PARENTS), "sales-keys")
+    parts = []
+    for column, dimension in declared.PARENTS.items():
+        fact, parents = (KeyProfile(spark, f"{base}/{side}/{column}") for side in ("fact", "dimension"))
+        for batch in (sales.where(older), sales.where(~older)):
+            fact.add(batch, column, buckets=KEY_BUCKETS)
+        parents.add(star[dimension.removeprefix("mart.")], column, buckets=KEY_BUCKETS)
+        parts.append(orphans(fact, parents).select(F.lit(column).alias("column_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def monthly(name: str) -> Query:
     """A mart or series of stored monthly totals: of the older sales, then refreshed for the newer ones.
 
@@ -453,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "panel_heatmap_pivot": sales_panel(
         lambda s, scale: panels.seasonality_matrix(panels.seasonality(s, scale))
     ),
+    "dq_fk_stored_keys": stored_key_references,
     "mart_store_daily_monthly": monthly("mart_store_daily"),
     "mart_campaign_perf_monthly": monthly("mart_campaign_perf"),
     "panel_trend_monthly": monthly("daily_totals"),
