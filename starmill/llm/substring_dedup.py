@@ -66,6 +66,11 @@ def _hits(name: bytes, figure: int, hashes: np.ndarray, totals: np.ndarray) -> t
     return int.from_bytes(name, "little", signed=True), hashes.tobytes() if len(hashes) else None
 
 
+def _known(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The shared hashes of a batch's rows; which row has which does not matter, as they are shared."""
+    return [np.frombuffer(h, dtype=np.uint64) for hits in batch.column("hits").to_pylist() for h in hits or []]
+
+
 def repeated_runs_removed(
     docs: DataFrame,
     text_column: str = "text",
@@ -79,7 +84,8 @@ def repeated_runs_removed(
     text or another. A text that loses words is its kept words joined by one blank, any other is
     unchanged. Null counts as a text without words and stays null. Repeated rows repeat each other.
     ``shown`` replaces the text by an expression of it (a digest), so that whole texts need not be stored
-    between the steps. Columns named n_words or n_removed are replaced. An empty table gives an empty result.
+    between the steps. Columns named n_words or n_removed are replaced, others of any type stay. An empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
@@ -87,9 +93,11 @@ def repeated_runs_removed(
     words = text_bytes(docs, text_column) // BYTES_PER_WORD
     partitions = partitions_for(spark, words, PARTITION_HASHES)
     others = [c for c in docs.columns if c not in {text_column, "n_words", "n_removed"}]
-    # Rows of equal content share a key, and with it their hits.
+    # Rows of equal content share a key, and with it their hits; so do other rows of one key, if there are any.
+    plain = {f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)}
+    told = [c for c in others if c in plain and not isinstance(docs.schema[c].dataType, T.VariantType)]
     keyed = docs.select(
-        F.xxhash64(*[F.col(f"`{c}`") for c in [*others, text_column]]).alias("key"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in [*told, text_column]]).alias("key"),
         F.struct(*[F.col(f"`{c}`") for c in others], F.lit(0).alias(own("fill"))).alias("row"),
         F.col(f"`{text_column}`").alias("text"),
     )
@@ -105,12 +113,12 @@ def repeated_runs_removed(
     hits = shared_hashes(
         keyed.select("key", "text"), probes, _hits, KEY_TYPE, partitions, PROBE_WIDTH, by_reference=True
     ).where("hits IS NOT NULL")
-    hits = hits.groupBy("key").agg(F.first("hits").alias("hits"))
+    hits = hits.groupBy("key").agg(F.collect_set("hits").alias("hits"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 1 << 20):
             hashes, first = texts_of(batch.column("text")).word_hashes()
-            found = [np.frombuffer(h, dtype=np.uint64) for h in batch.column("hits").to_pylist() if h]
+            found = _known(batch)
             masks: list[bytes | None] = [None] * batch.num_rows
             if found and len(hashes) >= window:
                 known = np.unique(np.concatenate(found))
@@ -163,14 +171,14 @@ def repeated_runs_removed(
     repeats = shared_hashes(
         suspects.select("key", "text", "mask"), windows, _hits, KEY_TYPE, partitions, WINDOW_WIDTH
     ).where("hits IS NOT NULL")
-    repeats = repeats.groupBy("key").agg(F.first("hits").alias("hits"))
+    repeats = repeats.groupBy("key").agg(F.collect_set("hits").alias("hits"))
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 1 << 20):
             texts = texts_of(batch.column("text"))
             start, end, first = texts.words()
             hashes, _ = texts.word_hashes()
-            found = [np.frombuffer(h, dtype=np.uint64) for h in batch.column("hits").to_pylist() if h]
+            found = _known(batch)
             out = batch.column("text").to_pylist()
             gone = np.zeros(len(hashes), dtype=bool)
             runs = short_hash(run_hashes(hashes, window), partitions, WINDOW_WIDTH)
