@@ -140,7 +140,8 @@ def shingle_components(
 
     A-Z are lower-cased; words are runs of other than blank and 0x09-0x0D. Null and texts without words
     have an empty set and link with nothing, also not with each other. Links are transitive. Repeated
-    rows and equal sets are linked. A null id is no id: its rows take the least id of their component.
+    rows and equal sets are linked. Ids are cast to bigint, so texts that are no numbers raise. A null id is no
+    id, and neither is -2^63: such rows take the least id of their component.
     An empty table gives an empty result.
     """
     spark = docs.sparkSession

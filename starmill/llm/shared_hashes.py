@@ -1,6 +1,6 @@
 """Which hashes of a text also occur elsewhere in the table, exchanged in packed form.
 
-Texts are hashed in small batches. Hashes go to the partition that their upper bits name, a few
+Texts are hashed in batches. Hashes go to the partition that their upper bits name, a few
 bytes each, packed in one row for each batch and partition; a hash that occurs several times in a batch
 is sent once with its count. The partition adds the counts up and answers each batch with those that
 occur at least twice, and the answers are regrouped by batch and handed out by document. A partition
@@ -24,7 +24,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from starmill.llm.word_hash import small_batches
 
-BATCH_BYTES = 4 << 20
+#: Texts that are sent together: more for many partitions, each of which gets a row of every batch.
+BATCH_BYTES, MOST_BATCH_BYTES, BYTES_PER_ROW = 4 << 20, 16 << 20, 1 << 10
 #: Hashes that one partition compares.
 PARTITION_HASHES = 1_500_000
 HASHES, DOCUMENTS, REPEATS, ANSWER = 0, 1, 2, 3
@@ -44,8 +45,14 @@ class Hashed:
     reference: np.ndarray | None = None
 
 
+def fitting_width(partitions: int, width: int) -> int:
+    """At most ``width`` bytes, so that they and a partition's number fit into 64 bits."""
+    return min(width, (64 - (partitions - 1).bit_length()) // 8)
+
+
 def short_hash(hashes: np.ndarray, partitions: int, width: int) -> np.ndarray:
     """Partition and lowest bytes of each hash in one number."""
+    width = fitting_width(partitions, width)
     part = ((hashes >> np.uint64(40)) * np.uint64(partitions)) >> np.uint64(24)
     low = hashes & np.uint64((1 << 8 * width) - 1)
     return (part << np.uint64(8 * width)) | low
@@ -66,6 +73,18 @@ def _by_text(counts: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(counts)), counts)
 
 
+def _owners(owner: np.ndarray, n_texts: int) -> bytes:
+    """Whose each hash is, in rising order: hashes of each text, or the text of each hash if that is shorter."""
+    if len(owner) < n_texts:
+        return b"\x01" + _u4(owner)
+    return b"\x00" + _u4(np.bincount(owner, minlength=n_texts))
+
+
+def _owner_of(data: bytes) -> np.ndarray:
+    numbers = np.frombuffer(data, dtype=np.uint32, offset=1).astype(np.int64)
+    return numbers if data[:1] == b"\x01" else _by_text(numbers)
+
+
 ROW = pa.schema(
     [
         ("part", pa.int32()),
@@ -114,14 +133,13 @@ def _sends(src: int, batch: Hashed, partitions: int, width: int) -> Iterator[tup
         reference = b""
         if batch.reference is not None:
             reference = _pack(np.ascontiguousarray(known[known_edges[p] : known_edges[p + 1]]), width)
-        counts = np.bincount(text[at], minlength=n_texts)
+        owners = _owners(text[at], n_texts)
         packed = _pack(np.ascontiguousarray(short[at]), width)
-        yield p, src, HASHES, _u4(counts), packed, _u4(weight[rows]), [reference]
+        yield p, src, HASHES, owners, packed, _u4(weight[rows]), [reference]
     home = src % partitions
     yield home, src, DOCUMENTS, _u4(batch.figure), b"", b"", batch.name
     if len(repeated):
-        counts = np.bincount(text[repeated], minlength=n_texts)
-        yield home, src, REPEATS, _u4(counts), short[repeated].tobytes(), b"", []
+        yield home, src, REPEATS, _owners(text[repeated], n_texts), short[repeated].tobytes(), b"", []
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -151,15 +169,15 @@ def _answers(rows: list[tuple[int, bytes, bytes, bytes, list]], part: int, width
     total_at = np.empty(len(short), dtype=np.int64)
     total_at[order] = np.where(shared, total, 0)[group]
     at = 0
-    for src, counts, packed, _, _ in rows:
-        counts = np.frombuffer(counts, dtype=np.uint32)
+    for src, owners, packed, _, _ in rows:
         n = len(packed) // width
         here = total_at[at : at + n]
         hit = here > 0
         if hit.any():
-            found = np.bincount(_by_text(counts)[hit], minlength=len(counts))
+            owner = _owner_of(owners)[hit]
             hashes = short[at : at + n][hit] | np.uint64(part << 8 * width)
-            yield part, src, ANSWER, _u4(found), hashes.tobytes(), _u4(np.minimum(here[hit], 2**32 - 1)), []
+            # As many texts as the last that is named: the rest have none.
+            yield part, src, ANSWER, _owners(owner, int(owner[-1]) + 1), hashes.tobytes(), _u4(np.minimum(here[hit], 2**32 - 1)), []
         at += n
 
 
@@ -178,10 +196,12 @@ def shared_hashes(
     neither the text nor their values. ``finish`` gives one tuple of the ``result`` schema.
     """
     arrow_result = to_arrow_schema(result)
+    width = fitting_width(partitions, width)
+    batch_bytes = min(MOST_BATCH_BYTES, max(BATCH_BYTES, partitions * BYTES_PER_ROW))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
-        for i, batch in enumerate(small_batches(batches, "text", BATCH_BYTES)):
+        for i, batch in enumerate(small_batches(batches, "text", batch_bytes)):
             yield _rows(list(_sends(base + i, hashed(batch), partitions, width)))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +236,7 @@ def shared_hashes(
         for r in rows:
             if r["kind"] == REPEATS and len(hashes):
                 again = np.frombuffer(r["hashes"], dtype=np.uint64)
-                owner = _by_text(np.frombuffer(r["counts"], dtype=np.uint32))
+                owner = _owner_of(r["counts"])
                 order = np.argsort(hashes, kind="stable")
                 place = order[np.minimum(np.searchsorted(hashes, again, sorter=order), len(order) - 1)]
                 found = hashes[place] == again

@@ -8,12 +8,14 @@ import zlib
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starmill.llm import word_hash
 from starmill.llm.ngram_join import shingle_components
 from starmill.llm.packing import packed_sequences
 from starmill.llm.sentencepiece_codec import with_pieces
+from starmill.llm.shared_hashes import Hashed, _sends, fitting_width, short_hash
 from starmill.llm.substring_dedup import repeated_runs_removed
 from starmill.llm.token_counts import with_token_counts
 from tests.llm.corpus import corpus, words
@@ -63,6 +65,18 @@ def test_repeated_runs(spark, pairs) -> None:
     assert all(r.n_removed == 0 for r in repeated_runs_removed(corpus(spark, texts)).collect())
 
 
+def test_runs_of_rows_that_share_a_key(spark, monkeypatch) -> None:
+    """Columns that cannot be hashed are carried, and rows of one key lose no hit."""
+    passages = [" ".join(words(20 + k, 40)) for k in range(3)]
+    texts = [(i, f"{passages[i % 3]} tail {i}") for i in range(9)] + [(50, None), (51, "alone")]
+    docs = corpus(spark, texts).withColumn("tags", F.create_map(F.lit("a"), F.col("doc_id")))
+    expected = {i: 40 if i < 9 else 0 for i, _ in texts}
+    found = repeated_runs_removed(docs).collect()
+    assert {r.doc_id: r.n_removed for r in found} == expected and all(r.tags == {"a": r.doc_id} for r in found)
+    monkeypatch.setattr("starmill.llm.substring_dedup.F.xxhash64", lambda *_: F.lit(7).cast("long"))
+    assert {r.doc_id: r.n_removed for r in repeated_runs_removed(docs).collect()} == expected
+
+
 def test_pieces_of_texts_with_the_models_blank(spark) -> None:
     rng = random.Random(6)
     texts = [(i, "".join(rng.choice(["▁", " ", "  ", "a", "the", "é", "日", "\n"]) for _ in range(rng.randint(0, 25)))) for i in range(1000)]
@@ -94,3 +108,32 @@ def test_hashes_are_polynomials_modulo_the_prime(monkeypatch, block) -> None:
     for i in range(len(runs)):
         total = sum(int(values[i + k]) * pow(word_hash.WORD_BASE, k, prime) for k in range(7)) % prime
         assert runs[i] == word_hash.mixed(np.array([total + 7], dtype=np.uint64))[0]
+
+
+def batch_of(texts: int, each: int, seed: int = 1) -> Hashed:
+    rng = np.random.default_rng(seed)
+    hashes = word_hash.mixed(rng.integers(0, 2**62, texts * each).astype(np.uint64))
+    counts = np.full(texts, each)
+    return Hashed(hashes, counts, counts, [i.to_bytes(8, "little") for i in range(texts)])
+
+
+def test_what_is_sent_grows_with_the_texts_and_not_with_the_partitions() -> None:
+    """Bytes of hashes and of whose they are, for 1,550 texts of 450 words, as a batch of given texts has."""
+
+    def sent(partitions: int) -> int:
+        rows = _sends(0, batch_of(1550, 450), partitions, fitting_width(partitions, 6))
+        return sum(len(r[3]) + len(r[4]) + len(r[5]) for r in rows)
+
+    assert max(sent(p) for p in (2000, 20_000)) < 2 * sent(200)
+
+
+def test_partitions_beyond_two_bytes() -> None:
+    """Every hash keeps its partition's number, and a hash its lowest bytes."""
+    hashes = batch_of(10, 1000).hashes
+    for partitions in (8, 65_536, 65_537, 100_000, 1 << 20):
+        width = fitting_width(partitions, 6)
+        part = short_hash(hashes, partitions, 6) >> np.uint64(8 * width)
+        expected = [(int(h) >> 40) * partitions >> 24 for h in hashes]
+        assert part.tolist() == expected and len(np.unique(short_hash(hashes, partitions, 6))) == len(hashes)
+    rows = list(_sends(0, batch_of(10, 1000), 100_000, fitting_width(100_000, 6)))
+    assert {r[0] for r in rows if r[2] == 0} == set(((hashes >> np.uint64(40)) * np.uint64(100_000) >> np.uint64(24)).tolist())
