@@ -231,7 +231,7 @@ def shared_hashes(
             [none.astype(np.uint32), *[np.frombuffer(r["extra"], dtype=np.uint32) for r in answers]]
         )
         text = np.concatenate(
-            [none.astype(np.int64), *[_by_text(np.frombuffer(r["counts"], dtype=np.uint32)) for r in answers]]
+            [none.astype(np.int64), *[_owner_of(r["counts"]) for r in answers]]
         )
         for r in rows:
             if r["kind"] == REPEATS and len(hashes):
