@@ -27,7 +27,7 @@ from starmill.llm.fingerprints import (
     with_next,
     without,
 )
-from starmill.llm.host_reputation import Rule, judged_urls
+from starmill.llm.host_reputation import Rule, judged_urls, site_levels
 from starmill.llm.ngram_join import one_of_each, shingle_components
 from starmill.llm.packing import Pattern, packed_sequences, packing_plan
 from starmill.llm.sentencepiece_codec import with_pieces
@@ -323,6 +323,32 @@ def test_judged_urls(spark) -> None:
     assert rows_[300][3] == "block" and rows_[205][3] == "allow" and found.count() == len(urls)
 
 
+def test_site_levels(spark) -> None:
+    """Registered domain and suffix: of two labels, of addresses, with ports and user names."""
+    expected = {
+        "a.b.example.com": ("example.com", "com"),
+        "example.com:8080": ("example.com", "com"),
+        "me@shop.example.co.uk:1": ("example.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk"),
+        "10.0.0.1:80": ("10.0.0.1", ""),
+        "[::1]": ("[::1]", ""),
+        "localhost": ("localhost", "localhost"),
+        "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in expected], "host string")
+    found = hosts.select("host", *site_levels(F.col("host"))).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == expected
+    own_suffix = hosts.select("host", site_levels(F.col("host"), ["example.com"])[0]).collect()
+    assert {r[0]: r[1] for r in own_suffix}["a.b.example.com"] == "b.example.com"
+
+
+def test_host_counts_are_taken_once(spark) -> None:
+    """The pages are aggregated once and read once more for the result."""
+    pages = spark.range(50).selectExpr("id AS page_id", "concat('http://h', id % 7, '.example.com/') AS url", "CAST(id % 2 AS int) AS outcome")
+    plan = judged_urls(pages, RULES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 50") == 1 and "FileScan parquet" in plan
+
+
 def test_archived_pages(spark) -> None:
     page = "<p>" + "é" * 90
     pages = [(5, "u\r\nX: y", page), (3, None, page), (9, "u", page), (3, None, page)]
