@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.text import lower_ascii, own, whole
+from starmill.sources.scratch import written_once
 
 #: Suffixes of two labels under which domains are registered (fixed values, a parameter everywhere).
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
@@ -173,6 +174,8 @@ def judged_urls(
     hosts = seen.groupBy("host").agg(
         F.count(hidden).alias("n"), F.coalesce(F.sum(hidden), F.lit(0)).alias("bad")
     )
+    # Read for every level's total and strength and for the result: one aggregate of the pages.
+    hosts = written_once(hosts, "host-counts")
     rate, deviation = own("rate"), own("deviation")
     posterior = host_posteriors(hosts, two_label_suffixes).select(
         F.col("host").alias(joined), F.col("bad_rate").alias(rate), F.col("bad_rate_deviation").alias(deviation)
