@@ -1,6 +1,7 @@
 """Run the pipeline or single stages: ``python -m starmill --warehouse W --source CSV_FOLDER``.
 
-Also a spark-submit application. Without ``--stage`` all stages but the sample run in order. Partition
+Also a spark-submit application. Without ``--stage`` all stages run in order, but for the sample and those of a
+growing fact. Partition
 settings follow the bytes found in the sources and the warehouse.
 """
 
@@ -14,10 +15,13 @@ from pyspark.sql import types as T
 
 from starmill.functions.calendar import utc_now
 from starmill.plans import history, pipeline
+from starmill.plans.star import FACT
 from starmill.session import build_session, sizing
 from starmill.sources.files import size
 
 STAGES = ["ingest", "marts", "analytics", "checks", "dashboard"]
+# For a fact that grows: new sales from the first source, and marts brought up to the fact's files.
+GROWTH = ["append", "refresh"]
 
 
 def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
@@ -26,7 +30,7 @@ def arguments(given: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", action="append", default=[],
                         help="folder of the CSV files; repeat for fallbacks, first existing wins")
     parser.add_argument("--export", help="folder for Parquet and CSV exports")
-    parser.add_argument("--stage", action="append", choices=["sample", *STAGES])
+    parser.add_argument("--stage", action="append", choices=["sample", *STAGES, *GROWTH])
     parser.add_argument("--sample-to", help="folder for the light copy that --stage sample makes")
     parser.add_argument("--schema", action="append", default=[], metavar="TABLE=DDL",
                         help="columns of a CSV file, which spares the pass that infers types")
@@ -64,6 +68,13 @@ def main() -> None:
         pipeline.build_marts(warehouse, run_ts, args.export)
     if "analytics" in stages:
         pipeline.build_analytics(warehouse, args.export, args.scale)
+    if "append" in stages:
+        pipeline.append_sales(warehouse, args.source[0], columns.get(FACT))
+    if "refresh" in stages:
+        months, refreshed = pipeline.refresh_marts(warehouse, args.scale)
+        print("months rebuilt:", ", ".join(months) or "none")
+        for name, table in refreshed.items():
+            table.write.mode("overwrite").parquet(warehouse.report(f"marts/{name}"))
     if "checks" in stages:
         report = pipeline.run_declared_checks(warehouse, run_ts)
         report.select("check_name", "status", "failed_rows", "details").show(100, truncate=False)

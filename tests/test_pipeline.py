@@ -7,11 +7,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from starmill.__main__ import arguments, fit_to_input, schemas
+from starmill.__main__ import arguments, fit_to_input, main, schemas
 from starmill.plans import history
 from starmill.plans.pipeline import Warehouse, make_sample, run_all, run_declared_checks
 from starmill.sources.csv_ingest import MANIFEST, read_csv
-from starmill.sources.exports import export_all_csv
+from starmill.sources.exports import export_all_csv, export_csv
 from starmill.sources.files import size
 from tests.star_fixture import small_star
 
@@ -75,6 +75,25 @@ def test_sample_keeps_dimensions_and_cuts_facts(spark, csv_folder, tmp_path) ->
     assert first.exceptAll(read_csv(spark, f"{csv_folder}/fact_sales_normalized.csv")).count() == 0
 
 
+def test_command_line_of_a_growing_fact(spark, tmp_path, monkeypatch, capsys) -> None:
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    star = small_star(spark)
+    warehouse.mart.replace_all({t: star[t] for t in ("dim_stores", "dim_campaigns", "fct_sales")})
+    export_csv(star["fct_sales"].limit(10), str(tmp_path / "new.csv"))
+    monkeypatch.setattr("starmill.__main__.build_session", lambda: spark)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    given = ["starmill", "--warehouse", warehouse.root, "--source", str(tmp_path / "new.csv"), "--scale", "2"]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    for stages, said in ((["append", "refresh"], "2024-01, 2024-02"), (["refresh"], "none")):
+        monkeypatch.setattr("sys.argv", [*given, *[x for stage in stages for x in ("--stage", stage)]])
+        main()
+        assert f"months rebuilt: {said}" in capsys.readouterr().out
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert warehouse.mart.read("fct_sales").count() == 610
+    daily = spark.read.parquet(warehouse.report("marts/mart_store_daily"))
+    assert daily.agg(F.sum("transactions")).first()[0] == 610
+
+
 def test_command_line_sizes_partitions_by_the_input(spark, tmp_path) -> None:
     (tmp_path / "big.csv").write_bytes(b"x" * 1000)
     assert size(spark, str(tmp_path)) == 1000 and size(spark, str(tmp_path / "absent")) == 0
