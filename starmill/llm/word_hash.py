@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-PIECE = 1 << 20
+PIECE = 1 << 17
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD6E8FEB86659FD93
 
@@ -35,8 +35,9 @@ PRIME = (1 << 61) - 1
 _P = np.uint64(PRIME)
 _U29, _U32, _U61 = np.uint64(29), np.uint64(32), np.uint64(61)
 _LOW29, _LOW32 = np.uint64((1 << 29) - 1), np.uint64((1 << 32) - 1)
-#: Bytes, or words, over which one running sum is taken: it stays below 2^61.
-BLOCK = 1 << 20
+#: Bytes, or words, over which one running sum is taken: it stays below 2^61. Small enough that what is computed on
+#: the way takes a few megabytes, and more than a piece and the rest of its last word, mostly.
+BLOCK = 1 << 18
 
 
 def reduced(x: np.ndarray) -> np.ndarray:
