@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 import starmill
 from starmill.session import fresh_path
+from starmill.sources.files import remove
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,7 +58,7 @@ def ship(spark: SparkSession) -> None:
     with zipfile.ZipFile(packed, "w") as archive:
         for file in sorted(package.rglob("*.py")):
             archive.write(file, file.relative_to(package.parent))
-    path = f"{fresh_path(spark, 'package')}/starmill.zip"
+    path = f"{fresh_path(spark, 'package', scoped=False)}/starmill.zip"
     target: Any = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
     stream.write(bytearray(packed.getvalue()))
@@ -85,6 +86,10 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def clear(self) -> None:
+        """Remove the tables, once nothing reads them any more."""
+        remove(self.spark, self.base)
+
 
 def release(spark: SparkSession) -> None:
     """Let shuffle files of finished steps go, which Spark removes once their plans are collected.

@@ -333,6 +333,7 @@ def trained(
     y = drawn.column("label").to_numpy().astype(float)
     moved = _matrix(pairs.column("minus"), len(features), -1.0)
     moved = _matrix(pairs.column("plus"), len(features), 1.0, moved)
+    scratch.clear()
     weights, bias = fitted(x, y, moved, fit)
     return Model(features, weights, bias)
 
