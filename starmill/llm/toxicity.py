@@ -344,7 +344,12 @@ def _drawn(rows: DataFrame, sizes: dict[int, int], bound: int) -> DataFrame:
     parts = []
     for label, size in sizes.items():
         share = max(1, bound * size // total)
-        parts.append(rows.where(F.col("label") == label).orderBy("draw").limit(share))
+        # Draws are even: few rows beyond the share lie below this one, and only those are moved.
+        below = min(1.0, (share + 5 * share**0.5 + 20) / size)
+        drawn = rows.where(F.col("label") == label)
+        if below < 1:
+            drawn = drawn.where(F.col("draw") <= int((below - 0.5) * (2**64 - 2**12)))
+        parts.append(drawn.orderBy("draw").limit(share))
     return parts[0].unionByName(parts[1]).select("text", "label")
 
 
