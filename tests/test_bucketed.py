@@ -42,7 +42,7 @@ def test_neither_side_is_shuffled(spark, profiles) -> None:
     text = plan_text(orphans(*profiles))
     assert "SortMergeJoin" in text and "hashpartitioning" not in text and "BroadcastExchange" not in text
     assert text.count("Exchange SinglePartition") == 1
-    assert f"Bucketed: true" in text or f"SelectedBucketsCount: {BUCKETS} out of {BUCKETS}" in text
+    assert "Bucketed: true" in text or f"SelectedBucketsCount: {BUCKETS} out of {BUCKETS}" in text
 
 
 def test_hot_key_is_one_row(spark, profiles) -> None:
