@@ -12,7 +12,7 @@ A shared hash is known by its partition and its lowest ``width`` bytes: ``short_
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +26,8 @@ from starmill.llm.word_hash import small_batches
 
 #: Texts that are sent together: more for many partitions, each of which gets a row of every batch.
 BATCH_BYTES, MOST_BATCH_BYTES, BYTES_PER_ROW = 4 << 20, 16 << 20, 1 << 10
+#: Texts that are hashed at once: what is computed on the way takes many times their bytes.
+HASH_BYTES = 1 << 18
 #: Hashes that one partition compares.
 PARTITION_HASHES = 1_500_000
 HASHES, DOCUMENTS, REPEATS, ANSWER = 0, 1, 2, 3
@@ -45,6 +47,21 @@ class Hashed:
     reference: np.ndarray | None = None
 
 
+def joined(parts: Iterable[Hashed]) -> Hashed:
+    """The hashes of successive texts that were hashed in parts."""
+    parts = list(parts)
+    if len(parts) == 1:
+        return parts[0]
+    reference = [p.reference for p in parts if p.reference is not None]
+    return Hashed(
+        np.concatenate([p.hashes for p in parts]),
+        np.concatenate([p.counts for p in parts]),
+        np.concatenate([p.figure for p in parts]),
+        [name for p in parts for name in p.name],
+        np.concatenate(reference) if reference else None,
+    )
+
+
 def fitting_width(partitions: int, width: int) -> int:
     """At most ``width`` bytes, so that they and a partition's number fit into 64 bits."""
     return min(width, (64 - (partitions - 1).bit_length()) // 8)
@@ -119,6 +136,7 @@ def _sends(src: int, batch: Hashed, partitions: int, width: int) -> Iterator[tup
     sent = order[first]
     back = np.argsort(sent)
     sent, weight = sent[back], weight[back]
+    del ranked, fresh, first, order, back
     part = (short[sent] >> np.uint64(8 * width)).astype(np.int64)
     by_part = np.argsort(part, kind="stable")
     edges = np.searchsorted(part[by_part], np.arange(partitions + 1))
@@ -202,7 +220,8 @@ def shared_hashes(
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
         for i, batch in enumerate(small_batches(batches, "text", batch_bytes)):
-            yield _rows(list(_sends(base + i, hashed(batch), partitions, width)))
+            found = joined(hashed(part) for part in small_batches(iter([batch]), "text", HASH_BYTES))
+            yield _rows(list(_sends(base + i, found, partitions, width)))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, list] = {}

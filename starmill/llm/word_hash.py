@@ -222,7 +222,11 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
 def small_batches(
     batches: Iterator[pa.RecordBatch], column: str, most_bytes: int
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most so many bytes of text (a longer text is alone)."""
+    """The same rows in batches of at most so many bytes of text (a longer text is alone).
+
+    Memory of earlier batches that Arrow keeps for later ones goes back with each batch that comes in: a worker
+    lives on after its task, beside the JVM's own needs.
+    """
     for batch in batches:
         lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
         total = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
@@ -232,3 +236,5 @@ def small_batches(
             to = max(at + 1, int(np.searchsorted(total, base + most_bytes, side="right")))
             yield batch.slice(at, to - at)
             at = to
+        del batch
+        pa.default_memory_pool().release_unused()

@@ -9,13 +9,14 @@ import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from starmill.llm import word_hash
 from starmill.llm.ngram_join import shingle_components
 from starmill.llm.packing import packed_sequences
 from starmill.llm.sentencepiece_codec import with_pieces
-from starmill.llm.shared_hashes import Hashed, _sends, fitting_width, short_hash
+from starmill.llm.shared_hashes import HASH_BYTES, Hashed, _sends, fitting_width, joined, shared_hashes, short_hash
 from starmill.llm.substring_dedup import repeated_runs_removed
 from starmill.llm.token_counts import with_token_counts
 from tests.llm.corpus import corpus, words
@@ -137,3 +138,29 @@ def test_partitions_beyond_two_bytes() -> None:
         assert part.tolist() == expected and len(np.unique(short_hash(hashes, partitions, 6))) == len(hashes)
     rows = list(_sends(0, batch_of(10, 1000), 100_000, fitting_width(100_000, 6)))
     assert {r[0] for r in rows if r[2] == 0} == set(((hashes >> np.uint64(40)) * np.uint64(100_000) >> np.uint64(24)).tolist())
+
+
+def test_texts_are_hashed_a_few_at_a_time(spark) -> None:
+    """What a worker needs on the way grows with the texts it hashes at once, not with the batch it sends."""
+
+    def hashed(batch) -> Hashed:
+        assert batch.num_rows == 1 or sum(len(t) for t in batch.column("text").to_pylist()) <= HASH_BYTES
+        hashes = np.array([hash(k) % 3 for k in batch.column("key").to_pylist()], dtype=np.uint64)
+        counts = np.ones(batch.num_rows, dtype=np.int64)
+        return Hashed(hashes, counts, counts, [k.to_bytes(8, "little") for k in batch.column("key").to_pylist()])
+
+    def finish(name: bytes, figure: int, hashes: np.ndarray, totals: np.ndarray) -> tuple:
+        return int.from_bytes(name, "little"), figure, totals.tolist()
+
+    schema = T.StructType.fromDDL("key bigint, n bigint, totals array<bigint>")
+    docs = spark.range(30, numPartitions=1).selectExpr("id AS key", f"repeat('x', {HASH_BYTES // 3}) AS text")
+    found = shared_hashes(docs, hashed, finish, schema, 4, 6).collect()
+    assert sorted((r.key, r.n, r.totals) for r in found) == [(i, 1, [10]) for i in range(30)]
+
+
+def test_parts_are_joined_with_their_references() -> None:
+    one, other = batch_of(3, 4), batch_of(2, 4, seed=2)
+    one.reference, other.reference = one.hashes % 2 == 0, other.hashes % 2 == 0
+    both = joined([one, other])
+    assert both.hashes.tolist() == [*one.hashes, *other.hashes] and both.name == one.name + other.name
+    assert both.reference.tolist() == (both.hashes % 2 == 0).tolist() and both.counts.tolist() == [4] * 5

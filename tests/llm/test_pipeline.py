@@ -17,7 +17,7 @@ import corpus_pipeline
 from starmill.llm import word_hash
 from starmill.llm.oracle import ORACLE
 from starmill.llm.queries import QUERIES, TOXIC_FROM, op1_toxicity, toxicity_model
-from starmill.llm.toxicity import BEGINNINGS, SPACE, Model
+from starmill.llm.toxicity import BEGINNINGS, SPACE, Model, scored, word_features
 from tests.compare import multiset
 from tests.llm.corpus import corpus, rows, words
 from tests.llm.tables import folder_of
@@ -158,3 +158,16 @@ def test_query(spark, name) -> None:
         columns = [d[0] for d in result.description]
         assert sorted(columns) == sorted(df.columns)
         assert multiset(columns, result.fetchall()) == found
+
+
+def test_texts_pass_the_workers_once_when_scored(spark) -> None:
+    docs = spark.createDataFrame([(1, None, 7), (2, "", 8), (3, "a moron", 9)], "doc_id bigint, text string, n int")
+    model = Model(word_features(["moron"]), np.array([2.0]), -1.0)
+    found = scored(docs, model)
+    assert "text, text#" not in found._jdf.queryExecution().analyzed().toString()
+    low, high = 1 / (1 + math.e), 1 / (1 + 1 / math.e)
+    rows = [(r.doc_id, r.text, r.n, round(r.score, 9)) for r in found.orderBy("doc_id").collect()]
+    assert rows == [(1, None, 7, round(low, 9)), (2, "", 8, round(low, 9)), (3, "a moron", 9, round(high, 9))]
+    assert found.columns == ["doc_id", "text", "n", "score"]
+    other = scored(docs.select(docs.n.cast("string").alias("body"), "text"), model, "body", "text")
+    assert other.columns == ["body", "text"] and {round(r.text, 9) for r in other.collect()} == {round(low, 9)}
