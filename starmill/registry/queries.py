@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from starmill.functions.columns import literal_rows
 from starmill.functions.measures import MONEY_SCALE
 from starmill.functions.schema_rules import surrogate_keys
+from starmill.operators.lookups import is_small
 from starmill.operators.references import Reference, counts_with_references
 from starmill.operators.sampling import exact_sample
 from starmill.plans import declared, discovered, history, marts, quality_panels, results
@@ -65,14 +66,19 @@ def analytics_views(star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def star_csv(
     spark: SparkSession, folder: str, label: str
 ) -> tuple[str, dict[str, T.StructType]]:
-    """The star as CSV files under the names an ingest run expects, and the schemas of its facts."""
-    star = StarViews(spark, folder)
+    """The star as CSV files under the names an ingest run expects, and the schemas of its facts.
+
+    Both facts are read from one join, stored; stores are named without moving it, if they are few enough.
+    """
+    star = staged_star(spark, folder, label, [FACT])
     stores = star["dim_stores"].select("store_sk", "store_name")
+    if is_small(stores):
+        stores = F.broadcast(stores)
     target = fresh_path(spark, label)
     tables = {table: star[table] for table in DIMENSIONS}
     tables["fact_sales_normalized"] = star[FACT]
     tables["fact_sales_denormalized"] = star[FACT].join(stores, "store_sk", "left")
-    export_all_csv(tables, target)
+    export_all_csv(tables, target, compression="gzip")
     return target, {table: df.schema for table, df in tables.items() if table.startswith("fact_")}
 
 

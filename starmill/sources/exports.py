@@ -14,10 +14,14 @@ def export_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Comma-separated text with a header in every part file; quotes are doubled."""
+def export_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Comma-separated text with a header in every part file; quotes are doubled.
+
+    With a ``compression`` such as gzip, which readers know by the files' names, a part file is read by one task.
+    """
     (
         df.write.mode("overwrite")
+        .option("compression", compression)
         .option("header", True)
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
@@ -36,6 +40,6 @@ def export_all(tables: Mapping[str, DataFrame], folder: str) -> None:
     )
 
 
-def export_all_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
+def export_all_csv(tables: Mapping[str, DataFrame], folder: str, compression: str = "none") -> None:
     """Several tables as ``name.csv`` in one folder, side by side."""
-    side_by_side({t: partial(export_csv, df, f"{folder}/{t}.csv") for t, df in tables.items()})
+    side_by_side({t: partial(export_csv, df, f"{folder}/{t}.csv", compression) for t, df in tables.items()})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -13,6 +14,8 @@ from starmill.operators.references import Reference, orphan_counts
 from starmill.operators.violations import stored_table_counts
 from starmill.plans import declared, marts, sales_panels
 from starmill.plans.star import StarViews, staged_star
+from starmill.registry import queries
+from starmill.sources.exports import export_all_csv
 from tests.plans import count, plan_text, scanned_rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -143,3 +146,26 @@ def test_lookups_are_measured_by_their_texts(spark) -> None:
     assert 1000 < lookup_bytes(few) < 1500
     assert is_small(few, 1500) and not is_small(few, 1000)
     assert lookup_bytes(few.where("false")) == 0
+
+
+def test_csv_star_joins_the_fact_once_and_is_small(spark, monkeypatch) -> None:
+    given = {}
+
+    def kept(tables, folder, **options) -> None:
+        given.update(tables)
+        export_all_csv(tables, folder, **options)
+
+    monkeypatch.setattr(queries, "export_all_csv", kept)
+    # As for tables that Spark takes for large: the stores are measured.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        target, _ = queries.star_csv(spark, FOLDER, "csv-plan")
+        assert count(given["fact_sales_denormalized"], "BroadcastHashJoin") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plain, wide = given["fact_sales_normalized"], given["fact_sales_denormalized"]
+    assert count(plain, "Join") == 0 and "lineitem" not in plan_text(wide)
+    for table in ("fact_sales_normalized", "fact_sales_denormalized"):
+        stored = sum(f.stat().st_size for f in Path(target.removeprefix("file:"), f"{table}.csv").glob("part-*"))
+        text = spark.read.text(f"{target}/{table}.csv").selectExpr("sum(length(value) + 1)").first()[0]
+        assert stored < 0.5 * text
