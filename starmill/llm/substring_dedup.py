@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.llm.shared_hashes import PARTITION_HASHES, Hashed, shared_hashes, short_hash
-from starmill.llm.text import Scratch, own, partitions_for, release, text_bytes
+from starmill.llm.text import Scratch, own, partitions_for, text_bytes
 from starmill.llm.word_hash import run_hashes, small_batches, texts_of
 
 WINDOW = 35
@@ -110,9 +110,12 @@ def repeated_runs_removed(
         anchored = (place % block == 0)[ok]
         return Hashed(runs, _marked(hashes, first, ok), np.diff(first), _names(batch), anchored)
 
-    hits = shared_hashes(
-        keyed.select("key", "text"), probes, _hits, KEY_TYPE, partitions, PROBE_WIDTH, by_reference=True
-    ).where("hits IS NOT NULL")
+    # Each step's result is stored, so that its shuffle files and the next step's are never on disk together.
+    hits = scratch.keep_only(
+        shared_hashes(
+            keyed.select("key", "text"), probes, _hits, KEY_TYPE, partitions, PROBE_WIDTH, by_reference=True
+        ).where("hits IS NOT NULL")
+    )
     hits = hits.groupBy("key").agg(F.collect_set("hits").alias("hits"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,9 +160,7 @@ def repeated_runs_removed(
     show = shown or (lambda text: text)
     masked = keyed.join(hits, "key", "left").mapInArrow(candidates, with_masks)
     final = F.when(F.col("mask").isNull(), show(F.col("text"))).otherwise(F.col("text"))
-    seen = scratch.keep(masked.withColumn("text", final))
-    del hits, masked
-    release(spark)
+    seen = scratch.keep_only(masked.withColumn("text", final))
 
     def windows(batch: pa.RecordBatch) -> Hashed:
         hashes, first = texts_of(batch.column("text")).word_hashes()
@@ -168,9 +169,11 @@ def repeated_runs_removed(
         return Hashed(runs[chosen[: len(runs)]], _marked(hashes, first, chosen), np.diff(first), _names(batch))
 
     suspects = seen.where("mask IS NOT NULL")
-    repeats = shared_hashes(
-        suspects.select("key", "text", "mask"), windows, _hits, KEY_TYPE, partitions, WINDOW_WIDTH
-    ).where("hits IS NOT NULL")
+    repeats = scratch.keep_only(
+        shared_hashes(
+            suspects.select("key", "text", "mask"), windows, _hits, KEY_TYPE, partitions, WINDOW_WIDTH
+        ).where("hits IS NOT NULL")
+    )
     repeats = repeats.groupBy("key").agg(F.collect_set("hits").alias("hits"))
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

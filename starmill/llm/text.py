@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import io
 import math
 import string
-import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -45,6 +43,8 @@ def own(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
+#: Whether a query's shuffle files are removed when it ends.
+SHUFFLES_END = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SHIPPED: set[str] = set()
 
 
@@ -86,22 +86,23 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_only(self, df: DataFrame) -> DataFrame:
+        """``keep``, and what was shuffled for it goes at once, not when the driver collects its garbage."""
+        before = self.spark.conf.get(SHUFFLES_END, None)
+        self.spark.conf.set(SHUFFLES_END, "true")
+        try:
+            return self.keep(df)
+        finally:
+            if before is None:
+                self.spark.conf.unset(SHUFFLES_END)
+            else:
+                self.spark.conf.set(SHUFFLES_END, before)
+
     def clear(self) -> None:
         """Remove the tables, once nothing reads them any more."""
         remove(self.spark, self.base)
 
 
-def release(spark: SparkSession) -> None:
-    """Let shuffle files of finished steps go, which Spark removes once their plans are collected.
-
-    The second time reaches what the listeners of the first step's end still held.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts, to size partitions by."""
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0

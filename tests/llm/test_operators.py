@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -32,6 +33,7 @@ from starmill.llm.ngram_join import one_of_each, shingle_components
 from starmill.llm.packing import Pattern, packed_sequences, packing_plan
 from starmill.llm.sentencepiece_codec import with_pieces
 from starmill.llm.substring_dedup import repeated_runs_removed
+from starmill.llm.text import SHUFFLES_END
 from starmill.llm.token_counts import huge_count, with_token_counts
 from starmill.llm.toxicity import Fit, scored, trained
 from starmill.llm.warc import WarcError, archive_bytes, archive_records, archived_pages, parsed_record, written_record
@@ -136,6 +138,28 @@ def test_repeated_runs_removed(docs) -> None:
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.text) for r in found.collect()) == expected
 
 
+def shuffle_files(spark) -> set[str]:
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_repeated_runs_leave_no_shuffle_files(spark, docs, monkeypatch) -> None:
+    """What a step shuffled goes when it ends, without waiting for any garbage to be collected."""
+    monkeypatch.setattr("starmill.llm.substring_dedup.release", lambda _: None, raising=False)
+    monkeypatch.setattr("starmill.llm.substring_dedup.text_bytes", lambda *_: 1000)  # its sum is shuffled, too
+    setting = spark.conf.get(SHUFFLES_END)
+    before = shuffle_files(spark)
+    cut = repeated_runs_removed(docs)
+    ends = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < ends:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(SHUFFLES_END) == setting
+    # The steps before the last one are not run again with it.
+    assert "hand_out" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert any(r.n_removed for r in cut.collect())
+
+
 def test_token_counts(docs) -> None:
     library = Tokenizer.from_file(BYTES)
     expected = Counter(
